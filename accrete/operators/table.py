@@ -160,20 +160,21 @@ class FeatureTable:
 
     def backfill(
         self, feature: FeatureDef, concurrency: int = 1, task_size: int | None = None,
-        checkpoint_size: int | None = None,
+        checkpoint_size: int | None = None, max_chunks: int | None = None,
     ) -> FeatureTable:
         """Fill a feature for every row that lacks it, and publish a new version.
 
         Work is done in chunks of about `checkpoint_size` rows (whole files of raw data), each
         one Spark job whose result is kept whatever happens later: a rerun skips the files
         already done. `concurrency` chunks run at a time. `task_size` bounds the rows of one
-        task for costly features. New code under the same name starts a new column version.
+        task for costly features; `max_chunks` ends a time-boxed run early, a later call goes on.
+        New code under the same name starts a new column version.
         """
         table = self.add_columns([feature])
         entry = table.features[feature.name]
         if table.is_complete(feature.name):
             return table
-        chunks = table._open_chunks(feature, entry, checkpoint_size)
+        chunks = table._open_chunks(feature, entry, checkpoint_size)[:max_chunks]
         try:
             with ThreadPoolExecutor(max(1, concurrency)) as pool:
                 list(pool.map(lambda c: table._fill(feature, entry, c, task_size), chunks))
