@@ -11,9 +11,17 @@ from accrete.functions.text import normalise_answer
 FULL_MATCHES = 3.0
 
 
+def normalised_truths(truths: Column) -> Column:
+    return F.transform(truths, normalise_answer)
+
+
+def score_against(prediction: Column, normalised: Column) -> Column:
+    """`answer_score` against truths already normalised: a table's truths are normalised once."""
+    others = F.array_remove(normalised, normalise_answer(prediction))
+    score = F.least((F.size(normalised) - F.size(others)) / F.lit(FULL_MATCHES), F.lit(1.0))
+    return F.when(F.coalesce(prediction, F.lit("")) == "", 0.0).otherwise(F.coalesce(score, F.lit(0.0)))
+
+
 def answer_score(prediction: Column, truths: Column) -> Column:
     """min(agreeing truths / 3, 1); a null or empty prediction scores 0."""
-    wanted = normalise_answer(prediction)
-    agreeing = F.size(F.filter(truths, lambda truth: normalise_answer(truth) == wanted))
-    score = F.least(agreeing / F.lit(FULL_MATCHES), F.lit(1.0))
-    return F.when(F.coalesce(prediction, F.lit("")) == "", 0.0).otherwise(F.coalesce(score, F.lit(0.0)))
+    return score_against(prediction, normalised_truths(truths))

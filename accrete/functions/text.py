@@ -86,7 +86,9 @@ def normalise_answer(text: Column) -> Column:
     """Lower case, listed punctuation deleted, articles dropped, single blanks between words."""
     bare = F.regexp_replace(F.lower(text), ANSWER_PUNCTUATION, "")
     tokens = F.regexp_extract_all(bare, F.lit(NOT_BLANK), F.lit(0))
-    return F.array_join(F.filter(tokens, lambda t: ~t.isin(ARTICLES)), " ")
+    for article in ARTICLES:
+        tokens = F.array_remove(tokens, article)
+    return F.array_join(tokens, " ")
 
 
 def prefix_text(items: Column, count: int, separator: str = " ") -> Column:

@@ -21,10 +21,14 @@ def l2_distance(a: Column, b: Column) -> Column:
     return F.sqrt(squared_distance(a, b))
 
 
+def _wrong_length(vector: Column, length: int, name: str) -> Column:
+    return F.raise_error(F.format_string(f"{name}: expected {length} values, got %s", F.size(vector).cast("string")))
+
+
 def check_length(vector: Column, length: int, name: str = "vector") -> Column:
     """The vector itself, or an error when it does not hold exactly `length` values."""
-    message = F.format_string(f"{name}: expected {length} values, got %s", F.size(vector).cast("string"))
-    return F.when(vector.isNull() | (F.size(vector) == length), vector).otherwise(F.raise_error(message))
+    fits = vector.isNull() | (F.size(vector) == length)
+    return F.when(fits, vector).otherwise(_wrong_length(vector, length, name))
 
 
 def zeros(length: int) -> Column:
@@ -33,9 +37,9 @@ def zeros(length: int) -> Column:
 
 def reshape(flat: Column, rows: int, width: int) -> Column:
     """Row-major view of a flat list as `rows` lists of `width`."""
-    checked = check_length(flat, rows * width, "reshape")
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.slice(checked, i * width + 1, F.lit(width))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.slice(flat, i * width + 1, F.lit(width)))
+    return F.when(F.size(flat) == rows * width, cut).when(
+        flat.isNotNull(), _wrong_length(flat, rows * width, "reshape")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from accrete.functions.hashing import digest_fraction, order_key
 from accrete.functions.text import item_count
 from accrete.operators.rank import cumulative, hash_rank
+from accrete.session import checkpointed
 
 
 def holdout_split(df: DataFrame, key: str, held_out: int, seed: int | str = 0, name: str = "split") -> DataFrame:
@@ -29,9 +30,9 @@ def dense_share(
     evenly spread digest buckets, so one very common length does not end up in one task.
     """
     sized = df.withColumn("_n", item_count(F.col(items)).cast("bigint"))
-    histogram = sized.groupBy("_n").agg(F.count(F.lit(1)).alias("rows"))
-    total = histogram.agg(F.sum("rows")).first()[0] or 0
-    wanted = int(total * share)
+    # One row per list length: written once, read for the total and for the running count.
+    histogram = checkpointed(sized.groupBy("_n").agg(F.count(F.lit(1)).alias("rows")))
+    wanted = int((histogram.agg(F.sum("rows")).first()[0] or 0) * share)
     edge = (
         cumulative(histogram, "_n", "rows", descending=True)
         .where((F.col("below") < wanted) & (F.col("upto") >= wanted)).first()
@@ -39,13 +40,16 @@ def dense_share(
     if edge is None:
         return df.limit(0)
     threshold, open_places = edge["_n"], wanted - edge["below"]
-    above = sized.where(F.col("_n") > threshold).select(*df.columns)
+    reaching = sized.where(F.col("_n") >= threshold)
     if open_places == edge["rows"]:
-        return sized.where(F.col("_n") >= threshold).select(*df.columns)
+        return reaching.select(*df.columns)
     tied = sized.where(F.col("_n") == threshold).select(key).withColumn("_key", order_key(seed, F.col(key)))
-    chosen = hash_rank(tied, "_key", key, rows=edge["rows"], name="_rank").where(F.col("_rank") <= open_places)
-    at_edge = sized.where(F.col("_n") == threshold).join(chosen.select(key), key, "left_semi")
-    return above.unionByName(at_edge.select(*df.columns))
+    chosen = (
+        hash_rank(tied, "_key", key, rows=edge["rows"], name="_rank")
+        .where(F.col("_rank") <= open_places).select(key, F.lit(True).alias("_in"))
+    )
+    kept = reaching.join(chosen, key, "left").where((F.col("_n") > threshold) | F.col("_in"))
+    return kept.select(*df.columns)
 
 
 def random_batches(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accrete.functions.scoring import answer_score
+from accrete.functions.scoring import normalised_truths, score_against
 from accrete.functions.text import fixed, prefix_text
 
 
@@ -13,14 +13,15 @@ def scored(truths: DataFrame, base: DataFrame, tuned: DataFrame, key: str, answe
            prediction: str = "prediction") -> DataFrame:
     """Truths with both predictions and both scores, matched by key; one row per truth."""
     both = (
-        truths
+        truths.withColumn("_truths", normalised_truths(F.col(answers)))
         .join(base.select(key, F.col(prediction).alias("base")), key)
         .join(tuned.select(key, F.col(prediction).alias("tuned")), key)
     )
     return (
-        both.withColumn("base_score", answer_score(F.col("base"), F.col(answers)))
-        .withColumn("tuned_score", answer_score(F.col("tuned"), F.col(answers)))
+        both.withColumn("base_score", score_against(F.col("base"), F.col("_truths")))
+        .withColumn("tuned_score", score_against(F.col("tuned"), F.col("_truths")))
         .withColumn("tuned_wins", F.col("tuned_score") > F.col("base_score"))
+        .drop("_truths")
     )
 
 

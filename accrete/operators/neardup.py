@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from accrete.session import checkpointed
 HASH_BITS = 64
 # A join key shared by more hashes than this is split on further bits.
 CROWDED = 2048
+# Hashes compared as one block.
+BLOCK_HASHES = 1024
 
 
 def duplicate_groups(df: DataFrame, key: str, hash_column: str = "dhash") -> DataFrame:
@@ -80,17 +84,74 @@ def _table(spark: SparkSession, paths: list[dict]) -> DataFrame:
 
 
 def _pairs(keyed: DataFrame, table: DataFrame, distance: int) -> DataFrame:
+    """Pairs under keys shared by few hashes: an equi-join, filtered as it is made."""
     left = keyed.select("key", F.col("hash").alias("hash_a"), F.col("rows").alias("rows_a"))
     right = keyed.select("key", F.col("hash").alias("hash_b"), F.col("rows").alias("rows_b"))
-    gap = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
     near = hamming(F.col("hash_a"), F.col("hash_b"))
-    first = F.forall("differ", lambda mask: gap.bitwiseAND(mask) != 0)
+    pairs = left.join(right, "key").where((F.col("hash_a") < F.col("hash_b")) & (near <= distance)).select(
+        F.col("key.path").alias("path"), "hash_a", "hash_b", near.alias("distance"), "rows_a", "rows_b"
+    )
+    return _found_first(pairs, table).select("hash_a", "hash_b", "distance", "rows_a", "rows_b")
+
+
+def _block_pairs(sized: DataFrame, table: DataFrame, distance: int, block: int = BLOCK_HASHES) -> DataFrame:
+    """Pairs under crowded keys: hashes are packed into even blocks, and every two blocks of a key
+    are one row, compared as bit matrices. Blocks spread over all tasks; only true pairs come out."""
+    blocks = F.ceil(F.col("sharing") / block)
+    packed = (
+        sized.withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("hash"), "blocks"))
+        .groupBy("key", "blocks", "block")
+        .agg(F.collect_list("hash").alias("hashes"), F.collect_list("rows").alias("counts"))
+    )
+    left = packed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
+    right = packed.select("key", F.col("block").alias("other"), F.col("hashes").alias("hashes_b"),
+                          F.col("counts").alias("counts_b"))
+    met = left.join(right, ["key", "other"]).select(
+        F.col("key.path").alias("path"), (F.col("block") == F.col("other")).alias("same"),
+        "hashes", "counts", "hashes_b", "counts_b",
+    )
+
+    def compare(batches):
+        for batch in batches:
+            paths, same = batch.column("path"), batch.column("same")
+            for i in range(batch.num_rows):
+                a, rows_a, b, rows_b = (batch.column(c)[i].values.to_numpy() for c in range(2, 6))
+                gap = np.bitwise_count((a[:, None] ^ b[None, :]).view(np.uint64))
+                near = gap <= distance
+                if same[i].as_py():
+                    near &= np.triu(np.ones(near.shape, bool), 1)
+                at, to = np.nonzero(near)
+                turned = a[at] > b[to]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(at), paths[i].as_py(), np.int32)),
+                        pa.array(np.where(turned, b[to], a[at])), pa.array(np.where(turned, a[at], b[to])),
+                        pa.array(gap[at, to].astype(np.int32)),
+                        pa.array(np.where(turned, rows_b[to], rows_a[at])),
+                        pa.array(np.where(turned, rows_a[at], rows_b[to])),
+                    ],
+                    names=["path", "hash_a", "hash_b", "distance", "rows_a", "rows_b"],
+                )
+
+    pairs = met.mapInArrow(
+        compare, "path int, hash_a bigint, hash_b bigint, distance int, rows_a bigint, rows_b bigint"
+    )
+    return _found_first(pairs, table).select("hash_a", "hash_b", "distance", "rows_a", "rows_b")
+
+
+def _found_first(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Only the pairs met at their first agreeing band of every level."""
+    gap = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
+    differs = F.forall("differ", lambda mask: gap.bitwiseAND(mask) != 0)
+    return pairs.join(F.broadcast(table.select("path", "differ")), "path").where(differs)
+
+
+def _under(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """`rows` (hash, rows, path) under every band choice below their path, keyed by the agreeing bits."""
     return (
-        left.join(right, "key")
-        .where((F.col("hash_a") < F.col("hash_b")) & (near <= distance))
-        .join(F.broadcast(table.select("path", "differ")), F.col("key.path") == F.col("path"))
-        .where(first)
-        .select("hash_a", "hash_b", near.alias("distance"), "rows_a", "rows_b")
+        rows.withColumnRenamed("path", "parent").join(F.broadcast(table), "parent")
+        .select("hash", "rows", F.struct("path", F.col("hash").bitwiseAND(F.col("agree")).alias("bits")).alias("key"))
     )
 
 
@@ -101,9 +162,9 @@ def similar_hashes(
 
     Rows are first reduced to distinct hashes with their counts, so copies of one image never
     pair up among themselves. Hashes are then joined on exact bits (nested bands, as in Manku
-    et al., WWW 2007). A key shared by more than `crowded` hashes is not joined: its hashes go
-    one level down, to keys of ever more agreeing bits, until at most `crowded` different
-    hashes can share a key at all.
+    et al., WWW 2007). Keys shared by more than `crowded` hashes are not joined: they go one
+    level down, to keys of more agreeing bits, as long as that at least halves the comparisons.
+    What stays crowded is truly close together and is compared block by block.
     """
     spark = df.sparkSession
     hashes = df.where(F.col(hash_column).isNotNull()).groupBy(F.col(hash_column).alias("hash")).agg(
@@ -111,25 +172,25 @@ def similar_hashes(
     )
     pending = checkpointed(hashes).withColumn("path", F.lit(0))
     paths = [{"path": 0, "agree": [], "differ": [], "left": list(range(HASH_BITS))}]
-    found = []
+    found, close, table, cost = [], None, None, 0
     while True:
-        paths = _grow(paths, distance)
-        table = _table(spark, paths)
-        keyed = (
-            pending.withColumnRenamed("path", "parent")
-            .join(F.broadcast(table), "parent")
-            .select(
-                "hash", "rows",
-                F.struct("path", F.col("hash").bitwiseAND(F.col("agree")).alias("bits")).alias("key"),
-            )
-        )
+        deeper = _grow(paths, distance)
+        below = _table(spark, deeper)
+        keyed = _under(pending, below)
         counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        most = counts.agg(F.max("n")).first()[0] or 0
-        if most <= crowded or all(2 ** len(p["left"]) <= crowded for p in paths):
+        most, compared, left_over = counts.agg(
+            F.max("n"), F.sum(F.col("n") * F.col("n")), F.sum(F.when(F.col("n") > crowded, F.col("n") * F.col("n")))
+        ).first()
+        if close is not None and compared * 2 > cost:
+            found.append(_block_pairs(close, table, distance))
+            break
+        paths, table = deeper, below
+        if (most or 0) <= crowded:
             found.append(_pairs(keyed, table, distance))
-            return reduce(DataFrame.unionByName, found)
+            break
         sized = balanced_lookup(keyed, counts.withColumn("sharing", F.col("n")), "key", weight="n")
         found.append(_pairs(sized.where(F.col("sharing") <= crowded), table, distance))
-        pending = checkpointed(
-            sized.where(F.col("sharing") > crowded).select("hash", "rows", F.col("key.path").alias("path"))
-        )
+        close = checkpointed(sized.where(F.col("sharing") > crowded))
+        pending = close.select("hash", "rows", F.col("key.path").alias("path"))
+        cost = left_over
+    return reduce(DataFrame.unionByName, found)

@@ -92,15 +92,31 @@ def fine_rasters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bumped_rasters(spark: SparkSession, folder: str) -> DataFrame:
+    """(vec_id, px): pictures that differ from their label's picture in two places, so that very
+    many different hashes lie a few bits apart."""
+    bump = lambda i, at: F.when(i == at, 60).otherwise(0)
+    pixel = lambda i: (
+        (F.col("label") * 31 + i * i * 7) % 97 + bump(i, F.col("vec_id") % 72)
+        + bump(i, F.floor(F.col("vec_id") / 7) % 72)
+    ).cast("int")
+    return table(spark, folder, "embeddings").select(
+        "vec_id", F.transform(F.sequence(F.lit(0), F.lit(71)), pixel).alias("px")
+    )
+
+
 def pictures(spark: SparkSession, folder: str) -> DataFrame:
     """(vec_id, image): an 18x16 colour picture per vector as binary PPM; every 25th is empty."""
-    gray = F.transform("embedding", lambda e: (F.floor(F.abs(e.cast("double")) * 1000) % 256).cast("int"))
-    bright = lambda i: F.get("g", ((F.floor(i / 3) + i % 3 * 5) % 64).cast("int"))
-    size = IMAGE_WIDTH * IMAGE_HEIGHT * 3
-    body = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.lpad(F.hex(bright(i)), 2, "0")), "")
+    level = lambda e: F.floor(F.abs(e.cast("double")) * 1000) % 256
+    levels = F.transform("embedding", lambda e: F.lpad(F.hex(level(e)), 2, "0"))
+    turned = lambda n: F.concat(F.slice("levels", n + 1, 64 - n), F.slice("levels", 1, n))
+    both = lambda a, b: F.concat(a, b)
+    pixels = F.zip_with(F.zip_with("levels", turned(5), both), turned(10), both)
+    # Pixel p takes levels p, p+5 and p+10, modulo 64: the 64 pixels repeat to fill 18 x 16.
+    body = F.substring(F.repeat(F.array_join(pixels, ""), 5), 1, IMAGE_WIDTH * IMAGE_HEIGHT * 6)
     header = F.encode(F.lit(f"P6\n{IMAGE_WIDTH} {IMAGE_HEIGHT}\n255\n"), "UTF-8")
     image = F.when(F.col("vec_id") % 25 == 0, F.encode(F.lit(""), "UTF-8")).otherwise(F.concat(header, F.unhex(body)))
-    return table(spark, folder, "embeddings").withColumn("g", gray).select("vec_id", image.alias("image"))
+    return table(spark, folder, "embeddings").withColumn("levels", levels).select("vec_id", image.alias("image"))
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -165,6 +181,10 @@ SQL = {
     "rasters": """
         SELECT vec_id, list_transform(range(72), lambda i: ((label*31 + i*i*7 +
           CASE WHEN i = vec_id % 72 AND vec_id % 3 = 0 THEN 13 ELSE 0 END) % 97)::INT) AS px FROM embeddings""",
+    "bumped_rasters": """
+        SELECT vec_id, list_transform(range(72), lambda i: ((label*31 + i*i*7) % 97 +
+          CASE WHEN i = vec_id % 72 THEN 60 ELSE 0 END + CASE WHEN i = vec_id // 7 % 72 THEN 60 ELSE 0 END)::INT) AS px
+        FROM embeddings""",
     "fine_rasters": "SELECT vec_id, list_concat(embedding, embedding[1:8]) AS px FROM embeddings",
     "tokens": r"""
         SELECT doc_id AS id, CASE WHEN doc_id % 17 <> 0

@@ -489,7 +489,13 @@ def hamming_pairs(spark, folder):
 @query
 def hamming_pairs_fine(spark, folder):
     hashed = inputs.fine_rasters(spark, folder).select("vec_id", hashing.difference_hash(F.col("px")).alias("dhash"))
-    return _shown_pairs(neardup.similar_hashes(hashed, distance=16, crowded=32))
+    return _shown_pairs(neardup.similar_hashes(hashed, distance=12, crowded=64))
+
+
+@query
+def hamming_pairs_crowded(spark, folder):
+    hashed = inputs.bumped_rasters(spark, folder).select("vec_id", hashing.difference_hash(F.col("px")).alias("dhash"))
+    return _shown_pairs(neardup.similar_hashes(hashed, distance=3, crowded=16))
 
 
 def _shown_pairs(pairs):
