@@ -18,8 +18,9 @@ def normalised_truths(truths: Column) -> Column:
 def score_against(prediction: Column, normalised: Column) -> Column:
     """`answer_score` against truths already normalised: a table's truths are normalised once."""
     others = F.array_remove(normalised, normalise_answer(prediction))
-    score = F.least((F.size(normalised) - F.size(others)) / F.lit(FULL_MATCHES), F.lit(1.0))
-    return F.when(F.coalesce(prediction, F.lit("")) == "", 0.0).otherwise(F.coalesce(score, F.lit(0.0)))
+    agreeing = F.coalesce(F.size(normalised) - F.size(others), F.lit(0))
+    score = F.least(agreeing / F.lit(FULL_MATCHES), F.lit(1.0))
+    return F.when(F.coalesce(prediction, F.lit("")) == "", 0.0).otherwise(score)
 
 
 def answer_score(prediction: Column, truths: Column) -> Column:
