@@ -57,7 +57,7 @@ class FeatureTable:
             "parts": [],
             "features": {},
         }
-        return cls(spark, folder, manifest).append(df, bucketed=True)
+        return cls(spark, folder, manifest)._add_part(df, bucketed=True, part=None)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, version: int | None = None) -> FeatureTable:
@@ -120,7 +120,13 @@ class FeatureTable:
 
     def append(self, df: DataFrame, bucketed: bool = False, part: str | None = None) -> FeatureTable:
         """Add rows below the existing ones. Increments of at least a few thousand rows per bucket
-        should be `bucketed`; small ones stay loose. A part already committed is left alone."""
+        should be `bucketed`; small ones stay loose. A part already committed is left alone.
+
+        Like every change, it builds on the newest version and publishes the next one; of two
+        writers at the same moment one gets FileExistsError and can simply try again."""
+        return self.latest()._add_part(df, bucketed, part)
+
+    def _add_part(self, df: DataFrame, bucketed: bool, part: str | None) -> FeatureTable:
         part = part or f"p{len(self.manifest['parts']):06d}-{uuid.uuid4().hex[:8]}"
         if any(p["name"] == part for p in self.manifest["parts"]):
             return self
@@ -138,9 +144,10 @@ class FeatureTable:
     def add_columns(self, features: dict[str, FeatureDef] | list[FeatureDef]) -> FeatureTable:
         """Register feature columns; they read as null until backfilled. Unchanged ones are kept."""
         listed = features.values() if isinstance(features, dict) else features
-        known = dict(self.features)
+        table = self.latest()
+        known = dict(table.features)
         for f in listed:
-            if f.name in self.raw_schema.names:
+            if f.name in table.raw_schema.names:
                 raise ValueError(f"{f.name} is a raw column")
             if f.name in known and known[f.name]["fingerprint"] == f.fingerprint():
                 continue
@@ -149,14 +156,15 @@ class FeatureTable:
                 "fingerprint": f.fingerprint(), "complete": [], "chunks": [],
                 "folder": f"features/{f.name}-{f.fingerprint()}-{uuid.uuid4().hex[:6]}",
             }
-        return self if known == self.features else self._commit(features=known)
+        return table if known == table.features else table._commit(features=known)
 
     def drop_columns(self, names: list[str]) -> FeatureTable:
         """A version without these features; earlier versions still read them."""
-        missing = [n for n in names if n not in self.features]
+        table = self.latest()
+        missing = [n for n in names if n not in table.features]
         if missing:
             raise KeyError(f"not feature columns: {missing}")
-        return self._commit(features={n: f for n, f in self.features.items() if n not in names})
+        return table._commit(features={n: f for n, f in table.features.items() if n not in names})
 
     def backfill(
         self, feature: FeatureDef, concurrency: int = 1, task_size: int | None = None,
