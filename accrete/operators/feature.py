@@ -104,9 +104,10 @@ class FeatureDef:
         def pack(values):
             if not half:
                 return values
-            rows = values.to_pylist() if isinstance(values, pa.Array) else values
+            if isinstance(values, pa.Array):
+                values = [row.values.to_numpy(zero_copy_only=False) if row.is_valid else None for row in values]
             out = []
-            for row in rows:
+            for row in values:
                 if row is not None:
                     row = np.asarray(row, np.float32).astype(np.float16)
                     if length is not None and row.size != length:

@@ -12,22 +12,23 @@ HOT_PARTS = 1000
 def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
     """Left join of `rows` to `lookup` (one row per key, `weight` = its number of rows).
 
-    Hot keys are matched by broadcast: at most HOT_PARTS keys can each hold more than
-    1/HOT_PARTS of the rows, whatever the data. All other keys go through a shuffled join in
-    which none is large.
+    Hot keys are matched by broadcast: fewer than HOT_PARTS keys can each hold more than
+    1/HOT_PARTS of the rows, whatever the data. All other keys meet their row in a shuffled
+    join; the hot rows pass through it spread by a salt nothing on the other side carries.
     """
     total = lookup.agg(F.sum(weight)).first()[0] or 0
     values = [c for c in lookup.columns if c not in (key, weight)]
     is_hot = F.col(weight) * HOT_PARTS > F.lit(total)
     hot = lookup.where(is_hot).select(key, F.struct(*values).alias("_hot"))
-    rest = lookup.where(~is_hot).select(key, F.struct(*values).alias("_rest"))
-    marked = rows.join(F.broadcast(hot), key, "left")
-    cold = marked.where(F.col("_hot").isNull()).join(rest, key, "left")
-    warm = marked.where(F.col("_hot").isNotNull()).withColumn(
-        "_rest", F.lit(None).cast(rest.schema["_rest"].dataType)
-    )
+    rest = lookup.where(~is_hot).select(key, F.lit(0).alias("_salt"), F.struct(*values).alias("_rest"))
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_PARTS)).cast("int") + 1
     found: list[Column] = [F.coalesce(f"_hot.{v}", f"_rest.{v}").alias(v) for v in values]
-    return cold.unionByName(warm).select(*rows.columns, *found)
+    return (
+        rows.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(spread))
+        .join(rest, [key, "_salt"], "left")
+        .select(*rows.columns, *found)
+    )
 
 
 def take_rows(df: DataFrame, ids: list[int], key: str, columns: list[str]) -> DataFrame:

@@ -17,8 +17,6 @@ from accrete.session import checkpointed
 # Rows one task ranks at a time, and the longest digest prefix (16^5 offsets per group).
 BUCKET_ROWS = 500_000
 LONGEST_PREFIX = 5
-# Values one task sums at a time in `cumulative`.
-VALUE_BUCKET = 4096
 
 
 def prefix_length(rows: int) -> int:
@@ -57,23 +55,27 @@ def hash_rank(
     )
 
 
+def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """`df` sorted across the cluster and written once, so that every later read sees each row in
+    the same sorted partition `_part` at the same place `_at` (from 0)."""
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return checkpointed(df.orderBy(*order)).select("*", F.spark_partition_id().alias("_part"), at.alias("_at"))
+
+
 def sorted_rank(df: DataFrame, order: list[str | Column], name: str = "rank") -> DataFrame:
-    """Add the 1-based position in a total order. Rows are sorted and written once.
+    """Add the 1-based position in a total order; rows are sorted and written once.
 
     Offsets are one row per sorted partition, a number set by spark.sql.shuffle.partitions and
     not by the data, hence the broadcast.
     """
-    placed = checkpointed(df.orderBy(*order)).select(
-        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")
-    )
+    placed = _placed(df, order)
     offsets = (
         placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
         .select("_part", _exclusive_sum("_n", [], "_part").alias("_offset"))
     )
-    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, inside + F.col("_offset") + 1)
+        .withColumn(name, F.col("_at") + F.col("_offset") + 1)
         .select(*df.columns, name)
     )
 
@@ -81,20 +83,20 @@ def sorted_rank(df: DataFrame, order: list[str | Column], name: str = "rank") ->
 def cumulative(
     histogram: DataFrame, value: str, count: str, groups: tuple[str, ...] = (), descending: bool = False
 ) -> DataFrame:
-    """Running count over a histogram of integers, `below` (exclusive) and `upto` (inclusive).
+    """Running count over a histogram in value order, `below` (exclusive) and `upto` (inclusive).
 
-    Values are cut into runs of VALUE_BUCKET, so no task holds more than that many rows.
+    The histogram (distinct values, however many) is range-partitioned; each task sums its own
+    range, and the ranges before it come in as one offset.
     """
     groups = list(groups)
-    runs = [*groups, "_run"]
-    signed = -F.col(value) if descending else F.col(value)
-    bucketed = histogram.withColumn("_at", signed).withColumn("_run", F.floor(F.col("_at") / VALUE_BUCKET))
+    runs = [*groups, "_part"]
+    placed = _placed(histogram, [*groups, F.col(value).desc() if descending else F.col(value).asc()])
     offsets = (
-        bucketed.groupBy(*runs).agg(F.sum(count).alias("_n"))
-        .select(*runs, _exclusive_sum("_n", groups, "_run").alias("_offset"))
+        placed.groupBy(*runs).agg(F.sum(count).alias("_n"))
+        .select(*runs, _exclusive_sum("_n", groups, "_part").alias("_offset"))
     )
     return (
-        bucketed.withColumn("_before", _exclusive_sum(count, runs, "_at"))
+        placed.withColumn("_before", _exclusive_sum(count, runs, "_at"))
         .join(offsets, runs)
         .withColumn("below", F.col("_before") + F.col("_offset"))
         .withColumn("upto", F.col("below") + F.col(count))

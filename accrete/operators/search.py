@@ -6,8 +6,6 @@ the corpus and lets only its k best per query out.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +18,11 @@ from accrete.session import BROADCAST_BYTES, checkpointed
 QUERY_BLOCK = 256
 CORPUS_BLOCK = 4096
 # Packed blocks of the large-by-large search.
-PACKED_ROWS = 1024
+PACKED_ROWS = 4096
 PIVOTS = 64
+# Partial results (k per query and task) a search may send to its merge.
+PARTIAL_ROWS = 1_000_000_000
+FEWEST_TASKS = 1000
 
 
 def pick_row(df: DataFrame, position: int, key: str, columns: list[str]):
@@ -131,11 +132,14 @@ def nearest_each(
                 names=["query_id", "neighbour_id", "gap"],
             )
 
-    return _final(stored.mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
+    # Many queries: fewer, longer tasks, so that k rows per query and task stay a small merge.
+    tasks = max(FEWEST_TASKS, PARTIAL_ROWS // max(count * k, 1))
+    return _final(stored.coalesce(tasks).mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
 
 
 def _pack(df: DataFrame, keys: list[str], row_id: str, vector: str, ids: str, vectors: str) -> DataFrame:
-    """One row per block: its ids and its vectors as float64 bytes. A block holds few rows by construction."""
+    """One row per block: its ids and its vectors as bytes. A block holds few rows by construction."""
+    width = _bytes_type(df, vector)
     pieces = F.array_sort(F.collect_list(F.struct(F.col(row_id).alias("id"), F.col(vector).alias("v"))))
     packed = df.groupBy(*keys).agg(pieces.alias("rows"))
     schema = packed.select(*keys).schema
@@ -148,7 +152,7 @@ def _pack(df: DataFrame, keys: list[str], row_id: str, vector: str, ids: str, ve
             for i in range(batch.num_rows):
                 block = rows[i].values
                 out_ids.append(block.field("id").to_pylist())
-                out_vectors.append(list_matrix(block.field("v")).tobytes())
+                out_vectors.append(list_matrix(block.field("v"), width).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keys], pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_vectors, pa.binary())],
                 names=[*keys, ids, vectors],
@@ -157,6 +161,10 @@ def _pack(df: DataFrame, keys: list[str], row_id: str, vector: str, ids: str, ve
     return packed.mapInArrow(run, f"{columns}, {ids} array<bigint>, {vectors} binary")
 
 
+def _bytes_type(df: DataFrame, vector: str) -> str:
+    return "float32" if df.schema[vector].dataType.simpleString() == "array<float>" else "float64"
+
+
 def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool = False) -> DataFrame:
     """k nearest neighbours when neither side fits a task; exact, after the pivot-based kNN join
     of Lu et al. (VLDB 2012).
@@ -198,7 +206,7 @@ def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool =
     cells = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("rows"), F.min("reach").alias("least"), F.max("reach").alias("most")
     ).orderBy("cell").toPandas()
-    blocks = {int(c): max(1, math.ceil(n / PACKED_ROWS)) for c, n in zip(cells.cell, cells.rows)}
+    blocks = {int(c): max(1, -(-int(n) // PACKED_ROWS)) for c, n in zip(cells.cell, cells.rows)}
     index, least, most = cells.cell.to_numpy(), cells.least.to_numpy(), cells.most.to_numpy()
 
     def visit(batches):
@@ -221,7 +229,7 @@ def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool =
 
     query_type = asked.schema["query_vec"].dataType.simpleString()
     visits = checkpointed(asked.mapInArrow(visit, f"query_id bigint, query_vec {query_type}, cell int"))
-    visiting = {int(r["cell"]): max(1, math.ceil(r["count"] / PACKED_ROWS)) for r in visits.groupBy("cell").count().collect()}
+    visiting = {int(r["cell"]): max(1, -(-r["count"] // PACKED_ROWS)) for r in visits.groupBy("cell").count().collect()}
 
     def parts(sizes: dict[int, int]) -> Column:
         return F.create_map(*[F.lit(x) for item in sizes.items() for x in item])[F.col("cell")]
@@ -241,15 +249,17 @@ def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool =
         "block", F.explode(F.sequence(F.lit(0), parts(blocks) - 1))
     ).join(corpus_blocks, ["cell", "block"]).select("asked", "asks", "ids", "vectors")
 
+    asks_type, vectors_type = _bytes_type(asked, "query_vec"), _bytes_type(stored, "vector")
+
+    def matrix(packed: pa.BinaryScalar, rows: int, width: str) -> np.ndarray:
+        return np.frombuffer(packed.as_buffer(), width).reshape(rows, -1).astype(np.float64)
+
     def multiply(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                asked_ids = np.asarray(batch.column("asked")[i].as_py(), np.int64)
-                ids = np.asarray(batch.column("ids")[i].as_py(), np.int64)
-                asks = np.frombuffer(batch.column("asks")[i].as_py()).reshape(len(asked_ids), -1)
-                vectors = np.frombuffer(batch.column("vectors")[i].as_py()).reshape(len(ids), -1)
-                best = BestK(asks, k)
-                best.add(vectors, ids)
+                asked_ids, ids = (batch.column(c)[i].values.to_numpy() for c in ("asked", "ids"))
+                best = BestK(matrix(batch.column("asks")[i], len(asked_ids), asks_type), k)
+                best.add(matrix(batch.column("vectors")[i], len(ids), vectors_type), ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(asked_ids[best.rows]), pa.array(best.ids), pa.array(best.gaps)],
                     names=["query_id", "neighbour_id", "gap"],

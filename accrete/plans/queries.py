@@ -401,11 +401,12 @@ def knn_batch_blocks(spark, folder):
 # ---- scoring -----------------------------------------------------------------------------------
 
 
-def _scores(spark, folder):
-    return evaluate.scored(
-        inputs.truths(spark, folder), inputs.predictions(spark, folder, "base"),
-        inputs.predictions(spark, folder, "tuned"), "id",
-    )
+def _scores(spark, folder, first=None):
+    truths = inputs.truths(spark, folder)
+    if first:
+        truths = curate.first_rows(truths, "id", first, truths.columns)
+    base, tuned = (inputs.predictions(spark, folder, which) for which in ("base", "tuned"))
+    return evaluate.scored(truths, base, tuned, "id")
 
 
 @query
@@ -435,8 +436,8 @@ def eval_table(spark, folder):
 
 @query
 def eval_head(spark, folder):
-    rows = evaluate.comparison(_scores(spark, folder), "id", "question")
-    return curate.first_rows(rows, "id", 256, ["id", "base", "tuned", "tuned_wins"])
+    rows = evaluate.comparison(_scores(spark, folder, first=256), "id", "question")
+    return rows.select("id", "base", "tuned", "tuned_wins")
 
 
 @query

@@ -52,15 +52,23 @@ def test_sorted_rank(spark):
     assert got == {i: n + 1 for n, i in enumerate(want)}
 
 
-def test_cumulative_crosses_runs(spark, monkeypatch):
-    monkeypatch.setattr(rank, "VALUE_BUCKET", 3)
-    df = spark.createDataFrame([(v, v % 4 + 1) for v in range(-7, 20)], "v bigint, n bigint")
-    below = 0
-    for v, n, lo, hi in table(rank.cumulative(df, "v", "n"), "v"):
-        assert (lo, hi) == (below, below + n)
-        below += n
-    down = table(rank.cumulative(df, "v", "n", descending=True), F.col("v").desc())
-    assert down[0][2] == 0 and down[-1][3] == below
+def test_cumulative_crosses_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.createDataFrame([(g, v, (v + g) % 4 + 1) for g in (0, 1) for v in range(-7, 40)], "g int, v bigint, n bigint")
+        assert rank._placed(df, ["g", "v"]).select("_part").distinct().count() > 4
+        running = table(rank.cumulative(df, "v", "n", groups=("g",)).select("g", "v", "n", "below", "upto"), "g", "v")
+        for g in (0, 1):
+            below = 0
+            for _, v, n, lo, hi in (r for r in running if r[0] == g):
+                assert (lo, hi) == (below, below + n)
+                below += n
+        one = df.where("g = 0").drop("g")
+        down = table(rank.cumulative(one, "v", "n", descending=True), F.col("v").desc())
+        assert down[0][2] == 0 and down[-1][3] == sum(r[1] for r in down)
+        assert all(a[3] == b[2] for a, b in zip(down, down[1:]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 # ---- profile -----------------------------------------------------------------------------------
