@@ -26,13 +26,14 @@ def dense_share(
 ) -> DataFrame:
     """Exactly floor(share * rows) rows with the longest `items` lists; hash order breaks ties.
 
-    Lengths are counted first; only the rows at the threshold length are ranked, and those by
-    evenly spread digest buckets, so one very common length does not end up in one task.
+    Keys and lengths are written once. They give the threshold length and, among the rows of
+    that length, the last digest let in; the slice itself is then a plain filter on the wide
+    rows, with no join and no shuffle.
     """
-    sized = df.withColumn("_n", item_count(F.col(items)).cast("bigint"))
-    # One row per list length: written once, read for the total and for the running count.
-    histogram = checkpointed(sized.groupBy("_n").agg(F.count(F.lit(1)).alias("rows")))
-    wanted = int((histogram.agg(F.sum("rows")).first()[0] or 0) * share)
+    length = item_count(F.col(items)).cast("bigint")
+    sized = checkpointed(df.select(key, length.alias("_n")))
+    histogram = sized.groupBy("_n").agg(F.count(F.lit(1)).alias("rows"))
+    wanted = int(sized.count() * share)
     edge = (
         cumulative(histogram, "_n", "rows", descending=True)
         .where((F.col("below") < wanted) & (F.col("upto") >= wanted)).first()
@@ -40,16 +41,13 @@ def dense_share(
     if edge is None:
         return df.limit(0)
     threshold, open_places = edge["_n"], wanted - edge["below"]
-    reaching = sized.where(F.col("_n") >= threshold)
     if open_places == edge["rows"]:
-        return reaching.select(*df.columns)
-    tied = sized.where(F.col("_n") == threshold).select(key).withColumn("_key", order_key(seed, F.col(key)))
-    chosen = (
-        hash_rank(tied, "_key", key, rows=edge["rows"], name="_rank")
-        .where(F.col("_rank") <= open_places).select(key, F.lit(True).alias("_in"))
-    )
-    kept = reaching.join(chosen, key, "left").where((F.col("_n") > threshold) | F.col("_in"))
-    return kept.select(*df.columns)
+        return df.where(length >= threshold)
+    digest = order_key(seed, F.col(key))
+    tied = sized.where(F.col("_n") == threshold).select(key, digest.alias("_key"))
+    last = hash_rank(tied, "_key", key, rows=edge["rows"], name="_rank").where(F.col("_rank") == open_places).first()
+    let_in = (digest < last["_key"]) | ((digest == last["_key"]) & (F.col(key) <= last[key]))
+    return df.where((length > threshold) | ((length == threshold) & let_in))
 
 
 def random_batches(

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrete.functions.text import clip_upper
 from accrete.operators.rank import cumulative
+from accrete.session import checkpointed
 
 
 def value_counts(df: DataFrame, column: str, ascending: bool = False) -> DataFrame:
@@ -28,7 +30,7 @@ def int_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     before the shuffle and the middle is found by a running count, never by gathering a column.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value")) for c in columns])
-    histogram = (
+    histogram = checkpointed(
         df.select(F.inline(pairs)).where(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -56,14 +58,20 @@ def clipped_histogram(df: DataFrame, column: str, cap: int) -> DataFrame:
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 20, cap: int | None = None) -> DataFrame:
     """(bin, left, right, count) over equal bins from the least to the greatest value, last bin closed."""
     value = F.col(column) if cap is None else clip_upper(F.col(column), cap)
-    values = df.select(value.cast("double").alias("value")).where(F.col("value").isNotNull())
+    kept = df.select(value.alias("value")).where(F.col("value").isNotNull())
+    if isinstance(kept.schema["value"].dataType, T.IntegralType):
+        # Integers repeat: count them per value once, then find the range and the bins on that.
+        values = checkpointed(kept.groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        values = kept.withColumn("n", F.lit(1))
+    values = values.select(F.col("value").cast("double").alias("value"), "n")
     low, high = values.agg(F.min("value"), F.max("value")).first()
     if low is None:
         low, high = 0.0, 1.0
     elif low == high:
         low, high = low - 0.5, high + 0.5
     at = F.least(F.floor((F.col("value") - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
-    counted = values.groupBy(at.alias("bin")).count()
+    counted = values.groupBy(at.alias("bin")).agg(F.sum("n").alias("count"))
     edge = lambda i: F.lit(low) + i * F.lit(high - low) / bins
     return (
         df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))

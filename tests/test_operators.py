@@ -250,6 +250,12 @@ def test_dense_share_is_exact(spark, lengths):
     assert got == set(order[: len(lengths) // 4])
 
 
+def test_dense_share_is_a_filter(spark, plan):
+    df = spark.createDataFrame([(i, ["x"] * (i % 3)) for i in range(90)], "id bigint, l array<string>")
+    text = plan(curate.dense_share(df, "id", "l", 0.25))
+    assert "Exchange" not in text and "Join" not in text
+
+
 def test_split_is_stable_under_append(spark):
     split = lambda n: {r.id: r.split for r in curate.holdout_split(spark.range(n), "id", 400).collect()}
     small, large = split(500), split(1000)
@@ -378,3 +384,4 @@ def test_read_rates(spark):
     assert readrate.sequential_rate(df, ["v"], 8)[0] == 100
     rows, rate = readrate.shuffled_rate(df, "id", ["v"], batches=3, batch_size=4)
     assert rows == 12 and rate > 0
+    assert readrate.epoch_rate(df, "id", ["v"], 8)[0] == 100
