@@ -62,15 +62,13 @@ def random_batches(
     wanted = min(size, rows)
     numbers = F.sequence(F.lit(0), F.lit(batches - 1))
     drawn = df.select(key, F.explode(numbers).alias("batch")).withColumn("_key", order_key(seed, F.col("batch"), F.col(key)))
-    head = F.conv(F.substring("_key", 1, 12), 16, 10).cast("bigint")
     reach = 4 * size + 64
     while True:
-        bound = (1 << 48) if reach >= rows else (1 << 48) * reach // rows
-        near = drawn.where(head < bound)
-        full = bound >= 1 << 48 or (
-            near.groupBy("batch").count().where(F.col("count") >= wanted).count() == batches
-        )
-        if full:
+        # The first 12 hex digits of a digest, read as a number, are even over 0 .. 2^48.
+        bound = (1 << 48) * reach // max(rows, 1)
+        whole = bound >= 1 << 48
+        near = drawn if whole else checkpointed(drawn.where(F.col("_key") < f"{bound:012x}"))
+        if whole or near.groupBy("batch").count().where(F.col("count") >= wanted).count() == batches:
             break
         reach *= 4
     place = F.row_number().over(Window.partitionBy("batch").orderBy("_key", key))

@@ -20,7 +20,9 @@ def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -
     values = [c for c in lookup.columns if c not in (key, weight)]
     is_hot = F.col(weight) * HOT_PARTS > F.lit(total)
     hot = lookup.where(is_hot).select(key, F.struct(*values).alias("_hot"))
-    rest = lookup.where(~is_hot).select(key, F.lit(0).alias("_salt"), F.struct(*values).alias("_rest"))
+    # Always 0, but not a literal: the optimizer would drop a literal from the join keys.
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+    rest = lookup.where(~is_hot).select(key, zero.alias("_salt"), F.struct(*values).alias("_rest"))
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_PARTS)).cast("int") + 1
     found: list[Column] = [F.coalesce(f"_hot.{v}", f"_rest.{v}").alias(v) for v in values]
     return (

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrete.functions.hashing import hamming
@@ -15,7 +16,7 @@ from accrete.session import checkpointed
 
 HASH_BITS = 64
 # A join key shared by more hashes than this is split on further bits.
-CROWDED = 2048
+CROWDED = 128
 # Hashes compared as one block.
 BLOCK_HASHES = 1024
 
@@ -44,115 +45,102 @@ def duplicate_summary(df: DataFrame, hash_column: str = "dhash") -> DataFrame:
     )
 
 
-def _bands(bits: list[int], parts: int) -> list[list[int]]:
-    """Split bit positions into `parts` runs of nearly equal length."""
-    edges = [round(i * len(bits) / parts) for i in range(parts + 1)]
-    return [bits[a:b] for a, b in zip(edges, edges[1:])]
-
-
-def _mask(bits: list[int]) -> int:
-    """Bit positions as a signed 64-bit mask."""
-    value = sum(1 << b for b in bits)
-    return value - (1 << 64) if value >= 1 << 63 else value
+def _bands(ones: list[int], rows: int, parts: int) -> list[int]:
+    """Disjoint bit masks (signed 64-bit) that tell the rows of a key apart about equally well.
 
+    `ones` counts the rows with each bit set. A bit nearly all rows agree on tells little, so
+    bits are dealt out by their entropy. With fewer than `parts` telling bits every pair is
+    near, and one empty mask keeps the key whole.
+    """
+    telling = []
+    for bit, n in enumerate(ones):
+        share = n / rows
+        if 0 < share < 1:
+            telling.append((-(share * math.log2(share) + (1 - share) * math.log2(1 - share)), bit))
+    if len(telling) < parts:
+        return [0]
+    masks, weights = [0] * parts, [0.0] * parts
+    for weight, bit in sorted(telling, reverse=True):
+        least = weights.index(min(weights))
+        masks[least] |= 1 << bit
+        weights[least] += weight
+    return [m - (1 << HASH_BITS) if m >> (HASH_BITS - 1) else m for m in masks]
+
+
+def _with_bands(crowd: DataFrame, distance: int) -> DataFrame:
+    """Rows (hash, rows, key, differ) with the band masks of their key, found from its bit counts."""
+    bands = F.udf(lambda ones, rows: _bands(list(ones), rows, distance + 1), "array<bigint>", useArrow=True)
+    ones = [F.sum(F.shiftrightunsigned("hash", b).bitwiseAND(F.lit(1))) for b in range(HASH_BITS)]
+    told = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array(*ones).alias("ones"))
+    masks = told.select("key", "n", bands("ones", "n").alias("masks"))
+    return checkpointed(balanced_lookup(crowd, checkpointed(masks), "key", weight="n"))
+
+
+def _under_bands(rows: DataFrame) -> DataFrame:
+    """Rows (hash, rows, key, differ, masks) once per mask, keyed by the bits under it as well.
+
+    Two hashes at most d apart agree on at least one of d+1 bands. A pair is taken at the first
+    band it agrees on, so the bands before it are added to `differ`: every pair is found once.
+    """
+    return rows.select("*", F.posexplode("masks").alias("_i", "_mask")).select(
+        "hash", "rows",
+        F.concat("key", F.array(F.col("_i").cast("bigint"), F.col("hash").bitwiseAND(F.col("_mask")))).alias("key"),
+        F.concat("differ", F.slice("masks", F.lit(1), F.col("_i"))).alias("differ"),
+    )
 
-def _grow(paths: list[dict], distance: int) -> list[dict]:
-    """Next level of band choices under each path.
 
-    Two hashes at most `distance` apart agree on at least one of distance+1 bands, and the same
-    holds again for the bits left over. A pair is taken at the first agreeing band of a level
-    only, so the earlier bands (`differ`) must differ: every pair is found exactly once.
-    """
-    grown = []
-    for parent in paths:
-        bands = _bands(parent["left"], distance + 1)
-        for i, band in enumerate(bands):
-            grown.append({
-                "parent": parent["path"],
-                "path": len(grown),
-                "agree": parent["agree"] + band,
-                "differ": parent["differ"] + [_mask(b) for b in bands[:i]],
-                "left": [b for b in parent["left"] if b not in band],
-            })
-    return grown
-
-
-def _table(spark: SparkSession, paths: list[dict]) -> DataFrame:
-    """The band choices of one level; their number depends on distance and level only, not on data."""
-    rows = [(p["parent"], p["path"], _mask(p["agree"]), p["differ"]) for p in paths]
-    return spark.createDataFrame(rows, "parent int, path int, agree bigint, differ array<bigint>")
-
-
-def _pairs(keyed: DataFrame, table: DataFrame, distance: int) -> DataFrame:
+def _pairs(keyed: DataFrame, distance: int) -> DataFrame:
     """Pairs under keys shared by few hashes: an equi-join, filtered as it is made."""
-    left = keyed.select("key", F.col("hash").alias("hash_a"), F.col("rows").alias("rows_a"))
+    left = keyed.select("key", "differ", F.col("hash").alias("hash_a"), F.col("rows").alias("rows_a"))
     right = keyed.select("key", F.col("hash").alias("hash_b"), F.col("rows").alias("rows_b"))
     near = hamming(F.col("hash_a"), F.col("hash_b"))
-    pairs = left.join(right, "key").where((F.col("hash_a") < F.col("hash_b")) & (near <= distance)).select(
-        F.col("key.path").alias("path"), "hash_a", "hash_b", near.alias("distance"), "rows_a", "rows_b"
+    gap = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
+    first = F.forall("differ", lambda mask: gap.bitwiseAND(mask) != 0)
+    return left.join(right, "key").where((F.col("hash_a") < F.col("hash_b")) & (near <= distance) & first).select(
+        "hash_a", "hash_b", near.alias("distance"), "rows_a", "rows_b"
     )
-    return _found_first(pairs, table).select("hash_a", "hash_b", "distance", "rows_a", "rows_b")
 
 
-def _block_pairs(sized: DataFrame, table: DataFrame, distance: int, block: int = BLOCK_HASHES) -> DataFrame:
+def _block_pairs(crowd: DataFrame, distance: int) -> DataFrame:
     """Pairs under crowded keys: hashes are packed into even blocks, and every two blocks of a key
     are one row, compared as bit matrices. Blocks spread over all tasks; only true pairs come out."""
-    blocks = F.ceil(F.col("sharing") / block)
     packed = (
-        sized.withColumn("blocks", blocks)
+        crowd.withColumn("blocks", F.ceil(F.col("sharing") / BLOCK_HASHES))
         .withColumn("block", F.pmod(F.xxhash64("hash"), "blocks"))
         .groupBy("key", "blocks", "block")
-        .agg(F.collect_list("hash").alias("hashes"), F.collect_list("rows").alias("counts"))
+        .agg(F.any_value("differ").alias("differ"), F.collect_list("hash").alias("a"), F.collect_list("rows").alias("n_a"))
     )
     left = packed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
-    right = packed.select("key", F.col("block").alias("other"), F.col("hashes").alias("hashes_b"),
-                          F.col("counts").alias("counts_b"))
+    right = packed.select("key", F.col("block").alias("other"), F.col("a").alias("b"), F.col("n_a").alias("n_b"))
     met = left.join(right, ["key", "other"]).select(
-        F.col("key.path").alias("path"), (F.col("block") == F.col("other")).alias("same"),
-        "hashes", "counts", "hashes_b", "counts_b",
+        "differ", (F.col("block") == F.col("other")).alias("same"), "a", "n_a", "b", "n_b"
     )
 
     def compare(batches):
         for batch in batches:
-            paths, same = batch.column("path"), batch.column("same")
             for i in range(batch.num_rows):
-                a, rows_a, b, rows_b = (batch.column(c)[i].values.to_numpy() for c in range(2, 6))
-                gap = np.bitwise_count((a[:, None] ^ b[None, :]).view(np.uint64))
-                near = gap <= distance
-                if same[i].as_py():
-                    near &= np.triu(np.ones(near.shape, bool), 1)
+                differ, a, n_a, b, n_b = (
+                    batch.column(c)[i].values.to_numpy() for c in ("differ", "a", "n_a", "b", "n_b")
+                )
+                gap = a[:, None] ^ b[None, :]
+                near = np.bitwise_count(gap.view(np.uint64)) <= distance
+                if batch.column("same")[i].as_py():
+                    near = np.triu(near, 1)
                 at, to = np.nonzero(near)
+                gap = gap[at, to]
+                first = ((gap[:, None] & differ[None, :]) != 0).all(axis=1)
+                at, to, gap = at[first], to[first], gap[first]
                 turned = a[at] > b[to]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(at), paths[i].as_py(), np.int32)),
                         pa.array(np.where(turned, b[to], a[at])), pa.array(np.where(turned, a[at], b[to])),
-                        pa.array(gap[at, to].astype(np.int32)),
-                        pa.array(np.where(turned, rows_b[to], rows_a[at])),
-                        pa.array(np.where(turned, rows_a[at], rows_b[to])),
+                        pa.array(np.bitwise_count(gap.view(np.uint64)).astype(np.int32)),
+                        pa.array(np.where(turned, n_b[to], n_a[at])), pa.array(np.where(turned, n_a[at], n_b[to])),
                     ],
-                    names=["path", "hash_a", "hash_b", "distance", "rows_a", "rows_b"],
+                    names=["hash_a", "hash_b", "distance", "rows_a", "rows_b"],
                 )
 
-    pairs = met.mapInArrow(
-        compare, "path int, hash_a bigint, hash_b bigint, distance int, rows_a bigint, rows_b bigint"
-    )
-    return _found_first(pairs, table).select("hash_a", "hash_b", "distance", "rows_a", "rows_b")
-
-
-def _found_first(pairs: DataFrame, table: DataFrame) -> DataFrame:
-    """Only the pairs met at their first agreeing band of every level."""
-    gap = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
-    differs = F.forall("differ", lambda mask: gap.bitwiseAND(mask) != 0)
-    return pairs.join(F.broadcast(table.select("path", "differ")), "path").where(differs)
-
-
-def _under(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """`rows` (hash, rows, path) under every band choice below their path, keyed by the agreeing bits."""
-    return (
-        rows.withColumnRenamed("path", "parent").join(F.broadcast(table), "parent")
-        .select("hash", "rows", F.struct("path", F.col("hash").bitwiseAND(F.col("agree")).alias("bits")).alias("key"))
-    )
+    return met.mapInArrow(compare, "hash_a bigint, hash_b bigint, distance int, rows_a bigint, rows_b bigint")
 
 
 def similar_hashes(
@@ -161,36 +149,39 @@ def similar_hashes(
     """Pairs of distinct hashes at most `distance` bits apart: (hash_a, hash_b, distance, rows_a, rows_b).
 
     Rows are first reduced to distinct hashes with their counts, so copies of one image never
-    pair up among themselves. Hashes are then joined on exact bits (nested bands, as in Manku
-    et al., WWW 2007). Keys shared by more than `crowded` hashes are not joined: they go one
-    level down, to keys of more agreeing bits, as long as that at least halves the comparisons.
-    What stays crowded is truly close together and is compared block by block.
+    pair up among themselves. Hashes are then joined on exact bits (bands, as in Manku et al.,
+    WWW 2007). A key shared by more than `crowded` hashes is not joined: the bits in which its
+    hashes do differ are banded again, as long as that at least halves the comparisons. What
+    stays crowded is truly close together and is compared block by block.
     """
-    spark = df.sparkSession
-    hashes = df.where(F.col(hash_column).isNotNull()).groupBy(F.col(hash_column).alias("hash")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    pending = checkpointed(hashes).withColumn("path", F.lit(0))
-    paths = [{"path": 0, "agree": [], "differ": [], "left": list(range(HASH_BITS))}]
-    found, close, table, cost = [], None, None, 0
+    none = F.array().cast("array<bigint>")
+    crowd = checkpointed(
+        df.where(F.col(hash_column).isNotNull()).groupBy(F.col(hash_column).alias("hash"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    ).withColumn("key", none).withColumn("differ", none)
+    count = crowd.count()
+    crowd, cost, found = crowd.withColumn("sharing", F.lit(count)), count * count, []
     while True:
-        deeper = _grow(paths, distance)
-        below = _table(spark, deeper)
-        keyed = _under(pending, below)
-        counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        most, compared, left_over = counts.agg(
-            F.max("n"), F.sum(F.col("n") * F.col("n")), F.sum(F.when(F.col("n") > crowded, F.col("n") * F.col("n")))
+        keyed = _under_bands(_with_bands(crowd.select("hash", "rows", "key", "differ"), distance))
+        keys = keyed.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_or("hash").bitwiseXOR(F.bit_and("hash")).alias("varying"),
+            F.any_value("differ").alias("differ"),
+        )
+        # A key can hold a pair if it has two hashes and none of the bands to differ in is constant.
+        varying = F.col("varying")
+        alive = (F.col("n") > 1) & F.forall("differ", lambda mask: varying.bitwiseAND(mask) != 0)
+        keys = checkpointed(keys.where(alive).select("key", "n"))
+        square = F.col("n") * F.col("n")
+        most, compared, left_over = keys.agg(
+            F.max("n"), F.sum(square), F.sum(F.when(F.col("n") > crowded, square))
         ).first()
-        if close is not None and compared * 2 > cost:
-            found.append(_block_pairs(close, table, distance))
+        if (compared or 0) * 2 > cost:
+            found.append(_block_pairs(crowd, distance))
             break
-        paths, table = deeper, below
         if (most or 0) <= crowded:
-            found.append(_pairs(keyed, table, distance))
+            found.append(_pairs(keyed, distance))
             break
-        sized = balanced_lookup(keyed, counts.withColumn("sharing", F.col("n")), "key", weight="n")
-        found.append(_pairs(sized.where(F.col("sharing") <= crowded), table, distance))
-        close = checkpointed(sized.where(F.col("sharing") > crowded))
-        pending = close.select("hash", "rows", F.col("key.path").alias("path"))
-        cost = left_over
+        sized = balanced_lookup(keyed, keys.withColumn("sharing", F.col("n")), "key", weight="n")
+        found.append(_pairs(sized.where(F.col("sharing") <= crowded), distance))
+        crowd, cost = checkpointed(sized.where(F.col("sharing") > crowded)), left_over
     return reduce(DataFrame.unionByName, found)

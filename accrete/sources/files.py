@@ -50,14 +50,14 @@ class Folder:
         finally:
             stream.close()
 
-    def publish(self, text: str, *parts: str) -> None:
+    def publish(self, content: str | bytes, *parts: str) -> None:
         """Write under a hidden name, then rename, so readers see whole files only."""
         if self.exists(*parts):
             raise FileExistsError(self.path(*parts))
         hidden = (*parts[:-1], f"_{uuid.uuid4().hex}")
         stream = self._fs.create(self._path(*hidden), False)
         try:
-            stream.write(text.encode())
+            stream.write(content.encode() if isinstance(content, str) else content)
         finally:
             stream.close()
         if not self._fs.rename(self._path(*hidden), self._path(*parts)):

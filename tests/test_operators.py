@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import itertools
+import re
 import statistics
 
 import numpy as np
@@ -126,6 +127,20 @@ def test_balanced_lookup_with_hot_and_cold_keys(spark):
     assert all(r.len == (None if r.k == "gone" else len(r.k)) for r in got)
 
 
+def test_balanced_lookup_joins_on_the_salt(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(5000).select("id", F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"))
+        sizes = df.groupBy("k").count().withColumn("double", F.col("k") * 2)
+        found = lookup.balanced_lookup(df, sizes, "k", "count")
+        text = plan(found)
+        assert re.search(r"SortMergeJoin \[k#\d+L?, _salt#\d+\]", text) and "BroadcastHashJoin" in text
+        assert re.search(r"hashpartitioning\(k#\d+L?, _salt#\d+, ", text)
+        assert found.where("double = k * 2").count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_take_rows_keeps_order_and_repeats(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert [r.v for r in lookup.take_rows(df, [7, 3, 7, 500], "id", ["v"]).collect()] == [14, 6, 14]
