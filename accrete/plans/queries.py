@@ -152,7 +152,7 @@ def provenance(spark, folder):
 @query
 def open_by_name(spark, folder):
     path = new_dir(spark, "named")
-    FeatureTable.create(spark, path + ".lance", inputs.questions(spark, folder))
+    FeatureTable.create(spark, path + ".table", inputs.questions(spark, folder))
     table = FeatureTable.open(spark, path)
     return table.read_columns(["id", "question"])
 

@@ -8,14 +8,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed value: the suffix a table path may carry.
-TABLE_SUFFIX = ".lance"
+# Suffix a table path may carry; the table is the same with and without it.
+TABLE_SUFFIX = ".table"
 
 
-def split_table_path(path: str) -> tuple[str, str]:
+def split_table_path(path: str, suffix: str = TABLE_SUFFIX) -> tuple[str, str]:
     """Folder and table name of a path, the suffix stripped."""
     folder, name = posixpath.split(path.rstrip("/"))
-    return folder or ".", name.removesuffix(TABLE_SUFFIX)
+    return folder or ".", name.removesuffix(suffix)
 
 
 class Folder:

@@ -85,9 +85,9 @@ def values(table, *columns):
 
 def test_open_by_suffixed_name(spark, table):
     path = table.folder.root
-    assert FeatureTable.open(spark, path + ".lance").count_rows() == 200
-    assert files.split_table_path("data/x.lance") == ("data", "x") == files.split_table_path("data/x/")
-    assert files.split_table_path("x.lance") == (".", "x")
+    assert FeatureTable.open(spark, path + ".table").count_rows() == 200
+    assert files.split_table_path("data/x.table") == ("data", "x") == files.split_table_path("data/x/")
+    assert files.split_table_path("x.table") == (".", "x")
     with pytest.raises(FileNotFoundError):
         FeatureTable.open(spark, path + "-absent")
 
