@@ -31,6 +31,12 @@ def check_length(vector: Column, length: int, name: str = "vector") -> Column:
     return F.when(fits, vector).otherwise(_wrong_length(vector, length, name))
 
 
+def check_bytes(packed: Column, size: int, name: str = "vector") -> Column:
+    """Packed bytes themselves, or an error when there are not exactly `size` of them."""
+    message = F.format_string(f"{name}: expected {size} bytes, got %s", F.octet_length(packed).cast("string"))
+    return F.when(packed.isNull() | (F.octet_length(packed) == size), packed).otherwise(F.raise_error(message))
+
+
 def zeros(length: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), length)
 

@@ -9,9 +9,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrete.functions.hashing import order_key
-from accrete.functions.vectors import check_length, reshape, widen
+from accrete.functions.vectors import check_bytes, check_length, reshape, widen
 from accrete.operators.rank import hash_rank, sorted_rank
 
 # Names of the stored training columns and the schedule's defaults.
@@ -105,9 +106,16 @@ def collate(
     return joined.groupBy("epoch", "batch").agg(F.array_sort(F.collect_list(sample)).alias(name))
 
 
-def cached_fields(columns: list[str], tokens: int, width: int, text_tokens: int) -> dict[str, Column]:
-    """Fields of a cached training batch: vision rows [tokens, width] and token lists of one length."""
-    fields = {"vision": reshape(F.col(VISION_COLUMN), tokens, width)}
+def cached_fields(
+    columns: list[str], tokens: int, width: int, text_tokens: int, packed: bool = False
+) -> dict[str, Column]:
+    """Fields of a cached training batch: vision rows [tokens, width] and token lists of one length.
+
+    Packed half-precision vectors stay packed through the shuffle, at a quarter of the bytes of
+    `array<double>`; the reader views them as [tokens, width].
+    """
+    vision = F.col(VISION_COLUMN)
+    fields = {"vision": check_bytes(vision, tokens * width * 2) if packed else reshape(vision, tokens, width)}
     for name in TOKEN_FIELDS:
         fields[name] = check_length(token_field(columns, name), text_tokens, name)
     return fields
@@ -122,6 +130,6 @@ def cached_batches(
     rows = table.select(table.key, *needed)
     keys = table.select(table.key)
     ordered = epoch_order(keys, table.key, epochs, seed) if shuffle else stored_order(keys, table.key)
-    return collate(
-        micro_batches(ordered, batch_size), rows, table.key, cached_fields(table.columns, tokens, width, text_tokens)
-    )
+    packed = isinstance(rows.schema[VISION_COLUMN].dataType, T.BinaryType)
+    fields = cached_fields(table.columns, tokens, width, text_tokens, packed)
+    return collate(micro_batches(ordered, batch_size), rows, table.key, fields)

@@ -198,10 +198,11 @@ class FeatureTable:
         return table
 
     def _open_chunks(self, feature: FeatureDef, entry: dict, checkpoint_size: int | None) -> list[dict]:
-        done = self._done(entry)
+        open_parts = self._open_parts(entry)
+        done = self._done(entry, open_parts)
         stitched = any(c in self.features for c in feature.inputs)
         chunks = []
-        for part in self.manifest["parts"]:
+        for part in open_parts:
             folder = _place(self.manifest["base"], part["layout"], part["name"])
             finished = {f for d in done if d["part"] == part["name"] for f in d["files"]}
             files = [f for f in self.folder.files(*folder.split("/")) if f not in finished]
@@ -235,24 +236,33 @@ class FeatureTable:
         record = {k: chunk[k] for k in ("name", "part", "layout", "files")}
         self.folder.publish(json.dumps(record), *entry["folder"].split("/"), "done", f"{chunk['name']}.json")
 
-    def _done(self, entry: dict) -> list[dict]:
-        place = [*entry["folder"].split("/"), "done"]
-        return [json.loads(self.folder.read(*place, name)) for name in self.folder.files(*place)]
+    def _open_parts(self, entry: dict) -> list[dict]:
+        complete = set(entry["complete"])
+        return [p for p in self.manifest["parts"] if p["name"] not in complete]
+
+    def _done(self, entry: dict, parts: list[dict]) -> list[dict]:
+        """Records of finished chunks of these parts; a chunk is named after its part."""
+        place, wanted = [*entry["folder"].split("/"), "done"], {p["name"] for p in parts}
+        names = [n for n in self.folder.files(*place) if n.rsplit("-", 1)[0] in wanted]
+        return [json.loads(self.folder.read(*place, n)) for n in names]
 
     def _publish_progress(self, name: str) -> FeatureTable:
         table = self.latest()
         entry = table.features[name]
-        done = table._done(entry)
-        complete = []
-        for part in table.manifest["parts"]:
+        open_parts = table._open_parts(entry)
+        done = table._done(entry, open_parts)
+        complete = list(entry["complete"])
+        for part in open_parts:
             folder = _place(table.manifest["base"], part["layout"], part["name"])
             finished = {f for d in done if d["part"] == part["name"] for f in d["files"]}
             if set(table.folder.files(*folder.split("/"))) <= finished:
                 complete.append(part["name"])
-        chunks = [{k: d[k] for k in ("name", "part", "layout")} for d in done]
-        if complete == entry["complete"] and chunks == entry["chunks"]:
+        known = {c["name"] for c in entry["chunks"]}
+        added = [{k: d[k] for k in ("name", "part", "layout")} for d in done if d["name"] not in known]
+        if complete == entry["complete"] and not added:
             return table
-        return table._commit(features={**table.features, name: {**entry, "complete": complete, "chunks": chunks}})
+        changed = {**entry, "complete": complete, "chunks": [*entry["chunks"], *added]}
+        return table._commit(features={**table.features, name: changed})
 
     # ---- reading ---------------------------------------------------------------------------
 

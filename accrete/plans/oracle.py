@@ -172,6 +172,13 @@ ORACLE = {
     "feature_versions": _with("questions", f"""
         SELECT {COARSE} AS before, {TYPE} AS after, count(*) AS count, false AS still_there FROM questions GROUP BY 1, 2"""),
     "appended_rows": _with("questions", f"SELECT id, {TYPE} AS question_type FROM questions"),
+    "provenance": """
+        SELECT c.column, c.type, c.source, c.is_new, CASE WHEN c.column = 'question_words' THEN 0 ELSE n END AS filled,
+          n AS rows
+        FROM (SELECT count(*) AS n FROM events), (VALUES ('id', 'bigint', 'raw data', false),
+          ('question', 'string', 'raw data', false),
+          ('question_type', 'string', 'tier 1 feature of question', true),
+          ('question_words', 'int', 'tier 1 feature of question', true)) c("column", type, source, is_new)""",
     "open_by_name": _with("questions", "SELECT id, question FROM questions"),
     "overwritten_table": _with("qa", "SELECT conv_id * 1000 + turn AS id, answer FROM qa"),
     "model_feature": MODEL_SQL,

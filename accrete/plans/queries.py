@@ -146,7 +146,9 @@ def appended_rows(spark, folder):
 
 @query
 def provenance(spark, folder):
-    return _question_table(spark, folder, "origin").add_columns([question_type, question_words]).provenance()
+    table = _question_table(spark, folder, "origin").backfill(question_type).add_columns([question_words])
+    filled = profile.coverage(table.to_df(), table.columns)
+    return table.provenance().join(filled, "column")
 
 
 @query

@@ -18,9 +18,8 @@ def test_query_equals_sql(spark, engine, name):
     assert check.compare(spark, engine, FOLDER, name) is None
 
 
-def test_every_query_but_provenance_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"provenance"}
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
 
 
 def test_flagship(spark):

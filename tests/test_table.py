@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from accrete import FeatureTable, feature
 from accrete.functions import images as pixels
+from accrete.operators import batches
 from accrete.operators.feature import in_dependency_order
 from accrete.sources import files, images
 from accrete.streaming.upkeep import first_of_each_hash, keep_features
@@ -229,6 +230,30 @@ def test_provenance_and_read_columns(table):
         table.select("doubled")
 
 
+def test_training_batches_of_full_width_packed_vectors(spark, tmp_path):
+    """The real shape, 400 x 2048 half-precision values a row, kept packed from the model to the batch."""
+
+    def wide_model():
+        class Wide:
+            def __call__(self, n):
+                return np.full(400 * 2048, n, np.float32)
+
+        return Wide
+
+    ids = F.transform(F.sequence(F.lit(1), F.lit(512)), lambda i: i.cast("int"))
+    rows = spark.range(6).select("id", ids.alias("input_ids"), ids.alias("attention_mask"), ids.alias("labels"))
+    made = feature("binary", ["id"], kind="model", name="vision_tower_hiddens", length=819200, half=True, batch_size=2)(wide_model())
+    table = FeatureTable.create(spark, str(tmp_path / "wide"), rows, buckets=2).backfill(made)
+    got = batches.cached_batches(table, batch_size=4, seed=1).collect()
+    assert sorted(len(b.samples) for b in got) == [2, 4]
+    for batch in got:
+        for s in batch.samples:
+            vision = np.frombuffer(s.vision, np.float16).reshape(400, 2048)
+            assert (vision == s.id).all() and len(s.labels) == 512
+    with pytest.raises(PySparkException, match="expected 32 bytes"):
+        batches.cached_batches(table, tokens=4, width=4).collect()
+
+
 def test_stream_keeps_features(spark, tmp_path):
     rows = numbers(spark, 0, 120)
     root, landing, progress = (str(tmp_path / n) for n in ("table", "landing", "progress"))
