@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # A key holding more than this share of the rows is hot; there are fewer than HOT_PARTS of them.
 HOT_PARTS = 1000
+# Longest id list put into a filter as such.
+PUSHED_IDS = 5000
 
 
 def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
@@ -36,16 +38,18 @@ def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -
 def take_rows(df: DataFrame, ids: list[int], key: str, columns: list[str]) -> DataFrame:
     """Rows of an id list, in its order and with its repeats; unknown ids are left out.
 
-    The ids come from the caller's own list, so the broadcast side is bounded by it, and the
-    `isin` reaches the Parquet scan as a range of row groups.
+    The ids come from the caller's own list, so the broadcast side is bounded by it. The range of
+    the ids, and up to PUSHED_IDS of them one by one, reach the Parquet scan.
     """
     if not ids:
         return df.select(*columns).limit(0)
     spark = df.sparkSession
     wanted = spark.createDataFrame(list(enumerate(ids)), f"_pos int, {key} bigint")
+    near = df.where(F.col(key).between(min(ids), max(ids)))
+    if len(ids) <= PUSHED_IDS:
+        near = near.where(F.col(key).isin(sorted(set(ids))))
     return (
-        df.where(F.col(key).isin(sorted(set(ids))))
-        .select(*dict.fromkeys([key, *columns]))
+        near.select(*dict.fromkeys([key, *columns]))
         .join(F.broadcast(wanted), key)
         .orderBy("_pos")
         .select(*columns)

@@ -107,8 +107,8 @@ def _block_pairs(crowd: DataFrame, distance: int) -> DataFrame:
     packed = (
         crowd.withColumn("blocks", F.ceil(F.col("sharing") / BLOCK_HASHES))
         .withColumn("block", F.pmod(F.xxhash64("hash"), "blocks"))
-        .groupBy("key", "blocks", "block")
-        .agg(F.any_value("differ").alias("differ"), F.collect_list("hash").alias("a"), F.collect_list("rows").alias("n_a"))
+        .groupBy("key", "differ", "blocks", "block")
+        .agg(F.collect_list("hash").alias("a"), F.collect_list("rows").alias("n_a"))
     )
     left = packed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
     right = packed.select("key", F.col("block").alias("other"), F.col("a").alias("b"), F.col("n_a").alias("n_b"))
@@ -163,9 +163,9 @@ def similar_hashes(
     crowd, cost, found = crowd.withColumn("sharing", F.lit(count)), count * count, []
     while True:
         keyed = _under_bands(_with_bands(crowd.select("hash", "rows", "key", "differ"), distance))
-        keys = keyed.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_or("hash").bitwiseXOR(F.bit_and("hash")).alias("varying"),
-            F.any_value("differ").alias("differ"),
+        # `differ` follows from the key; as a grouping column it needs no aggregation buffer.
+        keys = keyed.groupBy("key", "differ").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_or("hash").bitwiseXOR(F.bit_and("hash")).alias("varying")
         )
         # A key can hold a pair if it has two hashes and none of the bands to differ in is constant.
         varying = F.col("varying")
