@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +36,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write `df` to the reliable checkpoint folder and go on from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as Parquet in the shared folder and go on from the files: lineage ends here, and
+    a lost executor costs a re-read, not a recomputation."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, wherever they run: a zip in the shared folder."""
+    from accrete.sources.files import Folder
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for at, _, names in os.walk(os.path.join(root, "accrete")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    archive.write(path, os.path.relpath(path, root))
+    folder = Folder(spark, new_dir(spark, "code"))
+    folder.publish(packed.getvalue(), "accrete.zip")
+    context.addPyFile(folder.path("accrete.zip"))
+    _shipped.add(context.applicationId)
