@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accrete.llm.frames import table
 from accrete.llm.packing import pack_documents
+from accrete.llm.simhash import simhash_groups
 from accrete.llm.token_counts import prefix_token_counts
 from accrete.llm.token_files import through_files
 
@@ -23,6 +24,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2048, keep_ids=False)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefix_token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "limit_bytes")
@@ -34,6 +39,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
 }
