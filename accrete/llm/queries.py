@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from accrete.llm.frames import table
+from accrete.llm.folds import held_out
+from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
 from accrete.llm.token_counts import prefix_token_counts
@@ -24,6 +26,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2048, keep_ids=False)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_languages(docs.where(~held_out("doc_id", 4, 2)))
+    rows = docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out"))
+    return identify_languages(rows, model).drop("text")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
 
@@ -39,6 +48,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
