@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from accrete.llm.frames import table
-from accrete.llm.folds import held_out
+from accrete.llm.folds import fold, held_out
 from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
 from accrete.llm.token_counts import prefix_token_counts
 from accrete.llm.token_files import through_files
+from accrete.llm.toxicity import labelled, learn_toxicity, score_toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -46,10 +47,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2, keep_ids=False)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts come from folds 1 to 3, the curve from fold 4, fold 0 is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = labelled(docs, table(spark, sf_dir, "labels"))
+    model = learn_toxicity(known.where(fold("doc_id", 5).isin(1, 2, 3)), known.where(fold("doc_id", 5) == 4))
+    return score_toxicity(docs.withColumn("held_out", held_out("doc_id", 5, 0)), model).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
+    "op10_toxicity": op10_toxicity,
 }
