@@ -77,7 +77,8 @@ def prefix_tables(encoder: ChunkEncoder, texts: list[str | None]) -> Iterator[tu
     for plain, chunks, ids in encoder.pieces(texts):
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
         if plain:
-            lengths[1:] += 1
+            # The space before a chunk belongs to it; a line end is in it already.
+            lengths[1:] += np.fromiter((c[:1] != "\n" for c in chunks[1:]), np.int64, len(chunks) - 1)
         counts = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.width
         yield np.cumsum(lengths), np.cumsum(counts)
 

@@ -16,14 +16,16 @@ from functools import lru_cache
 import numpy as np
 
 # Chunks a worker remembers; the memory is emptied when full, which costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+# Chunks encoded in one call of the library.
+JOINED = 200
 # Characters handled together.
 GROUP_CHARS = 2_000_000
 
 # Separators that Python and the tokenizer may class differently: such a text is one chunk.
 _UNSURE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
-# A single space between two other characters is the only white space a plain text is cut at.
-_NOT_PLAIN = re.compile(r" \s|\s ")
+# A plain text has no two white-space characters in a row.
+_NOT_PLAIN = re.compile(r"\s\s")
 _BEFORE_SPACE = re.compile(r"\s*\S+|\s+")
 
 
@@ -39,6 +41,11 @@ def tokenizer(path: str):
     return made
 
 
+def _spaced(before: str, chunk: str) -> str:
+    """The chunk with the space that was left out; one that begins with a line end had none."""
+    return chunk if chunk[:1] == "\n" else before + chunk
+
+
 class ChunkEncoder:
     """Ids of chunks as little-endian bytes of `width` bytes an id, remembered by chunk."""
 
@@ -48,22 +55,55 @@ class ChunkEncoder:
         self.width = int(self.dtype[-1])
         # `spaced`: white space counts, and chunk texts after the first carry a space before them.
         self.spaced = spaced
+        mark = "\t" if spaced else "|"
+        ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
+        # A mark of several ids, or none, is found nowhere: all chunks are then encoded alone.
+        self._mark = (mark, ids[0] if len(ids) == 1 else -1)
         self._after_space: dict[str, bytes] = {}
         self._whole: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> tuple[bool, list[str]]:
-        """Whether the text is plain (cut at single spaces, which are left out), and its chunks."""
+        """Whether the text is plain, and its chunks. A plain text is cut before each space and line
+        end; the space is left out, the line end kept. Without spaces all texts are plain, cut at
+        white space, and ASCII texts without special strings come in lower case, as the tokenizer
+        would have it."""
+        unsure = _UNSURE.search(text)
         if not self.spaced:
-            return True, text.split(" ")
-        if _UNSURE.search(text):
+            if text.isascii() and "<|" not in text:
+                text = text.lower()
+            return True, text.split(" ") if unsure else text.split()
+        if unsure:
             return False, [text]
         if _NOT_PLAIN.search(text):
             return False, _BEFORE_SPACE.findall(text)
-        return True, text.split(" ")
+        return True, text.replace("\n", " \n").split(" ")
 
     def _learn(self, known: dict[str, bytes], need: set[str], before: str) -> None:
-        names = list(need)
-        for name, found in zip(names, self.tokenizer.encode_batch_fast([before + n for n in names], add_special_tokens=False)):
+        """Encode chunks many at a time, a mark between them that is one id of its own; those it would
+        not keep apart are encoded alone."""
+        mark, mark_id = self._mark
+        alone = [n for n in need if not n or mark in n or n[-1].isspace()]
+        together = list(need.difference(alone))
+        groups = [together[i : i + JOINED] for i in range(0, len(together), JOINED)]
+        # Byte-level: "chunk<tab> chunk"; word ends: "chunk | chunk".
+        between = mark if before else f" {mark} "
+        joined = self.tokenizer.encode_batch_fast(
+            [between.join([_spaced(before, n) for n in g]) for g in groups], add_special_tokens=False)
+        for names, found in zip(groups, joined):
+            ids = np.array(found.ids, self.dtype)
+            cuts = np.flatnonzero(ids == mark_id)
+            if len(cuts) != len(names) - 1:
+                alone.extend(names)
+                continue
+            raw, width = ids.tobytes(), self.width
+            for name, low, high in zip(names, [0, *(width * (cuts + 1)).tolist()], [*(width * cuts).tolist(), len(raw)]):
+                known[name] = raw[low:high]
+        self._learn_alone(known, alone, before)
+
+    def _learn_alone(self, known: dict[str, bytes], names: Iterable[str], before: str = "") -> None:
+        names = list(names)
+        for name, found in zip(names, self.tokenizer.encode_batch_fast(
+            [_spaced(before, n) for n in names], add_special_tokens=False)):
             known[name] = np.array(found.ids, self.dtype).tobytes()
 
     def _fill(self, cuts: list[tuple[bool, list[str]]]) -> None:
@@ -85,7 +125,7 @@ class ChunkEncoder:
         if after:
             self._learn(self._after_space, after, " " if self.spaced else "")
         if whole:
-            self._learn(self._whole, whole, "")
+            self._learn_alone(self._whole, whole)
 
     def pieces(self, texts: Iterable[str | None]) -> Iterator[tuple[bool, list[str], list[bytes]]]:
         """Per text whether it is plain, its chunks and their ids; a null text is empty."""
