@@ -2,4 +2,32 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(text: str) -> str:
+    """Words of op8: A-Z lower-cased, runs of 0-9, a-z and characters beyond ASCII."""
+    lowered = f"translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    return f"list_filter(regexp_split_to_array({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+
+
+OP8 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+b AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS t
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(i) WHERE len(w) > 0),
+runs AS (
+  SELECT r, s.n, i, array_to_string(w[i : i + s.n - 1], ' ') AS t
+  FROM d, (SELECT DISTINCT n FROM win) s, unnest(range(1, len(w) - s.n + 2)) AS u(i)),
+hits AS (SELECT r, i, runs.n, item_id FROM runs JOIN win ON runs.n = win.n AND runs.t = win.t),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY r),
+items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+         array_to_string(list_sort(list_distinct(list(item_id::varchar))), ',') AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op8_decontamination": OP8}

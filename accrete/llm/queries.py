@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accrete.llm.frames import table
+from accrete.llm.decontamination import contamination
 from accrete.llm.folds import fold, held_out
 from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.packing import pack_documents
@@ -47,6 +49,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2, keep_ids=False)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10, 5)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts come from folds 1 to 3, the curve from fold 4, fold 0 is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
 }
