@@ -30,4 +30,24 @@ SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, c
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE: dict[str, str] = {"op8_decontamination": OP8}
+OP2 = r"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS no, line, trim(regexp_replace(line, '[\t\r\f\x0B]', ' ', 'g')) AS t
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+       unnest(ls) WITH ORDINALITY AS u(line, i)),
+d AS (SELECT t, min((doc_id, no)) AS first FROM l WHERE t <> '' GROUP BY t),
+near AS (
+  SELECT DISTINCT y.t FROM d x JOIN d y ON length(x.t) BETWEEN length(y.t) - 1 AND length(y.t) + 1
+  WHERE length(x.t) >= 20 AND length(y.t) >= 20 AND x.first < y.first
+    AND (left(x.t, 8) = left(y.t, 8) OR right(x.t, 8) = right(y.t, 8)) AND levenshtein(x.t, y.t) = 1),
+kept AS (
+  SELECT l.doc_id, no, line FROM l LEFT JOIN d USING (t)
+  WHERE t = '' OR (first = (l.doc_id, no) AND t NOT IN (SELECT t FROM near)))
+SELECT doc_id, CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(line, chr(10) ORDER BY no), '') END AS text
+FROM documents d LEFT JOIN kept USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2,
+    "op8_decontamination": OP8,
+}

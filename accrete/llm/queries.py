@@ -11,6 +11,7 @@ from accrete.llm.frames import table
 from accrete.llm.decontamination import contamination
 from accrete.llm.folds import fold, held_out
 from accrete.llm.language import identify_languages, learn_languages
+from accrete.llm.line_dedup import without_repeated_lines
 from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
 from accrete.llm.token_counts import prefix_token_counts
@@ -25,6 +26,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2048, keep_ids=False)
 
@@ -65,6 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
