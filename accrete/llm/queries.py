@@ -14,6 +14,7 @@ from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.line_dedup import without_repeated_lines
 from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
+from accrete.llm.span_dedup import without_repeated_spans
 from accrete.llm.token_counts import prefix_token_counts
 from accrete.llm.token_files import through_files
 from accrete.llm.toxicity import labelled, learn_toxicity, score_toxicity
@@ -61,6 +62,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts come from folds 1 to 3, the curve from fold 4, fold 0 is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
