@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 # Chunks a worker remembers; the memory is emptied when full, which costs time only.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 # Chunks encoded in one call of the library.
 JOINED = 200
 # Characters handled together.
@@ -26,6 +26,7 @@ GROUP_CHARS = 2_000_000
 _UNSURE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 # A plain text has no two white-space characters in a row.
 _NOT_PLAIN = re.compile(r"\s\s")
+_TAILS = frozenset(".,;:!?")
 _BEFORE_SPACE = re.compile(r"\s*\S+|\s+")
 
 
@@ -59,6 +60,8 @@ class ChunkEncoder:
         ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
         # A mark of several ids, or none, is found nowhere: all chunks are then encoded alone.
         self._mark = (mark, ids[0] if len(ids) == 1 else -1)
+        self._tails: dict[str, bytes] = {}
+        self._learn_alone(self._tails, _TAILS)
         self._after_space: dict[str, bytes] = {}
         self._whole: dict[str, bytes] = {}
 
@@ -123,7 +126,14 @@ class ChunkEncoder:
         after.difference_update(self._after_space)
         whole.difference_update(self._whole)
         if after:
+            # A mark after a letter is a token of its own: such a chunk is a known one and the mark.
+            tailed = [c for c in after if c[-1:] in _TAILS and c[-2:-1] < "\u0250" and c[-2:-1].isalpha()]
+            after.difference_update(tailed)
+            after.update(c[:-1] for c in tailed)
+            after.difference_update(self._after_space)
             self._learn(self._after_space, after, " " if self.spaced else "")
+            for chunk in tailed:
+                self._after_space[chunk] = self._after_space[chunk[:-1]] + self._tails[chunk[-1]]
         if whole:
             self._learn_alone(self._whole, whole)
 
