@@ -30,6 +30,21 @@ SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, c
 FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
+OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::double[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.x, r.c FROM reach r JOIN links l ON l.y = r.vec_id),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+m AS (SELECT vec_id, min(c) AS c FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n.n, 0)::bigint AS n_links, m.c AS component_id, e.vec_id = m.c AS kept
+FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN m ON m.vec_id = e.vec_id
+"""
+
 OP2 = r"""
 WITH l AS (
   SELECT doc_id, i - 1 AS no, line, trim(regexp_replace(line, '[\t\r\f\x0B]', ' ', 'g')) AS t
@@ -48,6 +63,7 @@ FROM documents d LEFT JOIN kept USING (doc_id) GROUP BY doc_id
 """
 
 ORACLE: dict[str, str] = {
+    "op1_embedding_near_dedup": OP1,
     "op2_line_dedup": OP2,
     "op8_decontamination": OP8,
 }

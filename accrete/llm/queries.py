@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accrete.llm.frames import table
 from accrete.llm.decontamination import contamination
+from accrete.llm.embedding_dedup import embedding_groups
 from accrete.llm.folds import fold, held_out
 from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.line_dedup import without_repeated_lines
@@ -27,6 +28,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -75,6 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
