@@ -123,14 +123,15 @@ class ChunkEncoder:
             self._after_space.clear()
         if len(self._whole) + len(whole) > REMEMBERED:
             self._whole.clear()
-        after.difference_update(self._after_space)
-        whole.difference_update(self._whole)
+        # Not difference_update, which would walk over all that is known.
+        after = after.difference(self._after_space)
+        whole = whole.difference(self._whole)
         if after:
             # A mark after a letter is a token of its own: such a chunk is a known one and the mark.
             tailed = [c for c in after if c[-1:] in _TAILS and c[-2:-1] < "\u0250" and c[-2:-1].isalpha()]
             after.difference_update(tailed)
             after.update(c[:-1] for c in tailed)
-            after.difference_update(self._after_space)
+            after = after.difference(self._after_space)
             self._learn(self._after_space, after, " " if self.spaced else "")
             for chunk in tailed:
                 self._after_space[chunk] = self._after_space[chunk[:-1]] + self._tails[chunk[-1]]
