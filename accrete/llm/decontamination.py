@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrete.llm.frames import identified, same_row, unwrapped
 from accrete.session import BROADCAST_BYTES, staged
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -153,9 +154,5 @@ def _hits(marked: DataFrame, windows: DataFrame, levels: list[int], own: bool) -
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5) -> DataFrame:
     """The rows of `docs` in which no benchmark window occurs; all columns stay."""
-    hit = contamination(docs, benchmark, window, k).where("n_hit > 0").select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_content")).distinct()
-    hit = staged(hit, "contaminated")
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content"))
-    return keyed.join(hit, match, "left_anti").select(*docs.columns)
+    hit = staged(contamination(docs, benchmark, window, k).where("n_hit > 0").select("doc_id", "content").distinct(), "contaminated")
+    return identified(docs).join(hit, same_row(hit), "left_anti").select(*unwrapped(docs))

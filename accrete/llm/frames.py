@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,3 +25,29 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, characters: int = 4_000
         for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
             if high > low:
                 yield batch.slice(low, high - low)
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """(row, id, key): the whole row, its doc_id, and the hash of its text. Whatever the columns of
+    `docs` are called, they clash with nothing; `unwrapped` gives them back."""
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("key"))
+
+
+def same_row(found: DataFrame) -> Column:
+    """Whether an identified row is the one that (doc_id, content) of `found` stands for."""
+    return F.col("id").eqNullSafe(found["doc_id"]) & (F.col("key") == found["content"])
+
+
+def unwrapped(docs: DataFrame, text: Column | None = None) -> list[Column]:
+    """The columns of `docs` out of `row`, `text` replaced if given."""
+    return [text.alias(c) if c == "text" and text is not None else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+
+
+def copy_number(rows: DataFrame) -> Column:
+    """1, 2, ... over identified rows that repeat id and text; no window if there are none."""
+    again = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if again.isEmpty():
+        return F.lit(1)
+    return F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))

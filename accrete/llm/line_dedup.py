@@ -16,9 +16,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrete.llm.frames import copy_number, identified, same_row, unwrapped
 from accrete.operators.lookup import balanced_lookup
 from accrete.session import BROADCAST_BYTES, staged
 
@@ -29,11 +30,16 @@ BLOCK_CHARACTERS = 16
 MOST_BLOCKS = 64
 
 
+def _trimmed(line: Column) -> Column:
+    """Without white space at the ends; what white space there is inside counts as spaces."""
+    return F.trim(F.regexp_replace(line, r"[\t\r\f\x0B]", " "))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, content, no, line): the non-blank lines, white space at their ends cut."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spread = rows.select("doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return spread.withColumn("line", F.trim(F.regexp_replace("line", r"[\t\r\f\x0B]", " "))).where("line <> ''")
+    return spread.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
 
 
 def _key(line: Column) -> Column:
@@ -162,18 +168,13 @@ def without_repeated_lines(docs: DataFrame, max_edits: int = 1, least_characters
     lines all go becomes empty, a null text stays null. Of rows that repeat id and text one keeps its
     lines and the others lose them all but the blank ones.
     """
-    repeated = staged(repeated_lines(docs, max_edits, least_characters).select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("lines").alias("_lines")), "repeated")
-    text = F.col("text").cast("string")
-    keyed = docs.withColumn("_key", F.xxhash64(text)).join(
-        repeated.hint("shuffle_hash"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content")), "left")
-    again = docs.groupBy(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_content")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    copy = F.lit(1)
-    if not staged(again, "again").isEmpty():
-        copy = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_key"))
+    repeated = staged(repeated_lines(docs, max_edits, least_characters), "repeated")
+    rows = identified(docs)
+    copy = copy_number(rows)
+    joined = rows.join(repeated.hint("shuffle_hash"), same_row(repeated), "left").select("row", "id", "key", "lines")
+    text = F.col("row.text").cast("string")
     lines = F.split(text, "\n")
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_lines", i)), "\n")
-    blank = F.array_join(F.filter(lines, lambda line: F.trim(F.regexp_replace(line, r"[\t\r\f\x0B]", " ")) == ""), "\n")
-    new = F.when(F.col("_copy") > 1, blank).when(F.col("_lines").isNotNull(), kept).otherwise(text)
-    return keyed.withColumn("_copy", copy).withColumn("text", new).select(*docs.columns)
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("lines", i)), "\n")
+    blank = F.array_join(F.filter(lines, lambda line: _trimmed(line) == ""), "\n")
+    new = F.when(F.col("copy") > 1, blank).when(F.col("lines").isNotNull(), kept).otherwise(text)
+    return joined.withColumn("copy", copy).select(*unwrapped(docs, new))

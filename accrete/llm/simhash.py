@@ -20,11 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accrete.llm.components import components
-from accrete.llm.frames import slices
+from accrete.llm.frames import identified, same_row, slices, unwrapped
 from accrete.operators.lookup import balanced_lookup
 from accrete.session import BROADCAST_BYTES, staged
 
@@ -194,11 +194,11 @@ def one_of_each_group(docs: DataFrame, words: int = 3, distance: int = 3) -> Dat
     one = keep.where("component_id is not null").groupBy("component_id").agg(
         F.min(F.struct("fp", "content")).alias("row"), F.sum("n").alias("n")).select("component_id", "row.content", "n")
     nameless = keep.where("component_id is null").select("component_id", "content", "n")
-    keep = staged(one.unionByName(nameless), "keep").withColumnsRenamed({"component_id": "_id", "content": "_content", "n": "_n"})
-    content = F.xxhash64(F.col("text").cast("string"))
-    found = docs.withColumn("_key", content).join(
-        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content")))
-    single = found.where("_n = 1").select(*docs.columns)
-    if keep.where("_n > 1").isEmpty():
+    keep = staged(one.unionByName(nameless).withColumnRenamed("component_id", "doc_id"), "keep")
+    found = identified(docs).join(keep, same_row(keep)).select("row", "id", "key", "n")
+    single = found.where("n = 1").select(*unwrapped(docs))
+    if keep.where("n > 1").isEmpty():
         return single
-    return single.unionByName(found.where("_n > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    # An id of several rows: one of those that are alike stays.
+    alike = found.where("n > 1").withColumn("_copy", F.row_number().over(Window.partitionBy("id", "key").orderBy("n")))
+    return single.unionByName(alike.where("_copy = 1").select(*unwrapped(docs)))

@@ -1,7 +1,7 @@
 """Substring dedup over sliding spans of sentences.
 
-Every run of `run` consecutive sentences with at least `least_words` words is hashed (128 bits, over
-its words). Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
+From every sentence on, the run of at least `run` consecutive sentences and `least_words` words is
+hashed (128 bits, over its words). Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
 sentences that any other one covers are removed. A task first settles the spans among the texts it
 has read itself, so a span that stands everywhere sends one row per task, not one per document, to
 the join.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from accrete.llm.frames import slices
+from accrete.llm.frames import copy_number, identified, same_row, slices, unwrapped
 from accrete.session import staged
 
 # Spans a task settles together.
@@ -33,12 +33,24 @@ def sentences(text: str) -> list[str]:
     return _SENTENCE.findall(text)
 
 
-def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int], list[bytes]]:
-    """First sentence and digest of each span long enough."""
+def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int], list[int], list[bytes]]:
+    """First sentence, end (exclusive) and digest of the span from each sentence on, where the text
+    goes on long enough: the shortest of at least `run` sentences and `least_words` words."""
     words = [p.split() for p in parts]
-    sizes, joined = [len(w) for w in words], [" ".join(w) for w in words]
-    starts = [i for i in range(len(parts) - run + 1) if sum(sizes[i : i + run]) >= least_words]
-    return starts, [xxhash.xxh3_128_digest(" ".join(joined[i : i + run]).encode()) for i in starts]
+    joined, upto = [" ".join(w) for w in words], [0]
+    for w in words:
+        upto.append(upto[-1] + len(w))
+    starts, stops, digests, stop = [], [], [], 0
+    for start in range(len(parts)):
+        stop = max(stop, start + run)
+        while stop <= len(parts) and upto[stop] - upto[start] < least_words:
+            stop += 1
+        if stop > len(parts):
+            break
+        starts.append(start)
+        stops.append(stop)
+        digests.append(xxhash.xxh3_128_digest(" ".join(joined[start:stop]).encode()))
+    return starts, stops, digests
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -47,22 +59,22 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> DataFrame:
-    """(doc_id, content, starts): first sentences of the non-first repeated spans of each document.
+    """(doc_id, content, spans): start and stop of the non-first repeated spans of each document.
 
     Null texts and texts of fewer than `run` sentences have no spans. Rows that repeat id and text
     are one document here. A null id comes first.
     """
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], []]
+        held: list[list] = [[], [], [], [], []]
 
         def settled() -> pa.RecordBatch:
-            digests = np.frombuffer(b"".join(held[3]), ">u8").reshape(-1, 2).astype(np.uint64)
+            digests = np.frombuffer(b"".join(held[4]), ">u8").reshape(-1, 2).astype(np.uint64)
             null = np.array([d is None for d in held[0]])
             doc = np.array([d or 0 for d in held[0]], np.int64)
-            content, start = np.array(held[1], np.int64), np.array(held[2], np.int32)
+            content, start, stop = np.array(held[1], np.int64), np.array(held[2], np.int32), np.array(held[3], np.int32)
             order = np.lexsort((start, content, doc, ~null, digests[:, 1], digests[:, 0]))
-            digests, null, doc, content, start = digests[order], null[order], doc[order], content[order], start[order]
+            digests, null, doc, content, start, stop = (c[order] for c in (digests, null, doc, content, start, stop))
             new = np.ones(len(doc), bool)
             new[1:] = (digests[1:] != digests[:-1]).any(axis=1)
             lead = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
@@ -71,29 +83,30 @@ def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> Data
             keep = new | again
             return pa.RecordBatch.from_arrays(
                 [pa.array(digests[keep, 0].view(np.int64)), pa.array(digests[keep, 1].view(np.int64)),
-                 pa.array(doc[keep], mask=null[keep]), pa.array(content[keep]), pa.array(start[keep]), pa.array(again[keep])],
-                ["a", "b", "doc_id", "content", "start", "again"])
+                 pa.array(doc[keep], mask=null[keep]), pa.array(content[keep]), pa.array(start[keep]), pa.array(stop[keep]), pa.array(again[keep])],
+                ["a", "b", "doc_id", "content", "start", "stop", "again"])
 
         for batch in slices(batches, "text"):
             for doc_id, content, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "content", "text"))):
-                starts, digests = span_digests(sentences(text), run, least_words)
+                starts, stops, digests = span_digests(sentences(text), run, least_words)
                 held[0].extend([doc_id] * len(starts))
                 held[1].extend([content] * len(starts))
                 held[2].extend(starts)
-                held[3].extend(digests)
+                held[3].extend(stops)
+                held[4].extend(digests)
             if len(held[0]) >= SETTLED:
                 yield settled()
-                held = [[], [], [], []]
+                held = [[], [], [], [], []]
         if held[0]:
             yield settled()
 
-    schema = "a long, b long, doc_id long, content long, start int, again boolean"
+    schema = "a long, b long, doc_id long, content long, start int, stop int, again boolean"
     rows = staged(_identified(docs).where("text is not null").select("doc_id", "content", "text").mapInArrow(spans, schema), "spans")
     mine = F.struct("doc_id", "content", "start")
     leads = rows.where("not again").withColumn("_first", F.min(mine).over(Window.partitionBy("a", "b")))
-    later = leads.where(~F.col("_first").eqNullSafe(mine)).select("doc_id", "content", "start")
-    found = later.unionByName(rows.where("again").select("doc_id", "content", "start"))
-    return found.groupBy("doc_id", "content").agg(F.collect_set("start").alias("starts"))
+    later = leads.where(~F.col("_first").eqNullSafe(mine)).select("doc_id", "content", "start", "stop")
+    found = later.unionByName(rows.where("again").select("doc_id", "content", "start", "stop"))
+    return found.groupBy("doc_id", "content").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def without_repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> DataFrame:
@@ -104,34 +117,25 @@ def without_repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12)
     that repeat id and text one keeps what is left of it and the others become empty.
     """
     kept = docs.drop("n_sentences", "n_removed")
-    repeated = staged(repeated_spans(kept, run, least_words).select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("starts").alias("_starts")), "repeated")
-    text = F.col("text").cast("string")
-    joined = kept.withColumn("_key", F.xxhash64(text)).join(
-        repeated.hint("shuffle_hash"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_content")), "left")
-    again = kept.groupBy(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_content")).agg(F.count(F.lit(1)).alias("_n"))
-    copy = F.lit(1)
-    if not staged(again.where("_n > 1"), "again").isEmpty():
-        copy = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_key"))
-    joined = joined.withColumn("_copy", copy).select(*kept.columns, "_starts", "_copy")
-    schema = StructType([*kept.schema.fields, *StructType.fromDDL("n_sentences long, n_removed long").fields])
-    at = kept.columns.index("text")
+    repeated = staged(repeated_spans(kept, run, least_words), "repeated")
+    rows = identified(kept)
+    copy = copy_number(rows)
+    joined = rows.join(repeated.hint("shuffle_hash"), same_row(repeated), "left").select("row", "id", "key", "spans")
+    joined = joined.withColumn("copy", copy).select("row", F.col("row.text").cast("string").alias("text"), "spans", "copy")
+    schema = StructType([*joined.select("row").schema.fields, *StructType.fromDDL("text string, n_sentences long, n_removed long").fields])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, total, gone = batch.column("text").to_pylist(), [], []
-            for i, (starts, number) in enumerate(zip(batch.column("_starts").to_pylist(), batch.column("_copy").to_pylist())):
+            for i, (spans, number) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("copy").to_pylist())):
                 parts = sentences(texts[i] or "")
-                removed = {s + j for s in starts or () for j in range(run)} if number == 1 else set(range(len(parts)))
+                removed = {j for s in spans or () for j in range(s["start"], s["stop"])} if number == 1 else set(range(len(parts)))
                 if removed:
                     texts[i] = "".join(p for j, p in enumerate(parts) if j not in removed)
                 total.append(len(parts))
                 gone.append(len(removed))
-            columns = [c for c, name in zip(batch.columns, batch.schema.names) if name not in ("_starts", "_copy")]
-            columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*kept_names, "n_sentences", "n_removed"])
+                [batch.column("row"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                ["row", "text", "n_sentences", "n_removed"])
 
-    kept_names = kept.columns
-    return joined.mapInArrow(rewrite, schema)
+    return joined.mapInArrow(rewrite, schema).select(*unwrapped(kept, F.col("text")), "n_sentences", "n_removed")
