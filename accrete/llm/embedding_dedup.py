@@ -41,7 +41,8 @@ def learn_rotation(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     then rotated so that signs lose least (alternating minimisation)."""
     bits = min(64, sample.shape[1])
     mean = sample.mean(axis=0)
-    _, _, axes = np.linalg.svd(sample - mean, full_matrices=True)
+    # Eigenvectors of the covariance, largest first: no matrix of rows by rows is made.
+    axes = np.linalg.eigh((sample - mean).T @ (sample - mean))[1].T[::-1]
     projected = (sample - mean) @ axes[:bits].T
     rotation = np.linalg.qr(np.random.default_rng(0).standard_normal((bits, bits)))[0]
     for _ in range(ROUNDS):
