@@ -15,13 +15,10 @@ from accrete.functions.hashing import order_key
 from accrete.functions.vectors import check_bytes, check_length, reshape, widen
 from accrete.operators.rank import hash_rank, sorted_rank
 
-# Names of the stored training columns and the schedule's defaults.
+# Names of the stored training columns.
 TOKEN_FIELDS = ["input_ids", "attention_mask", "labels"]
 TOKEN_STRUCT = "sft_tokens"
 VISION_COLUMN = "vision_tower_hiddens"
-MAX_STEPS = 300
-GRAD_ACCUM = 4
-EPOCH_LIMIT = 10
 
 
 def epoch_order(df: DataFrame, key: str, epochs: int = 1, seed: int | str = 0) -> DataFrame:
@@ -47,24 +44,24 @@ def micro_batches(ordered: DataFrame, batch_size: int) -> DataFrame:
     return ordered.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size))
 
 
-def epochs_needed(rows: int, batch_size: int, accumulate: int = GRAD_ACCUM, max_steps: int = MAX_STEPS,
-                  limit: int = EPOCH_LIMIT) -> int:
-    """Epochs a run of `max_steps` steps goes through."""
+def epochs_needed(rows: int, batch_size: int, accumulate: int, max_steps: int, limit: int) -> int:
+    """Epochs a run of `max_steps` steps goes through, `limit` at most."""
     per_epoch = max(1, math.ceil(rows / batch_size))
     return min(limit, math.ceil(max_steps * accumulate / per_epoch))
 
 
 def accumulation_schedule(
-    batched: DataFrame, rows: int, batch_size: int, epochs: int, accumulate: int = GRAD_ACCUM,
-    max_steps: int = MAX_STEPS,
+    batched: DataFrame, rows: int, batch_size: int, epochs: int, accumulate: int, max_steps: int | None = None,
 ) -> DataFrame:
     """(epoch, batch, samples, step): the optimizer step each micro-batch counts towards.
 
-    The count runs on over epoch ends. Batches after the last step, and a trailing group too
-    short for one, have no step.
+    The count runs on over epoch ends. A trailing group too short for a step has none, and neither
+    have batches after `max_steps`, if given.
     """
     per_epoch = math.ceil(rows / batch_size)
-    steps = min(max_steps, epochs * per_epoch // accumulate)
+    steps = epochs * per_epoch // accumulate
+    if max_steps is not None:
+        steps = min(max_steps, steps)
     step = F.floor((F.col("epoch") * per_epoch + F.col("batch")) / accumulate) + 1
     return (
         batched.groupBy("epoch", "batch").agg(F.count(F.lit(1)).alias("samples"))

@@ -11,11 +11,15 @@ from accrete.functions.text import fixed, prefix_text
 
 def scored(truths: DataFrame, base: DataFrame, tuned: DataFrame, key: str, answers: str = "answers",
            prediction: str = "prediction") -> DataFrame:
-    """Truths with both predictions and both scores, matched by key; one row per truth."""
+    """Truths with both predictions and both scores, matched by key; one row per truth.
+
+    A truth without a prediction has a null one, which scores 0. Predictions without a truth are left
+    out; two predictions for one key raise.
+    """
     both = (
         truths.withColumn("_truths", normalised_truths(F.col(answers)))
-        .join(base.select(key, F.col(prediction).alias("base")), key)
-        .join(tuned.select(key, F.col(prediction).alias("tuned")), key)
+        .join(_one_each(base, key, prediction, "base"), key, "left")
+        .join(_one_each(tuned, key, prediction, "tuned"), key, "left")
     )
     return (
         both.withColumn("base_score", score_against(F.col("base"), F.col("_truths")))
@@ -25,6 +29,13 @@ def scored(truths: DataFrame, base: DataFrame, tuned: DataFrame, key: str, answe
     )
 
 
+def _one_each(predictions: DataFrame, key: str, prediction: str, name: str) -> DataFrame:
+    """(key, prediction), refusing repeated keys; the count needs no shuffle beyond the join's."""
+    repeated = F.raise_error(F.concat(F.lit(f"more than one {name} prediction for "), F.first(key).cast("string")))
+    return predictions.groupBy(key).agg(
+        F.when(F.count(F.lit(1)) > 1, repeated.cast("string")).otherwise(F.max(prediction)).alias(name))
+
+
 def accuracy(scores: DataFrame) -> DataFrame:
     """One row: rows, mean scores, lift in points and number of rows where tuned is better."""
     return scores.agg(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import dis
 import hashlib
-import inspect
-from collections.abc import Callable
+import re
+import types
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -21,16 +23,107 @@ from accrete.functions.vectors import check_length
 COLUMN = "column"  # Spark expression over the input columns
 ROW = "row"  # Python function of one row's values
 BATCH = "batch"  # function RecordBatch -> RecordBatch with the column of the feature's name
-MODEL = "model"  # class made once per task on its first batch, then called per row
+MODEL = "model"  # class made once per worker process, then called per batch or row
 DEFAULT_TIERS = {COLUMN: 1, ROW: 1, BATCH: 2, MODEL: 3}
 
 
+# Bytes of fixed-length output that one batch may hold.
+OUTPUT_BYTES = 256 * 1024 * 1024
+
+_models: dict[str, Any] = {}
+
+
+def _model(fingerprint: str, code: Callable[[], Any]) -> Any:
+    """The model of this worker process, made on first use; of models only the last one is kept."""
+    if fingerprint not in _models:
+        _models.clear()
+        _models[fingerprint] = code()
+    return _models[fingerprint]
+
+
+def _package(code: Any) -> str:
+    return (getattr(code, "__module__", None) or "").split(".")[0]
+
+
+def _told(value: Any, package: str, above: tuple[int, ...]) -> Any:
+    """What `value` does, as nested tuples of plain values; see `FeatureDef.fingerprint`."""
+    if value is None or value is Ellipsis or isinstance(value, (bool, int, float, complex, str, bytes)):
+        return (type(value).__name__, value)
+    if id(value) in above:
+        return ("again", getattr(value, "__qualname__", ""))
+    tell = lambda v: _told(v, package, (*above, id(value)))
+    if isinstance(value, (tuple, list)):
+        return (type(value).__name__, *map(tell, value))
+    if isinstance(value, (set, frozenset)):
+        return (type(value).__name__, *sorted(map(tell, value), key=repr))
+    if isinstance(value, Mapping):
+        return ("mapping", *((tell(k), tell(v)) for k, v in value.items()))
+    if isinstance(value, (np.ndarray, np.generic)):
+        if value.dtype.hasobject:
+            raise TypeError("an array of objects has no fingerprint; give the feature a version")
+        return ("array", value.dtype.str, value.shape, hashlib.sha256(np.ascontiguousarray(value).tobytes()).hexdigest())
+    if isinstance(value, re.Pattern):
+        return ("pattern", value.pattern, value.flags)
+    if isinstance(value, types.CodeType):
+        return ("code", value.co_code.hex(), value.co_names, value.co_varnames, tuple(map(tell, value.co_consts)))
+    if isinstance(value, types.MethodType):
+        return ("method", tell(value.__func__), tell(value.__self__))
+    if isinstance(value, types.ModuleType):
+        return ("module", value.__name__)
+    own = _package(value) == package
+    if isinstance(value, types.FunctionType) and own:
+        names, members = _names(value.__code__)
+        used = {n: value.__globals__[n] for n in names if n in value.__globals__}
+        # A module of the package stands for those of its members that the code names.
+        inside = [
+            (f"{n}.{m}", getattr(v, m)) for n, v in used.items()
+            if isinstance(v, types.ModuleType) and v.__name__.split(".")[0] == package for m in members if hasattr(v, m)
+        ]
+        cells = [c.cell_contents for c in value.__closure__ or ()]
+        return ("function", tell(value.__code__), tell(value.__defaults__), tell(value.__kwdefaults__), tell(cells),
+                *((n, tell(v)) for n, v in [*sorted(used.items()), *inside]))
+    if isinstance(value, type) and own:
+        parts = {
+            k: v for k, v in vars(value).items()
+            if not (k.startswith("__") and k.endswith("__")) or isinstance(v, types.FunctionType)
+        }
+        return ("class", value.__qualname__, *map(tell, value.__bases__), *((k, tell(v)) for k, v in parts.items()))
+    if isinstance(value, (staticmethod, classmethod)):
+        return (type(value).__name__, tell(value.__func__))
+    if isinstance(value, property):
+        return ("property", tell(value.fget))
+    if isinstance(value, (type, types.FunctionType, types.BuiltinFunctionType)):
+        return ("name", value.__module__, value.__qualname__)
+    if isinstance(value, FeatureDef):
+        return ("feature", value.name, value.data_type, value.inputs, value.version or tell(value.code))
+    if type(value).__reduce_ex__ is not object.__reduce_ex__ or not hasattr(value, "__dict__"):
+        raise TypeError(f"a {type(value).__name__} has no fingerprint; give the feature a version")
+    return ("object", tell(type(value)), tell(vars(value)))
+
+
+def _names(code: types.CodeType) -> tuple[list[str], list[str]]:
+    """Global names, and names of members, that the code and the functions inside it refer to."""
+    names, members = set(), set()
+    for step in dis.get_instructions(code):
+        if step.opname in ("LOAD_GLOBAL", "LOAD_NAME"):
+            names.add(step.argval)
+        elif step.opname in ("LOAD_ATTR", "LOAD_METHOD"):
+            members.add(step.argval)
+        elif isinstance(step.argval, types.CodeType):
+            inner = _names(step.argval)
+            names.update(inner[0])
+            members.update(inner[1])
+    return sorted(names), sorted(members)
+
+
 @dataclass(frozen=True)
 class FeatureDef:
     """A feature column: what it reads, its type, and the code that fills it.
 
     `length` fixes the number of values of a list feature; `half` rounds them to half precision,
-    and with type `binary` packs them as half-precision bytes (a quarter of `array<double>`).
+    and with type `binary` packs them as half-precision bytes (a quarter of `array<double>`). A model
+    class is made once per worker process; if it has a method `batch`, that gets record batches of
+    the inputs, else the object is called per row.
     """
 
     name: str
@@ -42,6 +135,7 @@ class FeatureDef:
     length: int | None = None
     half: bool = False
     batch_size: int | None = None
+    version: str | None = None
     profile: Any = field(default=None, compare=False)
 
     @property
@@ -49,12 +143,12 @@ class FeatureDef:
         return T.DataType.fromDDL(self.data_type)
 
     def fingerprint(self) -> str:
-        """Changes whenever the name, type, inputs or code change."""
-        try:
-            source = inspect.getsource(self.code)
-        except (OSError, TypeError):
-            source = repr(getattr(getattr(self.code, "__code__", None), "co_code", self.code))
-        told = (self.name, self.data_type, self.inputs, self.kind, self.length, self.half, source)
+        """Changes whenever the name, type, inputs, or what the code computes with changes: its
+        instructions, constants, defaults and captured values, and functions and classes of its own
+        package that it calls. With a `version` that text stands for the code. Values that cannot be
+        told apart for certain are refused; give a `version` then."""
+        code = ("version", self.version) if self.version is not None else _told(self.code, _package(self.code), ())
+        told = (self.name, self.data_type, self.inputs, self.kind, self.length, self.half, code)
         return hashlib.sha256(repr(told).encode()).hexdigest()[:16]
 
     def apply(self, df: DataFrame, key: str) -> DataFrame:
@@ -76,18 +170,21 @@ class FeatureDef:
         arrow_type = to_arrow_type(self.spark_type)
         schema = T.StructType([kept.schema[key], T.StructField(name, self.spark_type)])
         pack = self._packer()
-        size = self.batch_size
+        width = 2 if self.data_type == "binary" else 8
+        bounded = max(1, OUTPUT_BYTES // (width * self.length)) if self.length else None
+        size, fingerprint = self.batch_size or bounded, self.fingerprint()
 
         def run(batches):
-            model = None
+            model = _model(fingerprint, code) if kind == MODEL else None
             for whole in batches:
                 step = size or max(whole.num_rows, 1)
                 for at in range(0, whole.num_rows, step):
                     batch = whole.slice(at, step)
                     if kind == BATCH:
                         values = pack(code(batch.select(inputs)).column(name))
+                    elif hasattr(model, "batch"):
+                        values = pack(model.batch(batch.select(inputs)))
                     else:
-                        model = model or code()
                         rows = zip(*[batch.column(c).to_pylist() for c in inputs])
                         values = pack([model(*row) for row in rows])
                     if not isinstance(values, pa.Array):

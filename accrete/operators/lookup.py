@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key holding more than this share of the rows is hot; there are fewer than HOT_PARTS of them.
 HOT_PARTS = 1000
-# Longest id list put into a filter as such.
-PUSHED_IDS = 5000
+# Ranges an id list is put into a filter as.
+RANGES = 128
 
 
 def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
@@ -35,22 +37,29 @@ def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -
     )
 
 
+def _ranges(ids: list[int]) -> list[tuple[int, int]]:
+    """At most RANGES closed ranges that hold all ids, cut at the widest gaps between them."""
+    ordered = sorted(set(ids))
+    gaps = sorted(range(1, len(ordered)), key=lambda i: ordered[i - 1] - ordered[i])[: RANGES - 1]
+    cuts = [0, *sorted(gaps), len(ordered)]
+    return [(ordered[a], ordered[b - 1]) for a, b in zip(cuts, cuts[1:])]
+
+
 def take_rows(df: DataFrame, ids: list[int], key: str, columns: list[str]) -> DataFrame:
     """Rows of an id list, in its order and with its repeats; unknown ids are left out.
 
-    The ids come from the caller's own list, so the broadcast side is bounded by it. The range of
-    the ids, and up to PUSHED_IDS of them one by one, reach the Parquet scan.
+    The ids come from the caller's own list, so the broadcast side and the one sorted partition of
+    the result are bounded by it. Ranges around them reach the Parquet scan, so that on a table
+    sorted by `key` only row groups near an id are read, and once.
     """
     if not ids:
         return df.select(*columns).limit(0)
     spark = df.sparkSession
     wanted = spark.createDataFrame(list(enumerate(ids)), f"_pos int, {key} bigint")
-    near = df.where(F.col(key).between(min(ids), max(ids)))
-    if len(ids) <= PUSHED_IDS:
-        near = near.where(F.col(key).isin(sorted(set(ids))))
+    near = reduce(Column.__or__, [F.col(key).between(low, high) for low, high in _ranges(ids)])
     return (
-        near.select(*dict.fromkeys([key, *columns]))
+        df.where(near).select(*dict.fromkeys([key, *columns]))
         .join(F.broadcast(wanted), key)
-        .orderBy("_pos")
+        .repartition(1).sortWithinPartitions("_pos")
         .select(*columns)
     )

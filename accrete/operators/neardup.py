@@ -1,4 +1,7 @@
-"""Near-duplicate images by difference hash: equal hashes, and hashes a few bits apart."""
+"""Near-duplicate images by difference hash: equal hashes, and hashes a few bits apart.
+
+A null hash is no hash: it belongs to no group, is near to nothing and repeats nothing.
+"""
 
 from __future__ import annotations
 
@@ -23,25 +26,27 @@ BLOCK_HASHES = 1024
 
 def duplicate_groups(df: DataFrame, key: str, hash_column: str = "dhash") -> DataFrame:
     """One row per distinct hash: its number of rows and its representative, the least key."""
-    return df.groupBy(hash_column).agg(
+    return df.where(F.col(hash_column).isNotNull()).groupBy(hash_column).agg(
         F.count(F.lit(1)).alias("rows"), F.min(key).alias("representative")
     )
 
 
 def duplicate_members(df: DataFrame, key: str, hash_column: str = "dhash") -> DataFrame:
-    """Every row with the size and representative of its group, balanced under hot hashes."""
-    rows = df.select(key, hash_column)
+    """Every row with the size and representative of its group, balanced under hot hashes; both are
+    null for a row without a hash. The hashes are computed once."""
+    rows = checkpointed(df.select(key, hash_column))
     groups = duplicate_groups(rows, key, hash_column).withColumn("group_rows", F.col("rows"))
     return balanced_lookup(rows, groups, hash_column, weight="rows")
 
 
 def duplicate_summary(df: DataFrame, hash_column: str = "dhash") -> DataFrame:
-    """Distinct hashes over rows, and how many rows repeat an earlier one."""
+    """Distinct hashes over rows, and how many rows repeat an earlier one; rows without a hash are
+    counted as rows only."""
     groups = df.groupBy(hash_column).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.count(F.col(hash_column)).alias("distinct_hashes"),
         F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("n") > 1, F.col("n") - 1).otherwise(0)).alias("repeated_rows"),
+        F.sum(F.when(F.col(hash_column).isNotNull(), F.col("n") - 1).otherwise(0)).alias("repeated_rows"),
     )
 
 

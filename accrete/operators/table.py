@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrete.operators.feature import FeatureDef, in_dependency_order
+from accrete.operators.lookup import take_rows
 from accrete.sources.files import Folder, split_table_path
 
 RAW_SOURCE = "raw data"
@@ -118,24 +119,49 @@ class FeatureTable:
 
     # ---- rows ------------------------------------------------------------------------------
 
-    def append(self, df: DataFrame, bucketed: bool = False, part: str | None = None) -> FeatureTable:
+    def append(
+        self, df: DataFrame, bucketed: bool = False, part: str | None = None, on_repeat: str = "error",
+    ) -> FeatureTable:
         """Add rows below the existing ones. Increments of at least a few thousand rows per bucket
         should be `bucketed`; small ones stay loose. A part already committed is left alone.
 
+        Keys must stay unique and not null. A key that repeats inside `df` or is null raises; one
+        that the table has already raises too, or with `on_repeat` "skip" its new row is left out,
+        so a file that lands twice adds nothing. Only keys are read for that.
+
         Like every change, it builds on the newest version and publishes the next one; of two
         writers at the same moment one gets FileExistsError and can simply try again."""
-        return self.latest()._add_part(df, bucketed, part)
+        if on_repeat not in ("error", "skip"):
+            raise ValueError("on_repeat is error or skip")
+        return self.latest()._add_part(df, bucketed, part, on_repeat)
 
-    def _add_part(self, df: DataFrame, bucketed: bool, part: str | None) -> FeatureTable:
+    def _keys(self) -> DataFrame | None:
+        parts = self.manifest["parts"]
+        return self._stitch([self.key], parts) if parts else None
+
+    def _refuse_repeats(self, added: DataFrame, known: DataFrame | None) -> None:
+        keys = added.select(self.key)
+        inside = keys.groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(self.key).isNull())
+        bad = inside.select(self.key).head(1)
+        if not bad and known is not None:
+            bad = keys.join(known, self.key, "left_semi").head(1)
+        if bad:
+            raise ValueError(f"key {self.key} is null or repeated: {bad[0][0]}")
+
+    def _add_part(self, df: DataFrame, bucketed: bool, part: str | None, on_repeat: str = "error") -> FeatureTable:
         part = part or f"p{len(self.manifest['parts']):06d}-{uuid.uuid4().hex[:8]}"
         if any(p["name"] == part for p in self.manifest["parts"]):
             return self
-        rows = df.select(*self.raw_schema.names)
+        rows, known = df.select(*self.raw_schema.names), self._keys()
+        if on_repeat == "skip" and known is not None:
+            rows = rows.join(known, self.key, "left_anti")
         layout = BUCKETED if bucketed else LOOSE
         if bucketed:
             rows = rows.repartition(self.manifest["buckets"], self.key)
         self._write(rows, self.manifest["base"], layout, part)
-        count = self._scan(self.manifest["base"], self.raw_schema, layout, [part]).count()
+        added = self._scan(self.manifest["base"], self.raw_schema, layout, [part])
+        self._refuse_repeats(added, None if on_repeat == "skip" else known)
+        count = added.count()
         entry = {"name": part, "layout": layout, "rows": count}
         return self._commit(parts=[*self.manifest["parts"], entry])
 
@@ -207,25 +233,28 @@ class FeatureTable:
             finished = {f for d in done if d["part"] == part["name"] for f in d["files"]}
             files = [f for f in self.folder.files(*folder.split("/")) if f not in finished]
             step = len(files)
-            if checkpoint_size and not stitched and part["rows"]:
+            if checkpoint_size and part["rows"]:
                 all_files = len(files) + len(finished)
                 step = max(1, math.floor(checkpoint_size * all_files / part["rows"]))
             for i in range(0, len(files), max(step, 1)):
                 chunks.append({
                     "name": f"{part['name']}-{uuid.uuid4().hex[:8]}", "part": part["name"],
                     "layout": part["layout"], "folder": folder, "files": files[i : i + step],
-                    "stitched": stitched,
+                    "stitched": stitched, "whole": step >= len(files) and not finished,
                 })
         return chunks
 
     def _fill(self, feature: FeatureDef, entry: dict, chunk: dict, task_size: int | None) -> None:
         columns = list(dict.fromkeys([self.key, *feature.inputs]))
-        if chunk["stitched"]:
+        if chunk["stitched"] and chunk["whole"]:
             rows = self._stitch(columns, [p for p in self.manifest["parts"] if p["name"] == chunk["part"]])
         else:
             wanted = T.StructType([f for f in self.raw_schema.fields if f.name in columns])
             paths = [self.folder.path(*chunk["folder"].split("/"), f) for f in chunk["files"]]
-            rows = self.spark.read.schema(wanted).parquet(*paths).select(*columns)
+            rows = self.spark.read.schema(wanted).parquet(*paths)
+            for name in (c for c in columns if c in self.features):
+                rows = rows.join(self._feature_beside(name, chunk), self.key, "left")
+            rows = rows.select(*columns)
         if task_size:
             tasks = math.ceil(max(rows.count(), 1) / task_size)
             if chunk["layout"] == BUCKETED:
@@ -236,6 +265,18 @@ class FeatureTable:
         record = {k: chunk[k] for k in ("name", "part", "layout", "files")}
         self.folder.publish(json.dumps(record), *entry["folder"].split("/"), "done", f"{chunk['name']}.json")
 
+    def _feature_beside(self, name: str, chunk: dict) -> DataFrame:
+        """A feature of the rows in a chunk's raw files: only its files of the same buckets are read."""
+        entry, schema = self.features[name], self._feature_schema(name)
+        mine = {_bucket(f) for f in chunk["files"]}
+        paths = []
+        for done in entry["chunks"]:
+            if done["part"] == chunk["part"]:
+                place = _place(entry["folder"], done["layout"], done["name"]).split("/")
+                paths += [self.folder.path(*place, f) for f in self.folder.files(*place)
+                          if done["layout"] == LOOSE or _bucket(f) in mine]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def _open_parts(self, entry: dict) -> list[dict]:
         complete = set(entry["complete"])
         return [p for p in self.manifest["parts"] if p["name"] not in complete]
@@ -280,10 +321,15 @@ class FeatureTable:
     def read_columns(self, columns: list[str], limit: int | None = None) -> DataFrame:
         """Columns of the newest version, the first `limit` rows in key order."""
         table = self.latest()
-        if limit is None:
+        if limit is None or limit >= table.count_rows():
             return table.select(*columns)
         kept = table.select(*dict.fromkeys([self.key, *columns]))
-        return kept.orderBy(self.key).limit(min(limit, table.count_rows())).select(*columns)
+        return kept.orderBy(self.key).limit(limit).select(*columns)
+
+    def take(self, ids: list[int], columns: list[str]) -> DataFrame:
+        """Rows of an id list, in its order and with its repeats, from stored columns; files are
+        sorted by key, so only row groups near an id are read, of the folders of these columns."""
+        return take_rows(self.select(*dict.fromkeys([self.key, *columns])), ids, self.key, columns)
 
     def missing_rows(self, name: str) -> DataFrame:
         """Keys of rows a feature does not cover yet, whatever the manifest says."""
@@ -384,5 +430,10 @@ def _latest(folder: Folder) -> int:
     return int(names[-1][1:-5]) if names else 0
 
 
+def _bucket(file: str) -> str:
+    """Bucket number in the name of a bucketed file."""
+    return file.rsplit("_", 1)[-1].split(".", 1)[0]
+
+
 def _place(folder: str, layout: str, part: str) -> str:
     return f"{folder}/{layout}/{PART}={part}" if layout == BUCKETED else f"{folder}/{layout}/{part}"

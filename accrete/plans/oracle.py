@@ -37,7 +37,7 @@ def _score(said: str) -> str:
 
 SCORED = {
     "said": "SELECT t.id, t.question, t.answers, b.prediction AS base, u.prediction AS tuned "
-            "FROM truths t JOIN base b USING (id) JOIN tuned u USING (id)",
+            "FROM truths t LEFT JOIN base b USING (id) LEFT JOIN tuned u USING (id)",
     "scored": f"SELECT *, {_score('base')} AS base_score, {_score('tuned')} AS tuned_score FROM said",
 }
 
@@ -164,6 +164,9 @@ ORACLE = {
     "dependent_features": _with("questions", f"""
         SELECT id, {TYPE} NOT IN ('is_does', 'other') AND len({WORDS.format('question')}) > 1 AS long_open_question
         FROM questions"""),
+    "resume_dependent_backfill": _with("questions", f"""
+        SELECT id, {TYPE} NOT IN ('is_does', 'other') AND len({WORDS.format('question')}) > 1 AS long_open_question
+        FROM questions"""),
     "resume_backfill": _with("questions", f"SELECT {TYPE} AS question_type, count(*) AS count FROM questions GROUP BY 1"),
     "partial_coverage": """
         SELECT unnest(['id', 'question', 'question_type', 'question_words']) AS column,
@@ -171,6 +174,8 @@ ORACLE = {
     "rows_left_to_fill": "SELECT -event_id - 1 AS id FROM events",
     "feature_versions": _with("questions", f"""
         SELECT {COARSE} AS before, {TYPE} AS after, count(*) AS count, false AS still_there FROM questions GROUP BY 1, 2"""),
+    "repeated_keys": _with("questions", f"SELECT id, question, {TYPE} AS question_type FROM questions"),
+    "changed_code_versions": _with("questions", "SELECT left(question, 3) AS start, count(*) AS count FROM questions GROUP BY 1"),
     "appended_rows": _with("questions", f"SELECT id, {TYPE} AS question_type FROM questions"),
     "provenance": """
         SELECT c.column, c.type, c.source, c.is_new, CASE WHEN c.column = 'question_words' THEN 0 ELSE n END AS filled,
@@ -186,9 +191,11 @@ ORACLE = {
     "incremental_features": _with("questions", f"SELECT {TYPE} AS question_type, count(*) AS count FROM questions GROUP BY 1"),
     "stream_dedup": _with("rasters", "SELECT DISTINCT dhash FROM hashed", **_hashed("rasters")),
     # sources and small reads
+    "stream_dedup_watermark": "SELECT DISTINCT user_id, event_type FROM events",
     "dataset_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS dataset, count(*) AS rows FROM {t}"
-        for t in ("documents", "conversations", "embeddings", "events", "part", "orders", "lineitem")
+        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                  "embeddings", "pages", "benchmark", "labels", "conversations")
     ),
     "sidecar_metadata": "SELECT 'text_dense' AS slice, count(*) AS rows, 0 AS absent FROM documents",
     "parquet_mirror": "SELECT doc_id, lang, md5(text) AS digest FROM documents",
@@ -205,6 +212,9 @@ ORACLE = {
         SELECT doc_id, lang, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY batch
           ORDER BY md5('0|' || batch || '|' || doc_id), doc_id) AS place FROM documents, range(20) b(batch))
         WHERE place <= 8""",
+    "table_take": _with("questions", f"""
+        SELECT id, question, {TYPE} AS question_type FROM (SELECT *, row_number() OVER (PARTITION BY batch
+          ORDER BY md5('0|' || batch || '|' || id), id) AS place FROM questions, range(20) b(batch)) WHERE place <= 8"""),
     "row_index": "SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents",
     # text and profiling
     "qtype_v1_counts": _with("questions", f"SELECT {COARSE} AS qtype, count(*) AS count FROM questions GROUP BY 1"),
@@ -296,6 +306,11 @@ ORACLE = {
     "micro_batches": f"""
         SELECT epoch::INT AS epoch, doc_id, (rank - 1) // 3 AS batch FROM (
           SELECT epoch, doc_id, {RANKED.format(seed=42, key='doc_id')} AS rank FROM documents, range(2) e(epoch))""",
+    "whole_epoch_schedule": """
+        WITH size AS (SELECT ceil(count(*) / 2.0)::BIGINT AS per_epoch, count(*) AS n FROM documents),
+        steps AS (SELECT e::INT AS epoch, b AS batch, least(2, n - 2 * b) AS samples, (e * per_epoch + b) // 4 + 1 AS s, per_epoch
+                  FROM size, range(2) r(e), unnest(range(per_epoch)) u(b))
+        SELECT epoch, batch, samples, CASE WHEN s <= 2 * per_epoch // 4 THEN s END AS step FROM steps""",
     "accum_schedule": _with("", "SELECT * FROM schedule", **SCHEDULE),
     "progress_steps": _with("", """
         SELECT step, sum(samples)::BIGINT AS samples FROM schedule WHERE step % 10 = 0 OR step = 300 GROUP BY step""",

@@ -108,6 +108,15 @@ def resume_backfill(spark, folder):
     return profile.value_counts(table.select("question_type"), "question_type")
 
 
+@query
+def resume_dependent_backfill(spark, folder):
+    table = _question_table(spark, folder, "redepend").backfill_all([question_type, question_words])
+    size = max(1, table.count_rows() // 4)
+    table.backfill(long_open_question, checkpoint_size=size, max_chunks=2)
+    table = table.latest().backfill(long_open_question, checkpoint_size=size)
+    return table.select("id", "long_open_question")
+
+
 @query
 def partial_coverage(spark, folder):
     table = _question_table(spark, folder, "partial").backfill(question_type)
@@ -136,6 +145,23 @@ def feature_versions(spark, folder):
     )
 
 
+@query
+def repeated_keys(spark, folder):
+    rows = inputs.questions(spark, folder)
+    table = FeatureTable.create(spark, new_dir(spark, "repeats"), rows.where("id % 3 = 0")).append(rows, on_repeat="skip")
+    table = table.append(rows.where("id % 5 = 0"), on_repeat="skip").backfill(question_type)
+    return table.select("id", "question", "question_type")
+
+
+@query
+def changed_code_versions(spark, folder):
+    def first_letters(count):
+        return feature("string", ["question"], name="start")(lambda question: question[:count])
+
+    table = _question_table(spark, folder, "changed").backfill(first_letters(1)).backfill(first_letters(3))
+    return profile.value_counts(table.select("start"), "start")
+
+
 @query
 def appended_rows(spark, folder):
     rows = inputs.questions(spark, folder)
@@ -222,12 +248,29 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(kept).select(hashing.hash_hex(F.col("dhash")).alias("dhash"))
 
 
+@query
+def stream_dedup_watermark(spark, folder):
+    """Repeats of a user's event type within the delay; the events come in one batch, so that what is
+    dropped does not hang on when the watermark moves."""
+    events = inputs.table(spark, folder, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.xxhash64("user_id", "event_type").alias("dhash"), "user_id", "event_type")
+    landing, progress, kept = (new_dir(spark, n) for n in ("events", "dedup", "kept"))
+    events.coalesce(1).write.parquet(landing)
+    stream = first_of_each_hash(spark.readStream.schema(events.schema).parquet(landing), event_time="ts", delay="3650 days")
+    (
+        stream.writeStream.format("parquet").option("path", kept).option("checkpointLocation", progress)
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.parquet(kept).select("user_id", "event_type")
+
+
 # ---- sources and small reads -------------------------------------------------------------------
 
 
 @query
 def dataset_counts(spark, folder):
-    names = ["documents", "conversations", "embeddings", "events", "part", "orders", "lineitem"]
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+             "embeddings", "pages", "benchmark", "labels", "conversations"]
     counted = [
         inputs.table(spark, folder, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
         for n in names
@@ -241,10 +284,12 @@ def dataset_counts(spark, folder):
 @query
 def sidecar_metadata(spark, folder):
     place = new_dir(spark, "sidecar")
-    rows = inputs.table(spark, folder, "documents").count()
-    files.write_sidecar(spark, place, {"slice": "text_dense", "rows": rows})
-    info, absent = files.read_sidecar(spark, place), files.read_sidecar(spark, place, "other.json")
-    return spark.createDataFrame([(info["slice"], info["rows"], len(absent))], "slice string, rows bigint, absent int")
+    documents = inputs.table(spark, folder, "documents")
+    files.write_sidecar(spark, place, {"slice": "text_dense"})
+    schema = "slice string"
+    info, absent = (files.read_sidecar(spark, place, schema, name) for name in ("slice_info.json", "other.json"))
+    counted = documents.agg(F.count(F.lit(1)).alias("rows"))
+    return info.crossJoin(counted).crossJoin(absent.agg(F.count(F.lit(1)).cast("int").alias("absent")))
 
 
 @query
@@ -287,6 +332,13 @@ def take_by_ids(spark, folder):
     return lookup.take_rows(documents, [row["doc_id"] for row in drawn], "doc_id", ["doc_id", "lang", "n_chars"])
 
 
+@query
+def table_take(spark, folder):
+    table = _question_table(spark, folder, "take").backfill(question_type)
+    drawn = curate.random_batches(table.select("id"), "id", 20, 8).orderBy("batch", "id").collect()
+    return table.take([row["id"] for row in drawn], ["id", "question", "question_type"])
+
+
 @query
 def row_index(spark, folder):
     return batches.row_index(inputs.table(spark, folder, "documents").select("doc_id", "lang"), "doc_id")
@@ -444,7 +496,7 @@ def eval_head(spark, folder):
 
 @query
 def truth_matches(spark, folder):
-    said = inputs.predictions(spark, folder, "tuned").join(inputs.truths(spark, folder), "id")
+    said = inputs.predictions(spark, folder, "tuned").join(inputs.truths(spark, folder), "id", "right")
     score = scoring.answer_score(F.col("prediction"), F.col("answers"))
     return said.groupBy(F.round(score, 6).alias("score")).count()
 
@@ -532,22 +584,32 @@ def micro_batches(spark, folder):
     return batches.micro_batches(ordered, 3).select("epoch", "doc_id", "batch")
 
 
-def _schedule(spark, folder):
+# Fixed values of the training run: micro-batches a step, steps, epochs at most.
+ACCUMULATE, STEPS, EPOCHS = 4, 300, 10
+
+
+def _schedule(spark, folder, steps, epochs):
     documents = inputs.table(spark, folder, "documents")
     rows = documents.count()
-    epochs = batches.epochs_needed(rows, 2)
+    if steps is not None:
+        epochs = batches.epochs_needed(rows, 2, ACCUMULATE, steps, epochs)
     batched = batches.micro_batches(batches.epoch_order(documents, "doc_id", epochs), 2)
-    return batches.accumulation_schedule(batched, rows, 2, epochs)
+    return batches.accumulation_schedule(batched, rows, 2, epochs, ACCUMULATE, steps)
 
 
 @query
 def accum_schedule(spark, folder):
-    return _schedule(spark, folder)
+    return _schedule(spark, folder, STEPS, EPOCHS)
+
+
+@query
+def whole_epoch_schedule(spark, folder):
+    return _schedule(spark, folder, None, 2)
 
 
 @query
 def progress_steps(spark, folder):
-    return batches.progress_steps(_schedule(spark, folder), batches.MAX_STEPS)
+    return batches.progress_steps(_schedule(spark, folder, STEPS, EPOCHS), STEPS)
 
 
 @query

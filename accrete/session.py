@@ -48,12 +48,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 _shipped: set[str] = set()
 
+# Rows of an Arrow batch: whole documents are wide, and both ends hold a batch in memory.
+ARROW_ROWS = 1000
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable in Python workers, wherever they run: a zip in the shared folder."""
+    """Make the package importable in Python workers, wherever they run: a zip in the shared folder.
+
+    Arrow batches are made smaller, unless the session has a size of its own.
+    """
     from accrete.sources.files import Folder
 
-    context = spark.sparkContext
+    context, rows = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":  # Spark's default
+        spark.conf.set(rows, ARROW_ROWS)
     if context.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -64,23 +64,25 @@ class Folder:
             raise FileExistsError(self.path(*parts))
 
 
-def read_sidecar(spark: SparkSession, folder: str, name: str = "slice_info.json") -> dict:
-    """Optional JSON metadata beside a table; an empty dict when there is none."""
+def read_sidecar(spark: SparkSession, folder: str, schema: str, name: str = "slice_info.json") -> DataFrame:
+    """Optional JSON metadata beside a table: its one row, or none when there is no such file."""
     place = Folder(spark, folder)
-    return json.loads(place.read(name)) if place.exists(name) else {}
+    if not place.exists(name):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(place.path(name), multiLine=True)
 
 
 def write_sidecar(spark: SparkSession, folder: str, info: dict, name: str = "slice_info.json") -> None:
     Folder(spark, folder).publish(json.dumps(info, sort_keys=True), name)
 
 
-def mirror_columns(df: DataFrame, columns: list[str], path: str, block_bytes: int = 8 << 20) -> DataFrame:
-    """Copy a column group to plain uncompressed Parquet with small row groups, and open the copy."""
+def mirror_columns(df: DataFrame, columns: list[str], path: str, group_rows: int = 64) -> DataFrame:
+    """Copy a column group to plain uncompressed Parquet in row groups of `group_rows`, and open it."""
     (
         df.select(*columns)
         .write.mode("errorifexists")
         .option("compression", "none")
-        .option("parquet.block.size", block_bytes)
+        .option("parquet.block.row.count.limit", group_rows)
         .parquet(path)
     )
     return df.sparkSession.read.schema(df.select(*columns).schema).parquet(path)

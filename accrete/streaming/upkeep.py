@@ -18,12 +18,13 @@ def keep_features(
 
     Runs until all files present are done. A micro-batch is one part of the table, named after
     its number: a batch repeated after a failure finds its part committed and goes on with the
-    features still missing, so each row is added once.
+    features still missing, so each row is added once. Rows whose key the table has already, from a
+    file that landed twice, are left out.
     """
 
     def take(batch: DataFrame, number: int) -> None:
         table = FeatureTable.open(batch.sparkSession, table_path)
-        table = table.append(batch, bucketed=bucketed, part=f"stream-{number:09d}")
+        table = table.append(batch, bucketed=bucketed, part=f"stream-{number:09d}", on_repeat="skip")
         table.backfill_all(features)
 
     reader = spark.readStream.schema(schema).format("parquet")
@@ -38,7 +39,12 @@ def keep_features(
 def first_of_each_hash(
     stream: DataFrame, hash_column: str = "dhash", event_time: str | None = None, delay: str = "1 day"
 ) -> DataFrame:
-    """Rows whose hash was not seen before. With an event time, hashes are remembered for `delay` only."""
+    """Rows whose hash was not seen before.
+
+    Give an event time: hashes are then remembered until the watermark, `delay` behind the latest
+    event, has passed them, which bounds the state. Without one, every hash ever seen is kept, for
+    streams known to end.
+    """
     if event_time is None:
         return stream.dropDuplicates([hash_column])
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([hash_column])

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from accrete.plans.oracle import ORACLE
+from accrete.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,13 +15,14 @@ def engine():
     return check.engine(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, engine, name):
     assert check.compare(spark, engine, FOLDER, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_flagship(spark):

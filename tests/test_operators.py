@@ -145,7 +145,7 @@ def test_take_rows_keeps_order_and_repeats(spark, monkeypatch):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert [r.v for r in lookup.take_rows(df, [7, 3, 7, 500], "id", ["v"]).collect()] == [14, 6, 14]
     assert lookup.take_rows(df, [], "id", ["v"]).count() == 0
-    monkeypatch.setattr(lookup, "PUSHED_IDS", 1)
+    monkeypatch.setattr(lookup, "RANGES", 1)
     assert [r.v for r in lookup.take_rows(df, [7, 3, 7, 500], "id", ["v"]).collect()] == [14, 6, 14]
 
 
