@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrete.functions.text import prompt, words
 from accrete.functions.vectors import list_matrix
 from accrete.operators.lookup import balanced_lookup
 from accrete.operators.rank import sorted_rank
@@ -95,6 +96,22 @@ def packed_tokens(ids: DataFrame, budget: int = MAX_TEXT_TOKENS, pad: int = PAD_
     )
 
 
+def prompt_answer_tokens(
+    df: DataFrame, key: str, question: str, answer: str, budget: int = MAX_TEXT_TOKENS, limit_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(key, input_ids, attention_mask, labels, n_tokens, truncated): question with the answer hint,
+    then the answer, as training rows of `budget` tokens.
+
+    The vocabulary is that of all these texts. Labels cover the answer only: the prompt is masked by
+    its own length. `n_tokens` counts what the row had before it was cut to the budget.
+    """
+    told = df.select(key, words(prompt(F.col(question))).alias("_prompt"), words(F.coalesce(answer, F.lit(""))).alias("_answer"))
+    rows = told.select(key, F.concat("_prompt", "_answer").alias("tokens"), F.size("_prompt").alias("start"))
+    ids = token_ids(rows, key, "tokens", vocabulary(rows, "tokens"), budget, limit_bytes)
+    sizes = rows.select(key, "start", F.size("tokens").alias("n_tokens"), (F.size("tokens") > budget).alias("truncated"))
+    return packed_tokens(ids.join(sizes, key), budget, prompt_length="start").drop("start")
+
+
 def placeholder_count(ids: Column, placeholder: int) -> Column:
     return F.size(F.filter(ids, lambda x: x == placeholder))
 

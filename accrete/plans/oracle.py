@@ -135,23 +135,24 @@ SCHEDULE = {
         FROM sized, run WHERE epoch < epochs""",
 }
 
-PROMPT = "coalesce(text, '') || chr(10) || chr(10) || '" + ANSWER_HINT + "'"
+PROMPT = "coalesce(question, '') || chr(10) || chr(10) || '" + ANSWER_HINT + "'"
 
 
 def _join(items: str) -> str:
     return f"array_to_string({items}, ' ')"
 
 
-PACKED = _with("", f"""
-    SELECT id, {_join("list_concat(ids, list_transform(range(48 - len(ids)), lambda i: 0))")} AS input_ids,
-      {_join("list_concat(list_transform(ids, lambda i: 1), list_transform(range(48 - len(ids)), lambda i: 0))")} AS attention_mask,
+PACKED = _with("qa", f"""
+    SELECT id, {_join("list_concat(ids, list_transform(range(512 - len(ids)), lambda i: 0))")} AS input_ids,
+      {_join("list_concat(list_transform(ids, lambda i: 1), list_transform(range(512 - len(ids)), lambda i: 0))")} AS attention_mask,
       {_join('''list_concat(list_transform(ids, lambda x, i: CASE WHEN i <= start THEN -100 ELSE x END),
-        list_transform(range(48 - len(ids)), lambda i: -100))''')} AS labels
-    FROM (SELECT id, least(any_value(n), 4) AS start, list(token_id ORDER BY pos) AS ids FROM kept JOIN vocabulary USING (token)
-      GROUP BY id)""",
-    worded=f"SELECT conv_id * 1000 + turn AS id, {WORDS.format(PROMPT)} AS tokens FROM conversations",
-    spread="SELECT id, len(tokens) AS n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM worded",
-    kept="SELECT * FROM spread WHERE pos <= 48",
+        list_transform(range(512 - len(ids)), lambda i: -100))''')} AS labels, n_tokens, n_tokens > 512 AS truncated
+    FROM (SELECT id, any_value(start) AS start, any_value(n)::INT AS n_tokens, list(token_id ORDER BY pos) AS ids
+      FROM kept JOIN vocabulary USING (token) GROUP BY id)""",
+    asked=f"SELECT conv_id * 1000 + turn AS id, {WORDS.format(PROMPT)} AS p, {WORDS.format("coalesce(answer, '')")} AS a FROM qa",
+    worded="SELECT id, len(p) AS start, list_concat(p, a) AS tokens FROM asked",
+    spread="SELECT id, start, len(tokens) AS n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM worded",
+    kept="SELECT * FROM spread WHERE pos <= 512",
     vocabulary="""SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS token_id FROM spread GROUP BY token""")
 
 ORACLE = {

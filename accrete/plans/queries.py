@@ -653,16 +653,11 @@ def sft_struct_or_flat(spark, folder):
 
 
 def _packed(spark, folder, limit_bytes):
-    prompted = inputs.table(spark, folder, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), text.words(text.prompt(F.col("text"))).alias("tokens")
-    )
-    known = tokens.vocabulary(prompted, "tokens")
-    ids = tokens.token_ids(prompted, "id", "tokens", known, 48, limit_bytes)
-    cut = prompted.select("id", F.least(F.size("tokens"), F.lit(4)).alias("start"))
-    packed = tokens.packed_tokens(ids.join(cut, "id"), 48, prompt_length="start")
+    asked = inputs.qa(spark, folder).withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+    packed = tokens.prompt_answer_tokens(asked, "id", "question", "answer", limit_bytes=limit_bytes)
     return packed.select("id", *[
         F.array_join(F.col(f).cast("array<string>"), " ").alias(f) for f in batches.TOKEN_FIELDS
-    ])
+    ], "n_tokens", "truncated")
 
 
 @query
