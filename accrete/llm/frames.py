@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,16 +16,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, characters: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give memory that a worker no longer uses back to the machine: Spark keeps workers for later
+    tasks, and executors hold them within their own limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim is not None:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, characters: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose `text` column holds about `characters` bytes at most, so that
-    what a task holds as Python objects does not grow with the length of texts."""
-    for batch in batches:
-        column = batch.column(text)
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // characters)) + 1
-        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if high > low:
-                yield batch.slice(low, high - low)
+    what a task holds as Python objects does not grow with the length of texts; at the end of the
+    task unused memory is given back."""
+    try:
+        for batch in batches:
+            column = batch.column(text)
+            sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // characters)) + 1
+            for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if high > low:
+                    yield batch.slice(low, high - low)
+    finally:
+        release()
 
 
 def identified(docs: DataFrame) -> DataFrame:

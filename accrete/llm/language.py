@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accrete.llm.frames import slices
+from accrete.llm.tokenizing import forget_chunks
 
 # Buckets of the trigram hash.
 BUCKETS = 1 << 14
@@ -117,6 +118,7 @@ def learn_languages(docs: DataFrame) -> LanguageModel:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text"):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
@@ -150,12 +152,13 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     schema = StructType([*kept.schema.fields, *StructType.fromDDL("lang_pred string, score double, ambiguous boolean").fields])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
             names, scores, unsure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)] if model.languages else []
-            for low in range(0, len(known), 256):
-                rows = known[low : low + 256]
+            for low in range(0, len(known), 64):
+                rows = known[low : low + 64]
                 found = model.scores(np.stack([trigram_counts(texts[i]) for i in rows]).astype(np.float32))
                 best = found.argmax(axis=1)
                 ranked = np.sort(found, axis=1)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accrete.llm.frames import slices
-from accrete.llm.tokenizing import chunk_encoder
+from accrete.llm.tokenizing import REMEMBERED, chunk_encoder
 from accrete.session import staged
 
 # Rows of the corpus behind each bucket that a length is spread over, and the fewest buckets.
@@ -139,7 +139,9 @@ def best_fit_pack(items: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int = 0, keep_ids: bool = True) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, path: str, capacity: int, end_id: int = 0, keep_ids: bool = True, remembered: int = REMEMBERED,
+) -> DataFrame:
     """Pieces of at most `capacity` ids: doc_id, piece, start, length, ids_crc32 and, if asked for,
     `ids` as little-endian unsigned 32-bit integers.
 
@@ -150,7 +152,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int = 0, ke
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(path, True)
+        encoder = chunk_encoder(path, True, remembered)
         for batch in slices(batches, "text"):
             columns: list[list] = [[], [], [], [], [], []]
             ids_of = encoder.ids(batch.column("text").to_pylist())
@@ -174,6 +176,9 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int = 0, ke
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(cut, schema)
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, keep_ids: bool = True) -> DataFrame:
-    """Tokenise, cut and pack: one row per piece with its sequence and offset."""
-    return best_fit_pack(cut_documents(docs, path, capacity, keep_ids=keep_ids), capacity)
+def pack_documents(
+    docs: DataFrame, path: str, capacity: int = 2048, keep_ids: bool = True, remembered: int = REMEMBERED,
+) -> DataFrame:
+    """Tokenise, cut and pack: one row per piece with its sequence and offset. `remembered` is the number
+    of chunks a worker keeps the ids of: fewer take less memory and more time."""
+    return best_fit_pack(cut_documents(docs, path, capacity, keep_ids=keep_ids, remembered=remembered), capacity)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from accrete.llm.components import components
 from accrete.llm.frames import identified, same_row, slices, unwrapped
+from accrete.llm.tokenizing import forget_chunks
 from accrete.operators.lookup import balanced_lookup
 from accrete.session import BROADCAST_BYTES, staged
 
@@ -55,6 +56,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id, content (hash of the text, to find the row again) and fp of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         for batch in slices(batches, "text"):
             found = [fingerprint(t or "", words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -131,6 +133,7 @@ def close_pairs(classes: DataFrame, distance: int = 3) -> DataFrame:
             first[agreeing] = number[tuple(same[:3])]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         references = pivots()
         for choice, bits, low, high, own, fp in _whole_places(batches):
             fp = fp.view(np.uint64)

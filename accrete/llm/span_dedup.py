@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accrete.llm.frames import copy_number, identified, same_row, slices, unwrapped
+from accrete.llm.tokenizing import forget_chunks
 from accrete.session import staged
 
 # Spans a task settles together.
@@ -66,6 +67,7 @@ def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> Data
     """
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         held: list[list] = [[], [], [], [], []]
 
         def settled() -> pa.RecordBatch:

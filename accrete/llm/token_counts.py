@@ -19,7 +19,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from accrete.llm.frames import slices
-from accrete.llm.tokenizing import REMEMBERED, ChunkEncoder, chunk_encoder
+from accrete.llm.tokenizing import ChunkEncoder, chunk_encoder
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, limit_bytes long, prefix_table binary"
 
@@ -45,7 +45,7 @@ class PrefixCounts:
         """T: tokens of the first 0, 1, ... characters of the chunk."""
         found = self._tables.get(chunk)
         if found is None:
-            if len(self._tables) >= REMEMBERED // 10:
+            if len(self._tables) >= self.encoder.remembered // 10:
                 self._tables.clear()
             prefixes = [chunk[:i] for i in range(1, len(chunk) + 1)]
             encoded = self.encoder.tokenizer.encode_batch_fast(prefixes, add_special_tokens=False)

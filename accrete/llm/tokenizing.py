@@ -15,12 +15,13 @@ from functools import lru_cache
 
 import numpy as np
 
-# Chunks a worker remembers; the memory is emptied when full, which costs time only.
-REMEMBERED = 600_000
+# Chunks a worker remembers, of about 200 bytes each, unless told otherwise; the memory is emptied
+# when full, which costs time only.
+REMEMBERED = 1_200_000
 # Chunks encoded in one call of the library.
 JOINED = 200
 # Characters handled together.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 
 # Separators that Python and the tokenizer may class differently: such a text is one chunk.
 _UNSURE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
@@ -50,7 +51,8 @@ def _spaced(before: str, chunk: str) -> str:
 class ChunkEncoder:
     """Ids of chunks as little-endian bytes of `width` bytes an id, remembered by chunk."""
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = tokenizer(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.dtype[-1])
@@ -119,9 +121,9 @@ class ChunkEncoder:
                 after.update(chunks)
             else:
                 whole.update(chunks)
-        if len(self._after_space) + len(after) > REMEMBERED:
+        if len(self._after_space) + len(after) > self.remembered:
             self._after_space.clear()
-        if len(self._whole) + len(whole) > REMEMBERED:
+        if len(self._whole) + len(whole) > self.remembered:
             self._whole.clear()
         # Not difference_update, which would walk over all that is known.
         after = after.difference(self._after_space)
@@ -166,7 +168,14 @@ class ChunkEncoder:
             yield np.frombuffer(b"".join(found), self.dtype)
 
 
-@lru_cache(maxsize=4)
-def chunk_encoder(path: str, spaced: bool) -> ChunkEncoder:
+@lru_cache(maxsize=1)
+def chunk_encoder(path: str, spaced: bool, remembered: int = REMEMBERED) -> ChunkEncoder:
     """One encoder for a worker process, kept between tasks."""
-    return ChunkEncoder(path, spaced)
+    return ChunkEncoder(path, spaced, remembered)
+
+
+def forget_chunks() -> None:
+    """Drop what the worker process remembers. Spark reuses workers; operators that do not tokenise
+    call this, so that their memory does not add to that of an earlier one."""
+    chunk_encoder.cache_clear()
+    tokenizer.cache_clear()

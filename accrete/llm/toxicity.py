@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accrete.llm.frames import slices
+from accrete.llm.tokenizing import forget_chunks
 from accrete.session import BROADCAST_BYTES, staged
 
 DISCOUNT = 0.75
@@ -116,6 +117,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()
         hasher, held, size = WordHasher(), [[], []], 0
 
         def summed() -> pa.RecordBatch:

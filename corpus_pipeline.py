@@ -20,6 +20,9 @@ from accrete.llm.queries import vocabulary
 from accrete.llm.simhash import one_of_each_group
 from accrete.session import ship_package, staged
 
+# Chunks a worker of the last stage remembers: few, as executors still hold what earlier stages took.
+REMEMBERED = 150_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known to the model; those without text or letters are rejected."""
@@ -52,7 +55,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece with its token ids, its sequence of at most 2048 tokens and its place there."""
     ship_package(spark)
-    return pack_documents(docs, vocabulary("byte_bpe_50k.json"), 2048)
+    return pack_documents(docs, vocabulary("byte_bpe_50k.json"), 2048, remembered=REMEMBERED)
 
 
 STAGES = [
