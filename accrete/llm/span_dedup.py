@@ -1,7 +1,9 @@
 """Substring dedup over sliding spans of sentences.
 
-From every sentence on, the run of at least `run` consecutive sentences and `least_words` words is
-hashed (128 bits, over its words). Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
+Sentences of more than LONG words are cut into pieces of at most PIECE words, at words chosen by
+the words around them, so that a passage inside a long sentence has the same pieces wherever it
+stands; a piece counts as a sentence. The shortest run of at least `run` consecutive sentences and
+`least_words` words from every sentence on is hashed (128 bits, over its words). Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
 sentences that any other one covers are removed. A task first settles the spans among the texts it
 has read itself, so a span that stands everywhere sends one row per task, not one per document, to
 the join.
@@ -10,6 +12,7 @@ the join.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,32 +29,80 @@ from accrete.session import staged
 # Spans a task settles together.
 SETTLED = 500_000
 
-_SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
+# Words of a sentence that is not cut, and of a piece of a longer one, at most. Any passage of over
+# 50 words then has two pieces and 12 words whose ends do not hang on what stands around it.
+LONG, PIECE = 16, 10
+
+_MARKS = (".!?\n\u0589\u061f\u06d4\u0700-\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809"
+          "\u203c\u203d\u2047-\u2049\u2028\u2029\u3002\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61")
+_SENTENCE = re.compile(rf"[^{_MARKS}]+[{_MARKS}]*\s*|[{_MARKS}]+\s*")
+# Scripts written without spaces (Thai to Lao, Myanmar, Khmer, kana, Han): each character is a word.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_ALONE}]")
+_WORD = re.compile(rf"[{_ALONE}]|[^\s{_ALONE}]+")
+
+
+def words_of(part: str) -> list[str]:
+    """Words at white space; in scripts without it each character is one."""
+    return part.split() if part.isascii() or not _UNSPACED.search(part) else _WORD.findall(part)
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """Words after which a long sentence is cut: the last least hash of every PIECE words in a row."""
+    hashes = [zlib.crc32(w.encode("utf-8", "replace")) for w in words]
+    chosen, at = [], -1
+    for low in range(len(words) - PIECE + 1):
+        new = low + PIECE - 1
+        if at < low:
+            window = hashes[low : new + 1]
+            new -= window[::-1].index(min(window))
+        elif hashes[new] > hashes[at]:
+            continue
+        at = new
+        chosen.append(at)
+    return chosen
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences with what follows them; joined they are the text (but for white space it begins with)."""
-    return _SENTENCE.findall(text)
+    """Sentences with what follows them, long ones in pieces; joined they are the text."""
+    found = []
+    for part in _SENTENCE.findall(text):
+        # No part has more words than characters.
+        words = words_of(part) if len(part) > LONG else ()
+        if len(words) <= LONG:
+            found.append(part)
+            continue
+        starts, low = [], 0
+        for word in words:
+            low = part.index(word, low)
+            starts.append(low)
+            low += len(word)
+        low = 0
+        for cut in _cuts(words):
+            if cut + 1 < len(words):
+                found.append(part[low : starts[cut + 1]])
+                low = starts[cut + 1]
+        found.append(part[low:])
+    return found
 
 
 def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int], list[int], list[bytes]]:
-    """First sentence, end (exclusive) and digest of the span from each sentence on, where the text
-    goes on long enough: the shortest of at least `run` sentences and `least_words` words."""
-    words = [p.split() for p in parts]
+    """First sentence, end (exclusive) and digest of the spans: the shortest of at least `run`
+    sentences and `least_words` words from each sentence on, where the text has them."""
+    words = [words_of(p) for p in parts]
     joined, upto = [" ".join(w) for w in words], [0]
     for w in words:
         upto.append(upto[-1] + len(w))
-    starts, stops, digests, stop = [], [], [], 0
+    spans, stop = {}, 0
     for start in range(len(parts)):
         stop = max(stop, start + run)
         while stop <= len(parts) and upto[stop] - upto[start] < least_words:
             stop += 1
         if stop > len(parts):
             break
-        starts.append(start)
-        stops.append(stop)
-        digests.append(xxhash.xxh3_128_digest(" ".join(joined[start:stop]).encode()))
-    return starts, stops, digests
+        spans[start, stop] = None
+    digests = [xxhash.xxh3_128_digest(" ".join(joined[start:stop]).encode()) for start, stop in spans]
+    return [a for a, _ in spans], [b for _, b in spans], digests
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -62,7 +113,7 @@ def _identified(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> DataFrame:
     """(doc_id, content, spans): start and stop of the non-first repeated spans of each document.
 
-    Null texts and texts of fewer than `run` sentences have no spans. Rows that repeat id and text
+    Null texts and texts of fewer than `run` sentences (pieces of long ones counted) have no spans. Rows that repeat id and text
     are one document here. A null id comes first.
     """
 

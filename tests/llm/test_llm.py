@@ -370,6 +370,29 @@ def test_sentence_spans_against_all_documents(spark):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def test_passages_within_long_sentences(spark):
+    """Passages of 51 words go whatever stands around them: inside a sentence, with one sentence end,
+    with one whole sentence, in other scripts; so does an exact copy without any sentence end."""
+    random = np.random.default_rng(21)
+
+    def some(n):
+        return [f"w{x}" for x in random.integers(0, 10**9, n)]
+
+    for ends in ([], [25], [16, 32], [20, 31], [3], [48]):
+        passage = [w + "." * (i in ends) for i, w in enumerate(some(51))]
+        docs = [(i, " ".join([*some(a), *passage, *some(b)])) for i, (a, b) in enumerate([(0, 0), (0, 0), (30, 30), (3, 40), (40, 2), (0, 30)])]
+        found = {r["doc_id"]: r for r in without_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert found[0]["text"] == docs[0][1] and found[1]["text"] == ""
+        for i in range(2, len(docs)):
+            own = set(docs[i][1].split()) - set(passage)
+            left = found[i]["text"].split()
+            assert own <= set(left) and len(left) - len(own) <= 39, (ends, i)
+    for text in ("\u6f22\u5b57\u304c\u3042\u308b\u6587\u3067\u3059\u3002" * 2, "".join(chr(0x4E00 + x) for x in random.integers(0, 20000, 60)),
+                 " ".join(chr(0x0915 + x) * 3 for x in range(20)) + "\u0964"):
+        found = without_repeated_spans(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"))
+        assert {r["doc_id"]: r["text"] for r in found.collect()}[2] == "", text
+
+
 def test_toxicity(spark, odd_docs):
     random = np.random.default_rng(7)
     words = [f"w{i}" for i in range(300)]
