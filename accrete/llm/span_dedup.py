@@ -2,8 +2,9 @@
 
 Sentences of more than LONG words are cut into pieces of at most PIECE words, at words chosen by
 the words around them, so that a passage inside a long sentence has the same pieces wherever it
-stands; a piece counts as a sentence. The shortest run of at least `run` consecutive sentences and
-`least_words` words from every sentence on is hashed (128 bits, over its words). Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
+stands; a piece counts as a sentence. The shortest runs of at least `run` consecutive sentences and
+`least_words` words from every sentence on, and those up to every sentence, are hashed (128 bits,
+over their words); they cover all that any longer repeated run covers. Of equal spans anywhere in the corpus the first stays, by (doc_id, text hash, place);
 sentences that any other one covers are removed. A task first settles the spans among the texts it
 has read itself, so a span that stands everywhere sends one row per task, not one per document, to
 the join.
@@ -88,7 +89,7 @@ def sentences(text: str) -> list[str]:
 
 def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int], list[int], list[bytes]]:
     """First sentence, end (exclusive) and digest of the spans: the shortest of at least `run`
-    sentences and `least_words` words from each sentence on, where the text has them."""
+    sentences and `least_words` words from each sentence on, and up to each, where the text has them."""
     words = [words_of(p) for p in parts]
     joined, upto = [" ".join(w) for w in words], [0]
     for w in words:
@@ -101,6 +102,12 @@ def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int
         if stop > len(parts):
             break
         spans[start, stop] = None
+    start = 0
+    for stop in range(run, len(parts) + 1):
+        while start + 1 <= stop - run and upto[stop] - upto[start + 1] >= least_words:
+            start += 1
+        if upto[stop] - upto[start] >= least_words:
+            spans[start, stop] = None
     digests = [xxhash.xxh3_128_digest(" ".join(joined[start:stop]).encode()) for start, stop in spans]
     return [a for a, _ in spans], [b for _, b in spans], digests
 

@@ -393,6 +393,27 @@ def test_passages_within_long_sentences(spark):
         assert {r["doc_id"]: r["text"] for r in found.collect()}[2] == "", text
 
 
+def test_spans_cover_all_repeated_runs(spark):
+    lengths = (10, 10, 5, 4)
+    shared = " ".join(" ".join(f"s{i}x{j}" for j in range(n)) + "." for i, n in enumerate(lengths))
+    random = np.random.default_rng(9)
+    pool = [" ".join(random.choice([f"v{i}" for i in range(50)], n)) for n in random.integers(1, 9, 12)]
+    docs = [(0, shared + " Own end of one."), (1, shared + " Other end.")]
+    docs += [(i, " ".join(f"{pool[j]}." for j in random.integers(0, 12, random.integers(0, 30)))) for i in range(2, 40)]
+    first, expected = {}, []
+    for doc_id, text in docs:
+        parts, removed = sentences(text), set()
+        for start in range(len(parts)):
+            for stop in range(start + 2, len(parts) + 1):
+                run = " ".join(" ".join(parts[start:stop]).split())
+                if len(run.split()) >= 12 and first.setdefault(run, (doc_id, start)) != (doc_id, start):
+                    removed |= set(range(start, stop))
+        expected.append((doc_id, "".join(p for j, p in enumerate(parts) if j not in removed), len(parts), len(removed)))
+    assert expected[1][1] == "Other end."
+    found = without_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_toxicity(spark, odd_docs):
     random = np.random.default_rng(7)
     words = [f"w{i}" for i in range(300)]
