@@ -6,9 +6,11 @@ For each class c (toxic, ordinary)
 
 where N_c(w) is a Kneser-Ney continuation count: the number of different contexts (documents) of
 the class that the word occurs in, not its occurrences; T_c is the number of words of the class and
-P_shared the continuation counts of both classes pooled. Class counts that differ from the pooled
-ones by no more than chance (G statistic below a bound) are given up for the shared backoff, which
-then cancels between the classes; so rare words say nothing, however they fell. A text's score is
+P_shared the continuation counts of both classes pooled. Every counted word has its odds, however
+rare: log P_c is interpolated with log P_shared, which cancels between the classes, by the weight
+G / (G + EVIDENCE), where G is the statistic of the word's class counts, so that what chance makes
+of common words does not add up. A word that was not counted says nothing. The words of most documents are looked up where the
+text is read; those that do not fit there are joined with their odds. A text's score is
 the difference of its log-likelihoods per word, put on a 0 to 1 scale by a logistic curve fitted
 on labelled rows the counts have not seen.
 """
@@ -29,12 +31,12 @@ from accrete.llm.tokenizing import forget_chunks
 from accrete.session import BROADCAST_BYTES, staged
 
 DISCOUNT = 0.75
-# Least G statistic (one degree of freedom) at which class counts are used: a one in 20 million chance.
-LEAST_G = 30.0
+# G statistic at which a word's own odds weigh half.
+EVIDENCE = 8.0
+# Words looked up where the text is read, at most, of 16 bytes each.
+HELD_WORDS = BROADCAST_BYTES // 16
 # Labelled rows that the logistic curve is fitted on, at most: those of smallest id digest.
 CALIBRATION_ROWS = 20_000
-# Slots of the bitmap that sorts out words the model does not know.
-SLOTS = 1 << 20
 # Slices of text hashed at once.
 HASHED_BYTES = 2_000_000
 
@@ -81,24 +83,41 @@ class ToxicityModel:
     odds: np.ndarray  # log P_toxic(w) / P_ordinary(w)
     slope: float
     middle: float
-
-    def __post_init__(self) -> None:
-        self.known = np.zeros(SLOTS, bool)
-        self.known[(self.keys % np.uint64(SLOTS)).astype(np.int64)] = True
-
-    def differences(self, hasher: WordHasher, texts: list[str | None]) -> np.ndarray:
-        """Log-likelihood difference per word of each text; a text without words has 0."""
-        words, counts = hasher.words(texts)
-        at = np.flatnonzero(self.known[(words % np.uint64(SLOTS)).astype(np.int64)])
-        if not len(self.keys) or not len(at):
-            return np.zeros(len(texts))
-        found = np.minimum(np.searchsorted(self.keys, words[at]), len(self.keys) - 1)
-        value = np.where(self.keys[found] == words[at], self.odds[found], 0.0)
-        text_of = np.searchsorted(np.cumsum(counts), at, "right")
-        return np.bincount(text_of, value, minlength=len(texts)) / np.maximum(counts, 1)
-
-    def scores(self, differences: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (differences - self.middle), -30, 30)))
+    rest: DataFrame | None = None  # (word, odds) of the words that are not held
+
+    def measured(self, docs: DataFrame) -> DataFrame:
+        """(row, x): each row of `docs` as a struct, and the log-likelihood difference per word of its
+        `text`; a text without words has 0."""
+        keys, odds, joined = self.keys, self.odds, self.rest is not None
+        rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget_chunks()
+            hasher = WordHasher()
+            for batch in slices(batches, "text", HASHED_BYTES):
+                words, counts = hasher.words(batch.column("text").to_pylist())
+                text_of = np.repeat(np.arange(len(counts)), counts)
+                distinct, inverse = np.unique(words, return_inverse=True)
+                at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
+                known = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
+                value = np.where(known, odds[at], 0.0) if len(keys) else np.zeros(len(distinct))
+                per = np.maximum(counts, 1)
+                columns = [batch.column("row"), pa.array(np.bincount(text_of, value[inverse], minlength=len(counts)) / per)]
+                if joined:
+                    other = np.flatnonzero(~known[inverse])
+                    ends = np.searchsorted(text_of[other], np.arange(len(counts) + 1))
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[other].view(np.int64))))
+                    columns.append(pa.array(1 / per))
+                yield pa.RecordBatch.from_arrays(columns, ["row", "x", "other", "share"][: len(columns)])
+
+        extra = "x double, other array<long>, share double" if joined else "x double"
+        found = rows.mapInArrow(run, StructType([*rows.select("row").schema.fields, *StructType.fromDDL(extra).fields]))
+        if not joined:
+            return found
+        found = staged(found.withColumn("at", F.monotonically_increasing_id()), "measured")
+        words = found.select("at", "share", F.explode("other").alias("word"))
+        more = words.join(self.rest, "word").groupBy("at").agg(F.sum(F.col("odds") * F.col("share")).alias("more"))
+        return found.join(more, "at", "left").select("row", (F.col("x") + F.coalesce("more", F.lit(0.0))).alias("x"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
@@ -146,20 +165,30 @@ def word_counts(rows: DataFrame) -> DataFrame:
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def significant_odds(counts: DataFrame, ordinary: int, toxic: int) -> DataFrame:
-    """(word, odds) of the words whose class counts differ beyond chance, given the documents of
-    either class."""
+def word_odds(counts: DataFrame, ordinary: int, toxic: int) -> DataFrame:
+    """(word, n, odds) of all words: documents that hold it, and log P_toxic(w) / P_ordinary(w),
+    weighed by how far its counts are beyond chance, given the documents of either class."""
     n = {0: F.col("n0"), 1: F.col("n1")}
     totals = counts.agg(
         *(F.sum(n[c]).alias(f"total{c}") for c in n), *(F.count_if(n[c] > 0).alias(f"types{c}") for c in n)).first()
+    both = n[0] + n[1]
     if not totals["total0"] or not totals["total1"]:
-        return counts.select("word", F.lit(0.0).alias("odds")).limit(0)
+        return counts.select("word", both.alias("n"), F.lit(0.0).alias("odds")).limit(0)
     share = {0: ordinary / (ordinary + toxic), 1: toxic / (ordinary + toxic)}
-    both = n[0] + n[1]
     g = 2 * sum((F.when(n[c] > 0, n[c] * F.log(n[c] / (both * share[c]))).otherwise(0.0) for c in n), F.lit(0.0))
+    weight = F.greatest(g, F.lit(0.0)) / (F.greatest(g, F.lit(0.0)) + EVIDENCE)
     shared = both / (totals["total0"] + totals["total1"])
     p = {c: (F.greatest(n[c] - DISCOUNT, F.lit(0.0)) + DISCOUNT * totals[f"types{c}"] * shared) / totals[f"total{c}"] for c in n}
-    return counts.where(g >= LEAST_G).select("word", F.log(p[1] / p[0]).alias("odds"))
+    return counts.select("word", both.alias("n"), (weight * F.log(p[1] / p[0])).alias("odds"))
+
+
+def _held(odds: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The words of most documents, HELD_WORDS at most, and the others, if there are any."""
+    if odds.count() <= HELD_WORDS:
+        return odds, None
+    # Documents the next word after the held ones has: words of as many are all joined.
+    last = odds.select("n").orderBy(F.desc("n")).limit(HELD_WORDS + 1).agg(F.min("n")).first()[0]
+    return odds.where(F.col("n") > last), odds.where(F.col("n") <= last).select("word", "odds")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -179,29 +208,23 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def learn_toxicity(counted: DataFrame, calibration: DataFrame) -> ToxicityModel:
     """Learn counts from all rows of `counted` and the curve from at most CALIBRATION_ROWS rows of
-    `calibration` (both doc_id, text, label). The model has one entry per word whose use differs
-    between the classes. With one class only, or no rows, every score is the share of toxic rows."""
+    `calibration` (both doc_id, text, label). The model has the odds of every word
+    counted. With one class only, or no rows, every score is the share of toxic rows."""
     sizes = counted.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in sizes}
     counts = staged(word_counts(counted), "words")
-    found = significant_odds(counts, n.get(0, 0), n.get(1, 0)).toPandas()
+    held, rest = _held(word_odds(counts, n.get(0, 0), n.get(1, 0)))
+    found = held.toPandas()
     keys = found["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    model = ToxicityModel(keys[order], found["odds"].to_numpy(float)[order], 1.0, 0.0)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in slices(batches, "text", HASHED_BYTES):
-            x = model.differences(hasher, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(x), batch.column("label")], ["x", "label"])
-
+    model = ToxicityModel(keys[order], found["odds"].to_numpy(float)[order], 1.0, 0.0, rest)
     sample = calibration.orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
-    seen = sample.select("text", "label").mapInArrow(measure, "x double, label int").toPandas()
+    seen = model.measured(sample.select("text", "label")).select("x", "row.label").toPandas()
     x, y = seen["x"].to_numpy(float), seen["label"].to_numpy(float)
-    if len(set(y)) < 2 or not len(keys):
+    if len(set(y)) < 2 or not len(keys) and rest is None:
         rate = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
         return ToxicityModel(keys[:0], model.odds[:0], 1.0, float(np.log(1 / rate - 1)))
-    return ToxicityModel(model.keys, model.odds, *_logistic(x, y))
+    return ToxicityModel(model.keys, model.odds, *_logistic(x, y), rest)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -212,13 +235,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     or predicted are replaced.
     """
     kept = docs.drop("score", "predicted")
-    schema = StructType([*kept.schema.fields, *StructType.fromDDL("score double, predicted int").fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in slices(batches, "text", HASHED_BYTES):
-            scores = model.scores(model.differences(hasher, batch.column("text").to_pylist()))
-            columns = [*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
-
-    return kept.mapInArrow(run, schema)
+    power = F.greatest(F.least(F.lit(float(model.slope)) * (F.col("x") - float(model.middle)), F.lit(30.0)), F.lit(-30.0))
+    scored = model.measured(kept).withColumn("score", 1 / (1 + F.exp(-power)))
+    columns = [F.col(f"row.`{c}`").alias(c) for c in kept.columns]
+    return scored.select(*columns, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

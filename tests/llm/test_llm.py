@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from accrete.llm import packing, token_counts, token_files
+from accrete.llm import packing, token_counts, token_files, toxicity
 from accrete.llm.components import components
 from accrete.llm.decontamination import contamination, without_contaminated
 from accrete.llm.embedding_dedup import embedding_groups
@@ -430,3 +430,21 @@ def test_toxicity(spark, odd_docs):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in scored.collect())
     empty = learn_toxicity(df.limit(0), df.limit(0))
     assert all(0 < r["score"] < 1 for r in score_toxicity(odd_docs, empty).collect())
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_rare_toxic_words_count(spark, monkeypatch, held):
+    """Words of six toxic and no ordinary documents raise the score, held or joined."""
+    monkeypatch.setattr(toxicity, "HELD_WORDS", held)
+    random = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(900):
+        rows.append((i, " ".join([*random.choice(words, 20), *([f"rare{i // 10 % 15}"] * 4 if i % 10 == 0 else [])]), int(i % 10 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    counted, curve = df.where("doc_id % 900 < 600"), df.where("doc_id >= 600")
+    model = learn_toxicity(counted, curve)
+    texts = [(1, "rare3 nothing known"), (1, "rare3 nothing known"), (2, ""), (3, None), (None, "w1 w2 w3")]
+    found = [tuple(r) for r in score_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), model).select("doc_id", "score").collect()]
+    scores = dict(found)
+    assert len(found) == 5 and scores[1] > 0.5 > scores[2] == scores[3]
