@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -129,6 +129,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFr
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, "doc_id")
 
 
+def split_calibration(known: DataFrame, offered: Column) -> tuple[DataFrame, DataFrame]:
+    """`known` as rows to count and rows for the curve: of those `offered`, CALIBRATION_ROWS at most,
+    the ones of smallest id digest. No row is in both or in neither."""
+    digest = F.xxhash64("doc_id")
+    first = known.where(offered).select(digest.alias("d")).orderBy("d").limit(CALIBRATION_ROWS + 1)
+    n, last = first.agg(F.count(F.lit(1)), F.max("d")).first()
+    curve = offered & (digest < last) if n > CALIBRATION_ROWS else offered
+    return known.where(~curve), known.where(curve)
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, n0, n1): documents of either class that hold each word, over all rows (text, label).
 

@@ -448,3 +448,10 @@ def test_rare_toxic_words_count(spark, monkeypatch, held):
     found = [tuple(r) for r in score_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), model).select("doc_id", "score").collect()]
     scores = dict(found)
     assert len(found) == 5 and scores[1] > 0.5 > scores[2] == scores[3]
+
+
+def test_rows_beyond_the_calibration_sample_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 10)
+    df = spark.createDataFrame([(i, "t", i % 2) for i in range(100)], "doc_id long, text string, label int")
+    counted, curve = (sorted(r["doc_id"] for r in d.collect()) for d in toxicity.split_calibration(df, F.col("doc_id") < 40))
+    assert len(curve) == 10 and max(curve) < 40 and sorted(counted + curve) == list(range(100))
