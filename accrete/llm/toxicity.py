@@ -224,10 +224,12 @@ def learn_toxicity(counted: DataFrame, calibration: DataFrame) -> ToxicityModel:
     n = {r["label"]: r["count"] for r in sizes}
     counts = staged(word_counts(counted), "words")
     held, rest = _held(word_odds(counts, n.get(0, 0), n.get(1, 0)))
-    found = held.toPandas()
-    keys = found["word"].to_numpy(np.int64).view(np.uint64)
+    # Arrow columns: rows as Python objects would be many times as large.
+    found = held.select("word", "odds").toArrow()
+    keys = found["word"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    model = ToxicityModel(keys[order], found["odds"].to_numpy(float)[order], 1.0, 0.0, rest)
+    model = ToxicityModel(keys[order], found["odds"].to_numpy().astype(float)[order], 1.0, 0.0, rest)
+    del found
     sample = calibration.orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
     seen = model.measured(sample.select("text", "label")).select("x", "row.label").toPandas()
     x, y = seen["x"].to_numpy(float), seen["label"].to_numpy(float)
