@@ -13,8 +13,10 @@ from accrete.llm.embedding_dedup import embedding_groups
 from accrete.llm.folds import fold, held_out
 from accrete.llm.language import identify_languages, learn_languages
 from accrete.llm.line_dedup import without_repeated_lines
+from accrete.llm.mask_search import rank_documents
 from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
+from accrete.llm.source_audit import audit_sources
 from accrete.llm.span_dedup import without_repeated_spans
 from accrete.llm.token_counts import prefix_token_counts
 from accrete.llm.token_files import through_files
@@ -79,6 +81,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs.withColumn("held_out", held_out("doc_id", 5, 0)), model).drop("text")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"), 30, 50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -90,4 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_audit": op13_source_audit,
 }
