@@ -18,6 +18,7 @@ from accrete.llm.packing import pack_documents
 from accrete.llm.simhash import simhash_groups
 from accrete.llm.source_audit import audit_sources
 from accrete.llm.span_dedup import without_repeated_spans
+from accrete.llm.suffix_tree import learn_suffix_tree
 from accrete.llm.token_counts import prefix_token_counts
 from accrete.llm.token_files import through_files
 from accrete.llm.toxicity import labelled, learn_toxicity, score_toxicity, split_calibration
@@ -81,6 +82,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs.withColumn("held_out", held_out("doc_id", 5, 0)), model).drop("text")
 
 
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out"))
+    return learn_suffix_tree(docs.where(~F.col("held_out"))).score(docs)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
 
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_suffix_tree": op11_suffix_tree,
     "op12_ranked_search": op12_ranked_search,
     "op13_source_audit": op13_source_audit,
 }
