@@ -12,14 +12,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accrete.functions.vectors import l2_distance, list_matrix, squared_distance
-from accrete.session import BROADCAST_BYTES, checkpointed
+from accrete.operators.feature import BATCH, FeatureDef
+from accrete.session import BROADCAST_BYTES, staged
 
 # Queries and corpus rows multiplied at once inside a task.
 QUERY_BLOCK = 256
 CORPUS_BLOCK = 4096
-# Packed blocks of the large-by-large search.
-PACKED_ROWS = 4096
-PIVOTS = 64
+# Rows of a packed block of the large-by-large search, and parts a cell is cut into at most.
+PACKED_ROWS = 1024
+MOST_PARTS = 1024
+# Corpus blocks a task may have to choose from.
+MOST_BLOCKS = 200_000
+# Pivots of the large-by-large search: at least, and bytes of them at most.
+PIVOTS = 16
+PIVOT_BYTES = 16 * 1024 * 1024
+# Corpus blocks from which the visits of a query block are dealt to several runs, and runs at most.
+VISITS = 256
+SLICES = 4
+# Rows that centres of stored cells are learned on.
+CELL_SAMPLE = 20_000
 # Partial results (k per query and task) a search may send to its merge.
 PARTIAL_ROWS = 1_000_000_000
 FEWEST_TASKS = 1000
@@ -53,6 +64,7 @@ class BestK:
         self.rows = np.empty(0, np.int64)
         self.ids = np.empty(0, np.int64)
         self.gaps = np.empty(0)
+        self.before: set[tuple[int, int]] = set()
 
     def add(self, vectors: np.ndarray, ids: np.ndarray) -> None:
         rough = self.norms[:, None] - 2.0 * (self.queries @ vectors.T)
@@ -80,6 +92,23 @@ class BestK:
         full = place[kept] == self.k - 1
         self.limit[self.rows[full]] = self.gaps[full]
 
+    def resume(self, rows: np.ndarray, ids: np.ndarray, gaps: np.ndarray) -> None:
+        """Go on from what an earlier run found."""
+        self._merge(rows, ids, gaps)
+        self.before = set(zip(rows.tolist(), ids.tolist()))
+
+    def changed(self) -> np.ndarray:
+        """Which of the rows were not there when the run was resumed."""
+        return np.array([pair not in self.before for pair in zip(self.rows.tolist(), self.ids.tolist())], bool)
+
+    def last(self) -> np.ndarray:
+        """The id of the k-th row of each query; the greatest there is where there are fewer than k."""
+        last = np.full(len(self.queries), np.iinfo(np.int64).max)
+        full = np.flatnonzero(np.bincount(self.rows, minlength=len(self.queries)) == self.k)
+        ends = np.searchsorted(self.rows, full, side="right") - 1
+        last[full] = self.ids[ends]
+        return last
+
 
 def _named(df: DataFrame, key: str, vector: str, names: tuple[str, str]) -> DataFrame:
     return df.where(F.col(vector).isNotNull()).select(
@@ -137,132 +166,383 @@ def nearest_each(
     return _final(stored.coalesce(tasks).mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
 
 
-def _pack(df: DataFrame, keys: list[str], row_id: str, vector: str, ids: str, vectors: str) -> DataFrame:
-    """One row per block: its ids and its vectors as bytes. A block holds few rows by construction."""
+def _bytes_type(df: DataFrame, vector: str) -> str:
+    return "float32" if df.schema[vector].dataType.simpleString() == "array<float>" else "float64"
+
+
+def _pack(df: DataFrame, keys: list[str], row_id: str, vector: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """One row per block: its ids in ascending order, its vectors as bytes, and `more` aggregates. A block
+    holds few rows by construction."""
     width = _bytes_type(df, vector)
     pieces = F.array_sort(F.collect_list(F.struct(F.col(row_id).alias("id"), F.col(vector).alias("v"))))
-    packed = df.groupBy(*keys).agg(pieces.alias("rows"))
-    schema = packed.select(*keys).schema
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    packed = df.groupBy(*keys).agg(pieces.alias("rows"), *(c.alias(n) for n, c in (more or {}).items()))
+    kept = [c for c in packed.columns if c != "rows"]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.select(*kept).schema)
 
     def run(batches):
         for batch in batches:
             rows = batch.column("rows")
-            out_ids, out_vectors = [], []
             for i in range(batch.num_rows):
                 block = rows[i].values
-                out_ids.append(block.field("id").to_pylist())
-                out_vectors.append(list_matrix(block.field("v"), width).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keys], pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_vectors, pa.binary())],
-                names=[*keys, ids, vectors],
-            )
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*[one.column(c) for c in kept], pa.array([block.field("id").to_pylist()], pa.list_(pa.int64())),
+                     pa.array([list_matrix(block.field("v"), width).tobytes()], pa.binary())],
+                    names=[*kept, "ids", "vectors"],
+                )
 
-    return packed.mapInArrow(run, f"{columns}, {ids} array<bigint>, {vectors} binary")
+    return packed.mapInArrow(run, f"{columns}, ids array<bigint>, vectors binary")
 
 
-def _bytes_type(df: DataFrame, vector: str) -> str:
-    return "float32" if df.schema[vector].dataType.simpleString() == "array<float>" else "float64"
+def _unpacked(packed: pa.Scalar, rows: int, width: str) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), width).reshape(rows, -1).astype(np.float64)
+
+
+def _best_of(row: dict, k: int, kind: str) -> BestK:
+    """A packed query block, with what an earlier run found for it, if there was one."""
+    best = BestK(_unpacked(row["asks"], len(row["asked"]), kind), k)
+    if "rows" in row and row["rows"].is_valid:
+        best.resume(*(row[c].values.to_numpy() for c in ("rows", "found", "gaps")))
+    return best
+
+
+def _runs(laid: DataFrame, k: int, asks_type: str, vectors_type: str) -> DataFrame:
+    """(query_id, neighbour_id, gap) of rows laid out in runs: a query block in front, the corpus blocks that
+    it meets after it by rising `floor`, the least distance they can be at. Each run carries its k best on;
+    what an earlier run had found already is let out by slice 0 alone."""
+
+    def take_in(batches):
+        best, names, first = None, None, False
+
+        def out():
+            kept = best.changed() if not first else np.ones(len(best.rows), bool)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names[best.rows[kept]]), pa.array(best.ids[kept]), pa.array(best.gaps[kept])],
+                names=["query_id", "neighbour_id", "gap"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                if row["asked"].is_valid:
+                    if best is not None:
+                        yield out()
+                    best, names, first = _best_of(row, k, asks_type), row["asked"].values.to_numpy(), row["slice"].as_py() == 0
+                elif row["floor"].as_py() <= float(np.sqrt(best.limit.max())) * (1 + 1e-9) + 1e-12:
+                    ids = row["ids"].values.to_numpy()
+                    best.add(_unpacked(row["vectors"], len(ids), vectors_type), ids)
+        if best is not None:
+            yield out()
+
+    return laid.mapInArrow(take_in, "query_id bigint, neighbour_id bigint, gap double")
+
+
+class Pivots:
+    """Points that rows are gathered around, in two levels: each fine one belongs to its nearest coarse one,
+    and a row is compared with the fine ones around its nearest few coarse ones only."""
+
+    NEAR = 4
+
+    def __init__(self, points: np.ndarray):
+        self.points = points
+        self.coarse = points[: max(1, round(len(points) ** 0.5))]
+        owner = self._rough(points, self.coarse).argmin(axis=1)
+        self.members = [np.flatnonzero(owner == c) for c in range(len(self.coarse))]
+
+    @staticmethod
+    def _rough(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Squared distances but for a term of each row of a."""
+        return np.einsum("ij,ij->i", b, b)[None, :] - 2.0 * (a @ b.T)
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, distance): a close fine pivot of each vector and how far it is, measured exactly."""
+        near = np.argsort(self._rough(vectors, self.coarse), axis=1)[:, : self.NEAR]
+        cell, least = np.zeros(len(vectors), np.int64), np.full(len(vectors), np.inf)
+        for c, members in enumerate(self.members):
+            rows = np.flatnonzero((near == c).any(axis=1))
+            if not len(rows) or not len(members):
+                continue
+            gaps = self._rough(vectors[rows], self.points[members])
+            best = gaps.argmin(axis=1)
+            value = gaps[np.arange(len(rows)), best]
+            closer = value < least[rows]
+            cell[rows[closer]], least[rows[closer]] = members[best[closer]], value[closer]
+        gap = vectors - self.points[cell]
+        return cell, np.sqrt(np.einsum("ij,ij->i", gap, gap))
+
+    def distances(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances to the fine pivots, and how far off their computation may be."""
+        own = np.einsum("ij,ij->i", vectors, vectors)[:, None]
+        rough = self._rough(vectors, self.points) + own
+        return np.sqrt(np.maximum(rough, 0.0)), np.sqrt(1e-9 * (1.0 + own + np.abs(rough)))
+
+
+def _pivots(stored: DataFrame, k: int) -> Pivots:
+    """About as many corpus rows as the square root of their number, below PIVOT_BYTES."""
+    rows, width = stored.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    wanted = min(max(int(rows**0.5), k, PIVOTS), max(PIVOTS, PIVOT_BYTES // (8 * max(width or 1, 1))))
+    drawn = stored.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(wanted).select("vector").distinct()
+    return Pivots(list_matrix(drawn.toArrow().column("vector").combine_chunks()))
+
+
+def _in_cells(df: DataFrame, shipped, row_id: str, vector: str) -> DataFrame:
+    """(row_id, vector, cell, reach)."""
+    kind = df.schema[vector].dataType.simpleString()
+
+    def assign(batches):
+        for batch in batches:
+            if batch.num_rows:
+                cell, reach = shipped.value.nearest(list_matrix(batch.column(vector)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(row_id), batch.column(vector), pa.array(cell.astype(np.int32)), pa.array(reach)],
+                    names=[row_id, vector, "cell", "reach"])
+
+    return df.select(row_id, vector).mapInArrow(assign, f"{row_id} bigint, {vector} {kind}, cell int, reach double")
+
+
+def _in_blocks(placed: DataFrame, row_id: str) -> DataFrame:
+    """Add `block`: rows of a cell by ascending id, about PACKED_ROWS in each, more where there would be over
+    MOST_BLOCKS. Cells of more rows are cut at quantiles of their ids, and beyond MOST_PARTS by a hash, so that
+    a third of all rows in one cell is still many small blocks."""
+    sizes = placed.groupBy("cell").count().orderBy("cell").collect()  # a row per pivot
+    rows = max(PACKED_ROWS, -(-sum(r["count"] for r in sizes) // MOST_BLOCKS))
+    large = [r for r in sizes if r["count"] > rows]
+    if not large:
+        return placed.withColumn("block", F.lit(0))
+    wanted = -(-max(r["count"] for r in large) // rows)
+    parts = min(wanted, MOST_PARTS)
+    steps = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = (
+        placed.where(F.col("cell").isin([r["cell"] for r in large])).groupBy("cell")
+        .agg(F.array_distinct(F.percentile_approx(row_id, steps, F.lit(10 * parts))).alias("cuts"))
+    )
+    cut = placed.join(F.broadcast(cuts) if len(large) * parts * 8 < BROADCAST_BYTES else cuts, "cell", "left")
+    part = F.size(F.filter("cuts", lambda c: c < F.col(row_id))) * -(-wanted // parts)
+    spread = F.pmod(F.xxhash64(row_id), F.lit(-(-wanted // parts))).cast("int")
+    return cut.withColumn("block", F.when(F.col("cuts").isNull(), 0).otherwise(part + spread)).drop("cuts")
 
 
 def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool = False) -> DataFrame:
     """k nearest neighbours when neither side fits a task; exact, after the pivot-based kNN join
     of Lu et al. (VLDB 2012).
 
-    Corpus rows are cut into blocks by nearest pivot and, within a pivot, by an even hash, so a
-    pivot holding a third of the corpus is still many small blocks. The triangle inequality
-    tells each query which pivots can hold one of its k nearest; only those are visited.
+    Both sides are gathered around about sqrt(n) pivots and packed into blocks. A block of queries first
+    meets the first corpus block of its own cell. The k-th gap it has then tells, by the triangle inequality,
+    which other blocks can hold anything nearer; only their numbers are listed, and their vectors joined to
+    the list. One task takes in the blocks of a query block, nearest first, carrying the gap on and leaving
+    out what it rules out by then. So k rows per query come out of each of at most SLICES runs.
     """
     if asked.isEmpty() or stored.isEmpty():
         nothing = asked.sparkSession.createDataFrame([], "query_id bigint, neighbour_id bigint, gap double")
         return _final(nothing, k, squared)
-    pivots = list_matrix(
-        stored.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(max(PIVOTS, k)).select("vector")
-        .toArrow().column("vector").combine_chunks()
-    )  # max(64, k) vectors, whatever the size of the corpus
-    shipped = asked.sparkSession.sparkContext.broadcast(pivots)
+    partial = nearest_partials(asked, stored, k)
+    return _final(partial, k, squared)
 
-    def to_pivots(vectors: np.ndarray) -> np.ndarray:
-        points = shipped.value
-        return np.sqrt(np.stack([np.einsum("ij,ij->i", vectors - p, vectors - p) for p in points], axis=1))
 
-    def assign(batches):
+def nearest_partials(asked: DataFrame, stored: DataFrame, k: int) -> DataFrame:
+    """(query_id, neighbour_id, gap): at most SLICES * k rows per query, with its k nearest among them."""
+    pivots = _pivots(stored, k)
+    shipped = asked.sparkSession.sparkContext.broadcast(pivots)
+    placed = staged(_in_cells(stored, shipped, "neighbour_id", "vector"), "placed")
+    more = {"least": F.min("reach"), "most": F.max("reach"), "first_id": F.min("neighbour_id")}
+    corpus = staged(_pack(_in_blocks(placed, "neighbour_id"), ["cell", "block"], "neighbour_id", "vector", more), "corpus")
+    # One row per block: about MOST_BLOCKS and the pivots at most.
+    known = corpus.select("cell", "block", "least", "most", "first_id").orderBy("cell", "block").toPandas()
+    table = asked.sparkSession.sparkContext.broadcast({c: known[c].to_numpy() for c in known})
+
+    in_cells = staged(_in_cells(asked, shipped, "query_id", "query_vec"), "asked")
+    queries = _pack(_in_blocks(in_cells, "query_id"), ["cell", "block"], "query_id", "query_vec").select(
+        F.struct("cell", "block").alias("asking"), "cell", F.col("ids").alias("asked"), F.col("vectors").alias("asks"))
+    own = corpus.where("block = 0").select("cell", "ids", "vectors")
+    asks_type, vectors_type = _bytes_type(asked, "query_vec"), _bytes_type(stored, "vector")
+
+    def seed(batches):
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            gaps = to_pivots(list_matrix(batch.column("vector")))
-            cell = gaps.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("neighbour_id"), batch.column("vector"), pa.array(cell.astype(np.int32)),
-                 pa.array(gaps[np.arange(len(cell)), cell])],
-                names=["neighbour_id", "vector", "cell", "reach"],
-            )
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                best = _best_of(row, k, asks_type)
+                if row["ids"].is_valid:
+                    ids = row["ids"].values.to_numpy()
+                    best.add(_unpacked(row["vectors"], len(ids), vectors_type), ids)
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*[one.column(c) for c in ("asking", "asked", "asks")],
+                     *[pa.array([x.tolist()], pa.list_(t)) for x, t in ((best.rows, pa.int64()), (best.ids, pa.int64()), (best.gaps, pa.float64()))]],
+                    names=["asking", "asked", "asks", "rows", "found", "gaps"])
 
-    vector_type = stored.schema["vector"].dataType.simpleString()
-    placed = checkpointed(
-        stored.mapInArrow(assign, f"neighbour_id bigint, vector {vector_type}, cell int, reach double")
-    )
-    # One row per pivot.
-    cells = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("reach").alias("least"), F.max("reach").alias("most")
-    ).orderBy("cell").toPandas()
-    blocks = {int(c): max(1, -(-int(n) // PACKED_ROWS)) for c, n in zip(cells.cell, cells.rows)}
-    index, least, most = cells.cell.to_numpy(), cells.least.to_numpy(), cells.most.to_numpy()
+    head = "asking struct<cell: int, block: int>"
+    begun = staged(
+        queries.join(own, "cell", "left").mapInArrow(
+            seed, f"{head}, asked array<bigint>, asks binary, rows array<bigint>, found array<bigint>, gaps array<double>"), "begun")
 
     def visit(batches):
+        pivots, blocks = shipped.value, table.value
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            gaps = to_pivots(list_matrix(batch.column("query_vec")))
-            # Pivots are corpus rows, so the k-th closest pivot bounds the k-th neighbour.
-            bound = np.partition(gaps, min(k, gaps.shape[1]) - 1, axis=1)[:, min(k, gaps.shape[1]) - 1]
-            if gaps.shape[1] < k:
-                bound[:] = np.inf
-            near = gaps[:, index]
-            floor = np.maximum(np.maximum(near - most, least - near), 0.0)
-            rows, cols = np.nonzero(floor <= (bound * (1 + 1e-9) + 1e-12)[:, None])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query_id").take(pa.array(rows)), batch.column("query_vec").take(pa.array(rows)),
-                 pa.array(index[cols].astype(np.int32))],
-                names=["query_id", "query_vec", "cell"],
-            )
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                best = _best_of(row, k, asks_type)
+                limit, last = best.limit.copy(), best.last()
+                floor = np.full(len(blocks["cell"]), np.inf)
+                for low in range(0, len(best.queries), QUERY_BLOCK):
+                    part = slice(low, low + QUERY_BLOCK)
+                    gap, off = pivots.distances(best.queries[part])
+                    if len(pivots.points) >= k:
+                        # Pivots are corpus rows: the k-th nearest of them bounds the k-th neighbour.
+                        bound = np.partition(gap + off, k - 1, axis=1)[:, k - 1]
+                        limit[part] = np.minimum(limit[part], bound * bound * (1 + 1e-9) + 1e-12)
+                    gap, off = gap[:, blocks["cell"]], off[:, blocks["cell"]]
+                    lower = np.maximum(np.maximum(gap - off - blocks["most"], blocks["least"] - gap - off), 0.0)
+                    needed = lower <= (np.sqrt(limit[part]) * (1 + 1e-9) + 1e-12)[:, None]
+                    # Where the k nearest are equal to the query, only smaller ids can come in.
+                    needed &= ~((best.limit[part] == 0)[:, None] & (blocks["first_id"][None, :] > last[part][:, None]))
+                    floor = np.minimum(floor, np.where(needed, lower, np.inf).min(axis=0))
+                asking = row["asking"].as_py()
+                floor[(blocks["cell"] == asking["cell"]) & (blocks["block"] == 0)] = np.inf
+                order = np.argsort(floor, kind="stable")[: int(np.isfinite(floor).sum())]
+                if not len(order):
+                    continue
+                slices = min(SLICES, -(-len(order) // VISITS))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([asking] * len(order), pa.struct([("cell", pa.int32()), ("block", pa.int32())])),
+                     pa.array((np.arange(len(order)) % slices).astype(np.int32)), pa.array(floor[order]),
+                     pa.array(blocks["cell"][order].astype(np.int32)), pa.array(blocks["block"][order].astype(np.int32))],
+                    names=["asking", "slice", "floor", "cell", "block"])
+
+    visits = staged(begun.mapInArrow(visit, f"{head}, slice int, floor double, cell int, block int"), "visits")
+    brought = visits.join(corpus.select("cell", "block", "ids", "vectors"), ["cell", "block"]).select(
+        "asking", "slice", "floor", "ids", "vectors")
+    # Every run has its query block in front; a query block that visits nothing has one run.
+    runs = visits.groupBy("asking").agg(F.max("slice").alias("slice"))
+    fronts = begun.join(runs, "asking", "left").select(
+        "asking", F.explode(F.sequence(F.lit(0), F.coalesce("slice", F.lit(0)))).alias("slice"), F.lit(-1.0).alias("floor"),
+        "asked", "asks", "rows", "found", "gaps")
+    laid = (
+        fronts.unionByName(brought, allowMissingColumns=True).repartition("asking", "slice")
+        .sortWithinPartitions("asking", "slice", "floor")
+    )
 
-    query_type = asked.schema["query_vec"].dataType.simpleString()
-    visits = checkpointed(asked.mapInArrow(visit, f"query_id bigint, query_vec {query_type}, cell int"))
-    visiting = {int(r["cell"]): max(1, -(-r["count"] // PACKED_ROWS)) for r in visits.groupBy("cell").count().collect()}
+    return _runs(laid, k, asks_type, vectors_type)
 
-    def parts(sizes: dict[int, int]) -> Column:
-        return F.create_map(*[F.lit(x) for item in sizes.items() for x in item])[F.col("cell")]
 
-    def spread(sizes: dict[int, int], row_id: str) -> Column:
-        return F.pmod(F.xxhash64(row_id), parts(sizes)).cast("int")
+# ---- approximate search on a stored column of cells --------------------------------------------
 
-    corpus_blocks = _pack(
-        placed.withColumn("block", spread(blocks, "neighbour_id")), ["cell", "block"],
-        "neighbour_id", "vector", "ids", "vectors",
-    )
-    query_blocks = _pack(
-        visits.withColumn("part", spread(visiting, "query_id")), ["cell", "part"], "query_id", "query_vec", "asked", "asks"
-    )
-    # Every query block names each corpus block of its pivot; the pair is one matrix product.
-    met = query_blocks.withColumn(
-        "block", F.explode(F.sequence(F.lit(0), parts(blocks) - 1))
-    ).join(corpus_blocks, ["cell", "block"]).select("asked", "asks", "ids", "vectors")
 
-    asks_type, vectors_type = _bytes_type(asked, "query_vec"), _bytes_type(stored, "vector")
+def learn_cells(df: DataFrame, key: str, vector: str, cells: int, rounds: int = 5, sample: int = CELL_SAMPLE) -> np.ndarray:
+    """Centres of `cells` cells: the first rows by digest of the key, moved to the mean of the sampled rows
+    nearest to them `rounds` times. The sample is the `sample` rows of smallest digest."""
+    known = df.where(F.col(vector).isNotNull()).select(F.md5(F.col(key).cast("string")).alias("d"), F.col(key).alias("k"), F.col(vector).alias("v"))
+    drawn = known.orderBy("d", "k").limit(max(sample, cells) if rounds else cells).orderBy("d", "k").select("v").toArrow()
+    rows = list_matrix(drawn.column("v").combine_chunks())
+    centres = rows[:cells].copy()
+    for _ in range(rounds):
+        cell = nearest_centres(rows, centres, 1)[:, 0]
+        for c in np.unique(cell):
+            centres[c] = rows[cell == c].mean(axis=0)
+    return centres
+
+
+def nearest_centres(vectors: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
+    """The `count` centres closest to each vector, nearest first, the earlier one of two as near."""
+    gaps = np.empty((len(vectors), len(centres)))
+    for c, centre in enumerate(centres):
+        gap = vectors - centre
+        gaps[:, c] = np.einsum("ij,ij->i", gap, gap)
+    return np.argsort(gaps, axis=1, kind="stable")[:, :count]
+
+
+def cell_feature(centres: np.ndarray, vector: str, name: str = "cell") -> FeatureDef:
+    """A feature column with the cell of each row, null for a null vector; rows appended later get theirs
+    by the next backfill, and other centres make a new version of it."""
+
+    def code(batch):
+        column = batch.column(vector)
+        there = np.flatnonzero(np.asarray(column.is_valid()))
+        cells = np.full(batch.num_rows, -1, np.int64)
+        if len(there):
+            cells[there] = nearest_centres(list_matrix(column.take(pa.array(there))), centres, 1)[:, 0]
+        return pa.RecordBatch.from_arrays([pa.array(cells, pa.int32(), mask=cells < 0)], names=[name])
+
+    return FeatureDef(name, "int", (vector,), code, BATCH, 2)
+
 
-    def matrix(packed: pa.BinaryScalar, rows: int, width: str) -> np.ndarray:
-        return np.frombuffer(packed.as_buffer(), width).reshape(rows, -1).astype(np.float64)
+def nearest_in_cells(
+    queries: DataFrame, corpus: DataFrame, centres: np.ndarray, query_key: str, query_vector: str, key: str, vector: str,
+    cell: str = "cell", k: int = 5, probes: int = 4, squared: bool = False, limit_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The k closest rows of every query among the rows of its `probes` nearest cells, by their original
+    vectors: (query_id, rank, neighbour_id, _distance). `corpus` has the stored column `cell`.
+
+    Rows of other cells are filtered out in the scan. Query sets below `limit_bytes` travel to the tasks;
+    larger ones are packed by cell and meet its blocks one after the other.
+    """
+    asked = _named(queries, query_key, query_vector, ("query_id", "query_vec"))
+    stored = corpus.where(F.col(vector).isNotNull() & F.col(cell).isNotNull()).select(
+        F.col(key).cast("bigint").alias("neighbour_id"), F.col(vector).alias("vector"), F.col(cell).alias("cell"))
+    count, longest = asked.agg(F.count(F.lit(1)), F.max(F.size("query_vec"))).first()
+    if count * ((longest or 0) * 8 + 8) > limit_bytes:
+        return _final(_cell_runs(asked, stored, centres, k, probes), k, squared)
+    table = asked.toArrow()  # below limit_bytes by the check above
+    names, matrix = table.column("query_id").to_numpy(), list_matrix(table.column("query_vec").combine_chunks())
+    probed = nearest_centres(matrix, centres, probes) if len(names) else np.zeros((0, 1), np.int64)
+    asking = {int(c): np.flatnonzero((probed == c).any(axis=1)) for c in np.unique(probed)}
+    shipped = corpus.sparkSession.sparkContext.broadcast((names, matrix, asking))
 
-    def multiply(batches):
+    def run(batches):
+        names, matrix, asking = shipped.value
+        best: dict[int, list[BestK]] = {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                asked_ids, ids = (batch.column(c)[i].values.to_numpy() for c in ("asked", "ids"))
-                best = BestK(matrix(batch.column("asks")[i], len(asked_ids), asks_type), k)
-                best.add(matrix(batch.column("vectors")[i], len(ids), vectors_type), ids)
+            cells = batch.column(2).to_numpy()
+            order = np.argsort(cells, kind="stable")
+            cuts = np.flatnonzero(np.diff(cells[order])) + 1
+            for rows in np.split(order, cuts) if len(order) else []:
+                own = asking.get(int(cells[rows[0]]))
+                if own is None:
+                    continue
+                blocks = best.setdefault(int(cells[rows[0]]), [
+                    BestK(matrix[own[i : i + QUERY_BLOCK]], k) for i in range(0, len(own), QUERY_BLOCK)])
+                part = batch.take(pa.array(rows))
+                ids, vectors = part.column(0).to_numpy(), list_matrix(part.column(1))
+                for block in blocks:
+                    block.add(vectors, ids)
+        for c, blocks in best.items():
+            for i, block in enumerate(blocks):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked_ids[best.rows]), pa.array(best.ids), pa.array(best.gaps)],
-                    names=["query_id", "neighbour_id", "gap"],
-                )
+                    [pa.array(names[asking[c][block.rows + i * QUERY_BLOCK]]), pa.array(block.ids), pa.array(block.gaps)],
+                    names=["query_id", "neighbour_id", "gap"])
+
+    near = stored.where(F.col("cell").isin([int(c) for c in asking])) if len(asking) < len(centres) else stored
+    return _final(near.mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
+
+
+def _cell_runs(asked: DataFrame, stored: DataFrame, centres: np.ndarray, k: int, probes: int) -> DataFrame:
+    """(query_id, neighbour_id, gap): k rows per query and probed cell."""
+    shipped = asked.sparkSession.sparkContext.broadcast(centres)
+
+    def probe(batches):
+        for batch in batches:
+            if batch.num_rows:
+                cells = nearest_centres(list_matrix(batch.column("query_vec")), shipped.value, probes)
+                rows = pa.array(np.repeat(np.arange(len(cells)), cells.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(cells.ravel().astype(np.int32))],
+                    names=["query_id", "query_vec", "cell"])
+
+    kind = asked.schema["query_vec"].dataType.simpleString()
+    visits = staged(asked.mapInArrow(probe, f"query_id bigint, query_vec {kind}, cell int"), "probes")
+    fronts = _pack(_in_blocks(visits, "query_id"), ["cell", "block"], "query_id", "query_vec").select(
+        F.struct("cell", "block").alias("asking"), "cell", F.col("ids").alias("asked"), F.col("vectors").alias("asks"))
+    fronts = staged(fronts, "fronts")
+    corpus = _pack(_in_blocks(staged(stored, "stored"), "neighbour_id"), ["cell", "block"], "neighbour_id", "vector")
+    brought = fronts.select("asking", "cell").join(corpus.select("cell", "ids", "vectors"), "cell")
+    laid = (
+        fronts.drop("cell").withColumn("floor", F.lit(-1.0))
+        .unionByName(brought.drop("cell").withColumn("floor", F.lit(0.0)), allowMissingColumns=True)
+        .withColumn("slice", F.lit(0)).repartition("asking").sortWithinPartitions("asking", "floor")
+    )
+    return _runs(laid, k, _bytes_type(asked, "query_vec"), _bytes_type(stored, "vector"))
+
 
-    return _final(met.mapInArrow(multiply, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(wanted, recall): the rows of an exact answer, and the share of them that another answer has, too."""
+    keys = ["query_id", "neighbour_id"]
+    both = exact.select(*keys).join(found.select(*keys, F.lit(1).alias("hit")), keys, "left")
+    return both.agg(F.count(F.lit(1)).alias("wanted"), (F.count("hit") / F.count(F.lit(1))).alias("recall"))
