@@ -19,6 +19,8 @@ from accrete.operators.rank import hash_rank, sorted_rank
 TOKEN_FIELDS = ["input_ids", "attention_mask", "labels"]
 TOKEN_STRUCT = "sft_tokens"
 VISION_COLUMN = "vision_tower_hiddens"
+# Epochs a training run goes through at most.
+EPOCH_LIMIT = 10
 
 
 def epoch_order(df: DataFrame, key: str, epochs: int = 1, seed: int | str = 0) -> DataFrame:
@@ -44,7 +46,7 @@ def micro_batches(ordered: DataFrame, batch_size: int) -> DataFrame:
     return ordered.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size))
 
 
-def epochs_needed(rows: int, batch_size: int, accumulate: int, max_steps: int, limit: int) -> int:
+def epochs_needed(rows: int, batch_size: int, accumulate: int, max_steps: int, limit: int = EPOCH_LIMIT) -> int:
     """Epochs a run of `max_steps` steps goes through, `limit` at most."""
     per_epoch = max(1, math.ceil(rows / batch_size))
     return min(limit, math.ceil(max_steps * accumulate / per_epoch))

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrete.session import BROADCAST_BYTES
+
 # A key holding more than this share of the rows is hot; there are fewer than HOT_PARTS of them.
 HOT_PARTS = 1000
 # Ranges an id list is put into a filter as.
 RANGES = 128
+# Ids that are put in order in one partition; longer lists are sorted across the cluster.
+SHORT_LIST = 10_000
 
 
 def balanced_lookup(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
@@ -45,21 +50,24 @@ def _ranges(ids: list[int]) -> list[tuple[int, int]]:
     return [(ordered[a], ordered[b - 1]) for a, b in zip(cuts, cuts[1:])]
 
 
+def in_list_order(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a short list in the order of `_pos`: SHORT_LIST rows are one partition's work."""
+    return rows.repartition(1).sortWithinPartitions("_pos").select(*columns)
+
+
 def take_rows(df: DataFrame, ids: list[int], key: str, columns: list[str]) -> DataFrame:
     """Rows of an id list, in its order and with its repeats; unknown ids are left out.
 
-    The ids come from the caller's own list, so the broadcast side and the one sorted partition of
-    the result are bounded by it. Ranges around them reach the Parquet scan, so that on a table
-    sorted by `key` only row groups near an id are read, and once.
+    Ranges around a short list of ids reach the Parquet scan, so that on a table sorted by `key` only row
+    groups near an id are read, and once. A list longer than SHORT_LIST is joined and sorted across the
+    cluster; it is shipped to every task only below BROADCAST_BYTES.
     """
     if not ids:
         return df.select(*columns).limit(0)
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(list(enumerate(ids)), f"_pos int, {key} bigint")
+    wanted = df.sparkSession.createDataFrame(pa.table({"_pos": pa.array(range(len(ids)), pa.int64()), key: pa.array(ids, pa.int64())}))
+    small = F.broadcast(wanted) if 16 * len(ids) < BROADCAST_BYTES else wanted
+    kept = df.select(*dict.fromkeys([key, *columns]))
+    if len(ids) > SHORT_LIST:
+        return kept.join(small, key).orderBy("_pos").select(*columns)
     near = reduce(Column.__or__, [F.col(key).between(low, high) for low, high in _ranges(ids)])
-    return (
-        df.where(near).select(*dict.fromkeys([key, *columns]))
-        .join(F.broadcast(wanted), key)
-        .repartition(1).sortWithinPartitions("_pos")
-        .select(*columns)
-    )
+    return in_list_order(kept.where(near).join(small, key), columns)

@@ -12,20 +12,30 @@ import hashlib
 import json
 import math
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrete.operators.feature import FeatureDef, in_dependency_order
-from accrete.operators.lookup import take_rows
+from accrete.operators import keys
+from accrete.operators.lookup import SHORT_LIST, in_list_order
 from accrete.sources.files import Folder, split_table_path
 
 RAW_SOURCE = "raw data"
 BUCKETED, LOOSE = "bucketed", "loose"
 PART = "accrete_part"
+# New keys up to this number are looked for by Bloom bits; more are compared with all keys, bucket by bucket.
+FEW_KEYS = 200_000
+RANGES = "file string, rows long, least {0}, greatest {0}, part string"
+
+# Key ranges of files by folder and part. The files never change, and Spark's own list of them is as long.
+_ranges: dict[tuple[str, str], pa.Table] = {}
 
 
 class FeatureTable:
@@ -37,12 +47,13 @@ class FeatureTable:
     @classmethod
     def create(
         cls, spark: SparkSession, path: str, df: DataFrame, key: str = "id", buckets: int | None = None,
-        mode: str = "errorifexists",
+        mode: str = "errorifexists", file_rows: int | None = None,
     ) -> FeatureTable:
         """Write `df` as the raw rows of a new table (or, with mode "overwrite", of a new version).
 
         `key` must be unique and not null. Choose `buckets` for some hundred MB of raw data in
-        each; a bucket is one task of every later column-side-by-side read.
+        each; a bucket is one task of every later column-side-by-side read. With `file_rows`, a bucket
+        is cut into files of so many rows, in key order, so that `take` opens less.
         """
         folder = _folder(spark, path)
         last = _latest(folder)
@@ -55,6 +66,7 @@ class FeatureTable:
             "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
             "schema": df.schema.jsonValue(),
             "base": f"base-{version:06d}",
+            "file_rows": file_rows,
             "parts": [],
             "features": {},
         }
@@ -127,7 +139,8 @@ class FeatureTable:
 
         Keys must stay unique and not null. A key that repeats inside `df` or is null raises; one
         that the table has already raises too, or with `on_repeat` "skip" its new row is left out,
-        so a file that lands twice adds nothing. Only keys are read for that.
+        so a file that lands twice adds nothing. For a small increment Bloom bits of the parts tell which
+        of them may have one of its keys, and only key columns of files around those keys are read.
 
         Like every change, it builds on the newest version and publishes the next one; of two
         writers at the same moment one gets FileExistsError and can simply try again."""
@@ -139,12 +152,34 @@ class FeatureTable:
         parts = self.manifest["parts"]
         return self._stitch([self.key], parts) if parts else None
 
-    def _refuse_repeats(self, added: DataFrame, known: DataFrame | None) -> None:
-        keys = added.select(self.key)
-        inside = keys.groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(self.key).isNull())
+    def _suspected(self, rows: DataFrame) -> DataFrame | None:
+        """The keys of `rows` that the table has, read only from files that may hold one; None where none
+        can. Parts that Bloom bits rule out are not read, and of the others no file outside the range."""
+        parts = [p for p in self.manifest["parts"] if p["rows"]]
+        asked = keys.hashed_keys(rows, self.key, FEW_KEYS) if parts else None
+        if asked is None:
+            return self._keys().join(rows.select(self.key).distinct(), self.key, "left_semi") if parts else None
+        ids = asked["key"]
+        found: list[tuple[dict, pa.Table]] = [(p, asked) for p in parts if not p.get("indexed")]
+        indexed = {p["name"]: p for p in parts if p.get("indexed")}
+        if indexed and len(ids):
+            place = f"{self.manifest['base']}/bits"
+            bits = self._small_files(place, list(indexed), "shards int, shard int, bits binary, part string")
+            hits = keys.suspects(bits, asked).toArrow()  # FEW_KEYS and those that pass by chance, part by part
+            names, at = hits["part"].to_numpy(zero_copy_only=False), hits["at"].to_numpy()
+            found += [(indexed[n], asked.take(pa.array(at[names == n]))) for n in sorted(set(names))]
+        pieces = [
+            self._scan_near(self.manifest["base"], self.raw_schema, p["layout"], [p["name"]], few["key"]).select(self.key)
+            for p, few in found if few.num_rows
+        ]
+        return reduce(DataFrame.unionByName, pieces) if pieces else None
+
+    def _refuse_repeats(self, added: DataFrame, among: bool) -> None:
+        inside = added.groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(self.key).isNull())
         bad = inside.select(self.key).head(1)
-        if not bad and known is not None:
-            bad = keys.join(known, self.key, "left_semi").head(1)
+        known = self._suspected(added) if among and not bad else None
+        if known is not None:
+            bad = known.head(1)
         if bad:
             raise ValueError(f"key {self.key} is null or repeated: {bad[0][0]}")
 
@@ -152,38 +187,119 @@ class FeatureTable:
         part = part or f"p{len(self.manifest['parts']):06d}-{uuid.uuid4().hex[:8]}"
         if any(p["name"] == part for p in self.manifest["parts"]):
             return self
-        rows, known = df.select(*self.raw_schema.names), self._keys()
-        if on_repeat == "skip" and known is not None:
+        rows, base = df.select(*self.raw_schema.names), self.manifest["base"]
+        known = self._suspected(rows) if on_repeat == "skip" else None
+        if known is not None:
             rows = rows.join(known, self.key, "left_anti")
         layout = BUCKETED if bucketed else LOOSE
         if bucketed:
             rows = rows.repartition(self.manifest["buckets"], self.key)
-        self._write(rows, self.manifest["base"], layout, part)
-        added = self._scan(self.manifest["base"], self.raw_schema, layout, [part])
-        self._refuse_repeats(added, None if on_repeat == "skip" else known)
-        count = added.count()
-        entry = {"name": part, "layout": layout, "rows": count}
+        self._write(rows, base, layout, part)
+        added = self._scan(base, self.raw_schema, layout, [part])
+        self._refuse_repeats(added.select(self.key), on_repeat == "error")
+        count = self._index(base, layout, part)
+        self._put(keys.key_bits(added, self.key, count), base, "bits", part)
+        entry = {"name": part, "layout": layout, "rows": count, "indexed": True}
         return self._commit(parts=[*self.manifest["parts"], entry])
 
+    # ---- key ranges ------------------------------------------------------------------------
+
+    def _put(self, df: DataFrame, folder: str, kind: str, part: str) -> None:
+        df.coalesce(1).write.mode("overwrite").parquet(self.folder.path(*folder.split("/"), kind, f"part={part}"))
+
+    def _index(self, folder: str, layout: str, part: str) -> int:
+        """Write down the key range of each file of a part, and give the number of its rows."""
+        place = self.folder.path(*_place(folder, layout, part).split("/"))
+        kind = self.raw_schema[self.key].dataType.simpleString()
+        rows = self.spark.read.schema(T.StructType([self.raw_schema[self.key]])).parquet(place)
+        self._put(keys.file_ranges(rows, self.key), folder, "ranges", part)
+        return sum(self._small_files(f"{folder}/ranges", [part], RANGES.format(kind)).toArrow()["rows"].to_pylist())
+
+    def _small_files(self, place: str, parts: list[str], schema: str) -> DataFrame:
+        root = self.folder.path(*place.split("/"))
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/part={p}" for p in parts])
+
+    def _file_ranges(self, folder: str, parts: list[str]) -> pa.Table:
+        root = self.folder.path(*folder.split("/"))
+        absent = [p for p in parts if (root, p) not in _ranges]
+        if absent:
+            kind = self.raw_schema[self.key].dataType.simpleString()
+            found = self._small_files(f"{folder}/ranges", absent, RANGES.format(kind)).toArrow()
+            names = found["part"].to_numpy(zero_copy_only=False)
+            if len(_ranges) > 10_000:
+                _ranges.clear()
+            _ranges.update({(root, p): found.filter(pa.array(names == p)) for p in absent})
+        return pa.concat_tables([_ranges[root, p] for p in parts])
+
+    def _scan_near(self, folder: str, schema: T.StructType, layout: str, parts: list[str], ids: pa.ChunkedArray) -> DataFrame:
+        """The rows of `ids` in these parts; only files whose range holds one of them are opened."""
+        wanted = F.broadcast(self.spark.createDataFrame(pa.table({self.key: ids})).select(
+            F.col(self.key).cast(schema[self.key].dataType)).distinct())
+        indexed = {p["name"] for p in self.manifest["parts"] if p.get("indexed")}
+        indexed |= {c["name"] for f in self.features.values() for c in f["chunks"] if c.get("indexed")}
+        if not set(parts) <= indexed:
+            return self._scan(folder, schema, layout, parts).join(wanted, self.key, "left_semi")
+        known, numbers = self._file_ranges(folder, parts), np.unique(ids.to_numpy(zero_copy_only=False))
+        files = known["file"].to_numpy(zero_copy_only=False)
+        places = np.array([f"{p}/{f}" for p, f in zip(known["part"].to_pylist(), files)], object)
+        buckets = ()
+        if layout == BUCKETED:
+            kind = self.raw_schema[self.key].dataType.simpleString()
+            buckets = (np.array([int(_bucket(f)) for f in files], np.int64),
+                       keys.bucket_numbers(self.spark, numbers, self.key, kind, self.manifest["buckets"]))
+        least, greatest = (known[c].to_numpy(zero_copy_only=False) for c in ("least", "greatest"))
+        near = [p.split("/") for p in keys.holding_files(places, least, greatest, numbers, *buckets)]
+        if not near:
+            return self.spark.createDataFrame([], schema)
+        paths = [self.folder.path(*_place(folder, layout, p).split("/"), f) for p, f in near]
+        ends = numbers[[0, -1]].tolist()
+        inside = F.col(self.key).between(*map(F.lit, ends))
+        return self.spark.read.schema(schema).parquet(*paths).where(inside).join(wanted, self.key, "left_semi")
+
     # ---- feature columns -------------------------------------------------------------------
 
     def add_columns(self, features: dict[str, FeatureDef] | list[FeatureDef]) -> FeatureTable:
-        """Register feature columns; they read as null until backfilled. Unchanged ones are kept."""
-        listed = features.values() if isinstance(features, dict) else features
+        """Register feature columns; they read as null until backfilled. Unchanged ones are kept.
+
+        A column's version is made of its code and of the versions of the features it reads. So when one
+        of those changes, every feature that reads it, directly or through others, gets a new version too,
+        which is empty until it is backfilled: no value made of older inputs is read beside newer ones.
+        Features on other branches, and earlier versions of the table, are left as they are.
+        """
+        listed = list(features.values() if isinstance(features, dict) else features)
         table = self.latest()
         known = dict(table.features)
-        for f in listed:
+        for f in in_dependency_order(listed):
             if f.name in table.raw_schema.names:
                 raise ValueError(f"{f.name} is a raw column")
-            if f.name in known and known[f.name]["fingerprint"] == f.fingerprint():
+            absent = [c for c in f.inputs if c not in known and c not in table.raw_schema.names]
+            if absent:
+                raise KeyError(f"{f.name} reads columns that are not there: {absent}")
+            made = {"type": f.data_type, "inputs": list(f.inputs), "tier": f.tier, "kind": f.kind, "fingerprint": f.fingerprint()}
+            stamp = _stamp(made, known)
+            if f.name in known and known[f.name]["fingerprint"] == made["fingerprint"] and _stamp_of(f.name, known) == stamp:
                 continue
-            known[f.name] = {
-                "type": f.data_type, "inputs": list(f.inputs), "tier": f.tier, "kind": f.kind,
-                "fingerprint": f.fingerprint(), "complete": [], "chunks": [],
-                "folder": f"features/{f.name}-{f.fingerprint()}-{uuid.uuid4().hex[:6]}",
-            }
+            known[f.name] = _unfilled(f.name, made, stamp, read=[c for c in f.inputs if c in known])
+        known = _carried(known)
         return table if known == table.features else table._commit(features=known)
 
+    def versions(self) -> DataFrame:
+        """(feature, version, input, input_version, stale): the version graph, an edge for each input that
+        a feature reads; raw columns have no version. `stale` features lost their values to a change
+        upstream and are not filled again yet."""
+        rows = []
+        for name, entry in self.features.items():
+            for column in entry["inputs"]:
+                version = _stamp_of(column, self.features) if column in self.features else None
+                rows.append((name, _stamp_of(name, self.features), column, version, name in self.stale))
+        return self.spark.createDataFrame(
+            rows, "feature string, version string, input string, input_version string, stale boolean")
+
+    @property
+    def stale(self) -> list[str]:
+        """Features that a change upstream emptied and that are not filled again yet."""
+        return [n for n, f in self.features.items() if f.get("emptied") and not self.is_complete(n)]
+
     def drop_columns(self, names: list[str]) -> FeatureTable:
         """A version without these features; earlier versions still read them."""
         table = self.latest()
@@ -202,7 +318,8 @@ class FeatureTable:
         one Spark job whose result is kept whatever happens later: a rerun skips the files
         already done. `concurrency` chunks run at a time. `task_size` bounds the rows of one
         task for costly features; `max_chunks` ends a time-boxed run early, a later call goes on.
-        New code under the same name starts a new column version.
+        New code under the same name starts a new column version. Rows for which a feature that is
+        read is not filled yet are left for a later call.
         """
         table = self.add_columns([feature])
         entry = table.features[feature.name]
@@ -224,9 +341,10 @@ class FeatureTable:
         return table
 
     def _open_chunks(self, feature: FeatureDef, entry: dict, checkpoint_size: int | None) -> list[dict]:
-        open_parts = self._open_parts(entry)
+        read = [self.features[c] for c in feature.inputs if c in self.features]
+        open_parts = [p for p in self._open_parts(entry) if all(p["name"] in f["complete"] for f in read)]
         done = self._done(entry, open_parts)
-        stitched = any(c in self.features for c in feature.inputs)
+        stitched = bool(read)
         chunks = []
         for part in open_parts:
             folder = _place(self.manifest["base"], part["layout"], part["name"])
@@ -262,7 +380,8 @@ class FeatureTable:
                 tasks = math.ceil(tasks / self.manifest["buckets"]) * self.manifest["buckets"]
             rows = rows.repartition(tasks, self.key)
         self._write(feature.apply(rows, self.key), entry["folder"], chunk["layout"], chunk["name"])
-        record = {k: chunk[k] for k in ("name", "part", "layout", "files")}
+        self._index(entry["folder"], chunk["layout"], chunk["name"])
+        record = {**{k: chunk[k] for k in ("name", "part", "layout", "files")}, "indexed": True}
         self.folder.publish(json.dumps(record), *entry["folder"].split("/"), "done", f"{chunk['name']}.json")
 
     def _feature_beside(self, name: str, chunk: dict) -> DataFrame:
@@ -299,7 +418,7 @@ class FeatureTable:
             if set(table.folder.files(*folder.split("/"))) <= finished:
                 complete.append(part["name"])
         known = {c["name"] for c in entry["chunks"]}
-        added = [{k: d[k] for k in ("name", "part", "layout")} for d in done if d["name"] not in known]
+        added = [{k: d[k] for k in ("name", "part", "layout", "indexed") if k in d} for d in done if d["name"] not in known]
         if complete == entry["complete"] and not added:
             return table
         changed = {**entry, "complete": complete, "chunks": [*entry["chunks"], *added]}
@@ -326,10 +445,26 @@ class FeatureTable:
         kept = table.select(*dict.fromkeys([self.key, *columns]))
         return kept.orderBy(self.key).limit(limit).select(*columns)
 
-    def take(self, ids: list[int], columns: list[str]) -> DataFrame:
-        """Rows of an id list, in its order and with its repeats, from stored columns; files are
-        sorted by key, so only row groups near an id are read, of the folders of these columns."""
-        return take_rows(self.select(*dict.fromkeys([self.key, *columns])), ids, self.key, columns)
+    def take(self, ids: list[int] | DataFrame, columns: list[str]) -> DataFrame:
+        """Rows of an id list, in its order and with its repeats, from stored columns; unknown ids are left out.
+
+        For a list of up to SHORT_LIST ids only files are opened whose bucket and key range hold one of them,
+        of the folders of these columns. A longer list, or a DataFrame with the key and the order in `_pos`,
+        is joined with the table, whose side is not shuffled.
+        """
+        named = list(dict.fromkeys([self.key, *columns]))
+        if isinstance(ids, DataFrame):
+            return self.select(*named).join(ids.select(self.key, "_pos"), self.key).orderBy("_pos").select(*columns)
+        if not ids:
+            return self.select(*columns).limit(0)
+        kind = self.raw_schema[self.key].dataType
+        wanted = self.spark.createDataFrame(pa.table({"_pos": pa.array(range(len(ids)), pa.int64()), self.key: pa.array(ids)}))
+        wanted = wanted.select("_pos", F.col(self.key).cast(kind).alias(self.key))
+        if len(ids) > SHORT_LIST:
+            return self.take(wanted, columns)
+        some = pa.chunked_array([pa.array(ids)])
+        near = self._stitch(named, self.manifest["parts"], lambda *where: self._scan_near(*where, some))
+        return in_list_order(near.join(F.broadcast(wanted), self.key), columns)
 
     def missing_rows(self, name: str) -> DataFrame:
         """Keys of rows a feature does not cover yet, whatever the manifest says."""
@@ -340,23 +475,23 @@ class FeatureTable:
             base = base.join(df.select(self.key), self.key, "left_anti")
         return base
 
-    def _stitch(self, columns: list[str], parts: list[dict]) -> DataFrame:
+    def _stitch(self, columns: list[str], parts: list[dict], scan: Callable[..., DataFrame] | None = None) -> DataFrame:
         pieces = []
         for layout in (BUCKETED, LOOSE):
             held = [p for p in parts if p["layout"] == layout]
             if held:
-                pieces.append(self._side_by_side(columns, layout, held))
+                pieces.append(self._side_by_side(columns, layout, held, scan or self._scan))
         return reduce(DataFrame.unionByName, pieces)
 
-    def _side_by_side(self, columns: list[str], layout: str, parts: list[dict]) -> DataFrame:
+    def _side_by_side(self, columns: list[str], layout: str, parts: list[dict], scan: Callable[..., DataFrame]) -> DataFrame:
         names = [p["name"] for p in parts]
         raw = [c for c in columns if c in self.raw_schema.names and c != self.key]
         made = [c for c in columns if c in self.features]
-        groups = {c: self._scan_feature(c, layout, parts) for c in made}
+        groups = {c: self._scan_feature(c, layout, parts, scan) for c in made}
         partial = [c for c in made if groups[c] is None or not set(names) <= set(self.features[c]["complete"])]
         df, how = None, "inner"
         if raw or partial or not made:
-            df = self._scan(self.manifest["base"], self.raw_schema, layout, names).select(self.key, *raw)
+            df = scan(self.manifest["base"], self.raw_schema, layout, names).select(self.key, *raw)
             how = "left"
         for c in made:
             if groups[c] is None:
@@ -365,11 +500,13 @@ class FeatureTable:
                 df = groups[c] if df is None else df.join(groups[c], self.key, how)
         return df.select(*dict.fromkeys([self.key, *columns]))
 
-    def _scan_feature(self, name: str, layout: str, parts: list[dict]) -> DataFrame | None:
+    def _scan_feature(
+        self, name: str, layout: str, parts: list[dict], scan: Callable[..., DataFrame] | None = None,
+    ) -> DataFrame | None:
         entry = self.features[name]
         held = {p["name"] for p in parts}
         chunks = [c["name"] for c in entry["chunks"] if c["layout"] == layout and c["part"] in held]
-        return self._scan(entry["folder"], self._feature_schema(name), layout, chunks) if chunks else None
+        return (scan or self._scan)(entry["folder"], self._feature_schema(name), layout, chunks) if chunks else None
 
     def _feature_schema(self, name: str) -> T.StructType:
         kind = T.DataType.fromDDL(self.features[name]["type"])
@@ -403,6 +540,8 @@ class FeatureTable:
         # Each part is a folder of its own, so jobs running side by side cannot disturb each other.
         place = self.folder.path(*_place(folder, layout, part).split("/"))
         writer = df.write.mode("overwrite").format("parquet").option("path", place)
+        if self.manifest.get("file_rows"):
+            writer = writer.option("maxRecordsPerFile", self.manifest["file_rows"])
         if layout == LOOSE:
             writer.save()
             return
@@ -416,6 +555,49 @@ class FeatureTable:
         return FeatureTable(self.spark, self.folder, manifest)
 
 
+def _stamp(entry: dict, known: dict[str, dict]) -> str:
+    """Version of a feature: its code and, feature by feature, the versions of those it reads."""
+    read = [(c, _stamp_of(c, known)) for c in entry["inputs"] if c in known]
+    if not read:
+        return entry["fingerprint"]
+    return hashlib.sha256(repr((entry["fingerprint"], read)).encode()).hexdigest()[:16]
+
+
+def _stamp_of(name: str, known: dict[str, dict]) -> str:
+    """The version a feature was registered with; tables written before there were any have the
+    fingerprint of the code."""
+    return known[name].get("stamp", known[name]["fingerprint"])
+
+
+def _unfilled(name: str, made: dict, stamp: str, **more) -> dict:
+    folder = f"features/{name}-{stamp}-{uuid.uuid4().hex[:6]}"
+    return {**made, "stamp": stamp, "complete": [], "chunks": [], "folder": folder, **more}
+
+
+def _carried(known: dict[str, dict]) -> dict[str, dict]:
+    """Features whose inputs are of another version than they were made of are emptied, and so on along
+    the graph. One that reads a column that was dropped keeps its values: nothing can replace them."""
+    known, done = dict(known), set()
+
+    def visit(name: str, above: tuple[str, ...]) -> None:
+        if name in above:
+            raise ValueError("features read each other: " + " -> ".join([*above, name]))
+        if name in done:
+            return
+        entry = known[name]
+        for column in entry["inputs"]:
+            if column in known:
+                visit(column, (*above, name))
+        done.add(name)
+        made = {k: entry[k] for k in ("type", "inputs", "tier", "kind", "fingerprint")}
+        if "stamp" in entry and entry["stamp"] != _stamp(made, known) and all(c in known for c in entry.get("read", ())):
+            known[name] = {**_unfilled(name, made, _stamp(made, known), emptied=True), "read": entry.get("read", [])}
+
+    for name in list(known):
+        visit(name, ())
+    return known
+
+
 def _folder(spark: SparkSession, path: str) -> Folder:
     parent, name = split_table_path(path)
     return Folder(spark, f"{parent}/{name}")

@@ -103,6 +103,23 @@ RANKED = "row_number() OVER (PARTITION BY epoch ORDER BY md5('{seed}|' || epoch
 
 DISTANCE = "list_sum(list_transform(list_zip(q.embedding, c.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) ** 2))"
 
+CELLS = {
+    "centre": """
+        SELECT row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS cell, embedding
+        FROM embeddings WHERE vec_id % 2 = 0 QUALIFY cell < 16""",
+    "near": f"""
+        SELECT q.vec_id, c.cell, row_number() OVER (PARTITION BY q.vec_id ORDER BY {DISTANCE}, c.cell) AS place
+        FROM embeddings q, centre c""",
+    "cells_found": f"""
+        SELECT query_id, rank::INT AS rank, neighbour_id, round(sqrt(gap), 6) AS distance FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gap, neighbour_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id, {DISTANCE} AS gap
+            FROM near p JOIN embeddings q ON q.vec_id = p.vec_id JOIN near o ON o.cell = p.cell AND o.place = 1
+              JOIN embeddings c ON c.vec_id = o.vec_id
+            WHERE p.place <= 8 AND p.vec_id % 20 = 0))
+        WHERE rank <= 5""",
+}
+
 MODEL = """
     SELECT id, list_transform(range(16), lambda j: CASE WHEN id % 50 = 0 THEN 0.0 ELSE
       list_sum(list_transform(range(64), lambda i: floor(embedding[i+1]::DOUBLE * 1000) * ((7*i + 13*j) % 11 - 5))) / 1024 END) AS v
@@ -177,6 +194,10 @@ ORACLE = {
         SELECT {COARSE} AS before, {TYPE} AS after, count(*) AS count, false AS still_there FROM questions GROUP BY 1, 2"""),
     "repeated_keys": _with("questions", f"SELECT id, question, {TYPE} AS question_type FROM questions"),
     "changed_code_versions": _with("questions", "SELECT left(question, 3) AS start, count(*) AS count FROM questions GROUP BY 1"),
+    "changed_upstream": _with("questions", f"""
+        SELECT id, left(question, 3) AS start, left(question, 3) || '|' || {TYPE} AS marked,
+          (length(left(question, 3) || '|' || {TYPE}) + 1)::INT AS longer,
+          len({WORDS.format('question')})::INT AS question_words, true AS branch_kept FROM questions"""),
     "appended_rows": _with("questions", f"SELECT id, {TYPE} AS question_type FROM questions"),
     "provenance": """
         SELECT c.column, c.type, c.source, c.is_new, CASE WHEN c.column = 'question_words' THEN 0 ELSE n END AS filled,
@@ -262,6 +283,17 @@ ORACLE = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gap, neighbour_id) AS rank FROM (
             SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id, {DISTANCE} AS gap FROM embeddings q, embeddings c))
         WHERE rank <= 5""",
+    "knn_cells": _with("", "SELECT * FROM cells_found", **CELLS),
+    "knn_cells_blocks": _with("", "SELECT * FROM cells_found", **CELLS),
+    "knn_cells_recall": _with("", """
+        SELECT count(*) AS wanted, round(count(f.neighbour_id) / count(*)::DOUBLE, 9) AS recall
+        FROM exact e LEFT JOIN cells_found f ON f.query_id = e.query_id AND f.neighbour_id = e.neighbour_id""", **CELLS,
+        exact=f"""
+        SELECT query_id, neighbour_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gap, neighbour_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id, {DISTANCE} AS gap FROM embeddings q, embeddings c
+            WHERE q.vec_id % 20 = 0))
+        WHERE rank <= 5"""),
     # scoring
     "answer_scores": _with("truths base tuned", """
         SELECT id, round(base_score, 6) AS base_score, round(tuned_score, 6) AS tuned_score FROM scored""", **SCORED),

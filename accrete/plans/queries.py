@@ -162,6 +162,23 @@ def changed_code_versions(spark, folder):
     return profile.value_counts(table.select("start"), "start")
 
 
+@query
+def changed_upstream(spark, folder):
+    """A feature at the root of a chain gets new code: what reads it follows, another branch is left alone."""
+    def first_letters(count):
+        return feature("string", ["question"], name="start")(lambda question: question[:count])
+
+    marked = feature("string", ["start", "question_type"], kind=COLUMN, name="marked")(lambda a, b: F.concat_ws("|", a, b))
+    longer = feature("int", ["marked"], kind=COLUMN, name="longer")(lambda m: F.char_length(m) + 1)
+    table = _question_table(spark, folder, "upstream")
+    table = table.backfill_all([first_letters(1), question_type, marked, longer, question_words])
+    before = table.features
+    table = table.backfill_all([first_letters(3), marked, longer])
+    kept = all(before[n] == table.features[n] for n in ("question_words", "question_type"))
+    found = table.select("id", "start", "marked", "longer", "question_words")
+    return found.withColumn("branch_kept", F.lit(kept and not table.stale))
+
+
 @query
 def appended_rows(spark, folder):
     rows = inputs.questions(spark, folder)
@@ -287,7 +304,7 @@ def sidecar_metadata(spark, folder):
     documents = inputs.table(spark, folder, "documents")
     files.write_sidecar(spark, place, {"slice": "text_dense"})
     schema = "slice string"
-    info, absent = (files.read_sidecar(spark, place, schema, name) for name in ("slice_info.json", "other.json"))
+    info, absent = (files.sidecar_rows(spark, place, schema, name) for name in ("slice_info.json", "other.json"))
     counted = documents.agg(F.count(F.lit(1)).alias("rows"))
     return info.crossJoin(counted).crossJoin(absent.agg(F.count(F.lit(1)).cast("int").alias("absent")))
 
@@ -452,6 +469,46 @@ def knn_batch_blocks(spark, folder):
     return found.select("query_id", "rank", "neighbour_id", F.round("_distance", 6).alias("distance"))
 
 
+# Cells of the stored column, and cells a query looks into.
+CELLS, PROBES = 16, 8
+
+
+def _cell_table(spark, folder):
+    """Vectors with their cells: learned on the first half of the rows, kept for those appended later."""
+    rows = inputs.table(spark, folder, "embeddings").select("vec_id", "embedding")
+    first = rows.where("vec_id % 2 = 0")
+    centres = search.learn_cells(first, "vec_id", "embedding", CELLS, rounds=0)
+    cell = search.cell_feature(centres, "embedding")
+    table = FeatureTable.create(spark, new_dir(spark, "cells"), first, key="vec_id").backfill(cell)
+    return table.append(rows.where("vec_id % 2 = 1")).backfill(cell).to_df(), centres
+
+
+def _found_in_cells(spark, folder, limit_bytes=search.BROADCAST_BYTES):
+    rows, centres = _cell_table(spark, folder)
+    return search.nearest_in_cells(
+        rows.where("vec_id % 20 = 0"), rows, centres, "vec_id", "embedding", "vec_id", "embedding", k=5, probes=PROBES,
+        limit_bytes=limit_bytes)
+
+
+@query
+def knn_cells(spark, folder):
+    found = _found_in_cells(spark, folder)
+    return found.select("query_id", "rank", "neighbour_id", F.round("_distance", 6).alias("distance"))
+
+
+@query
+def knn_cells_blocks(spark, folder):
+    found = _found_in_cells(spark, folder, limit_bytes=0)
+    return found.select("query_id", "rank", "neighbour_id", F.round("_distance", 6).alias("distance"))
+
+
+@query
+def knn_cells_recall(spark, folder):
+    rows = inputs.table(spark, folder, "embeddings")
+    exact = search.nearest_each(rows.where("vec_id % 20 = 0"), rows, "vec_id", "embedding", "vec_id", "embedding", 5)
+    return search.recall(_found_in_cells(spark, folder), exact).select("wanted", F.round("recall", 9).alias("recall"))
+
+
 # ---- scoring -----------------------------------------------------------------------------------
 
 
@@ -585,7 +642,7 @@ def micro_batches(spark, folder):
 
 
 # Fixed values of the training run: micro-batches a step, steps, epochs at most.
-ACCUMULATE, STEPS, EPOCHS = 4, 300, 10
+ACCUMULATE, STEPS, EPOCHS = 4, 300, batches.EPOCH_LIMIT
 
 
 def _schedule(spark, folder, steps, epochs):

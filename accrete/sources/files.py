@@ -64,8 +64,14 @@ class Folder:
             raise FileExistsError(self.path(*parts))
 
 
-def read_sidecar(spark: SparkSession, folder: str, schema: str, name: str = "slice_info.json") -> DataFrame:
-    """Optional JSON metadata beside a table: its one row, or none when there is no such file."""
+def read_sidecar(spark: SparkSession, folder: str, name: str = "slice_info.json") -> dict:
+    """Optional JSON metadata beside a table; an empty dict when there is none."""
+    place = Folder(spark, folder)
+    return json.loads(place.read(name)) if place.exists(name) else {}
+
+
+def sidecar_rows(spark: SparkSession, folder: str, schema: str, name: str = "slice_info.json") -> DataFrame:
+    """The same as a DataFrame: its one row, or none when there is no such file."""
     place = Folder(spark, folder)
     if not place.exists(name):
         return spark.createDataFrame([], schema)

@@ -206,6 +206,82 @@ def test_dependent_features(table):
         in_dependency_order(loop)
 
 
+def times(factor):
+    return feature("bigint", ["n"], kind="column", name="base")(lambda n: n * factor)
+
+
+@feature("bigint", ["base"], name="next")
+def after_base(base):
+    return None if base is None else base + 1
+
+
+@feature("bigint", ["next", "doubled"], kind="column", name="last")
+def after_next(following, d):
+    return following * 1000 + d
+
+
+def test_a_change_upstream_reaches_all_that_read_it(table):
+    first = table.backfill_all([times(1), after_base, after_next, doubled, worded])
+    assert values(first, "last") == [(i, (i * 3 + 1) * 1000 + i * 6) for i in range(200)] and first.stale == []
+    changed = first.backfill(times(10))
+    # Nothing made of the old inputs is read beside the new ones, and nothing else is touched.
+    assert set(changed.stale) == {"next", "last"}
+    assert {v for row in values(changed, "next", "last") for v in row[1:]} == {None}
+    assert all(changed.features[n] == first.features[n] for n in ("doubled", "worded"))
+    assert changed.missing_rows("next").count() == 200
+    before = data_files(table.folder.root)
+    done = changed.backfill_all([times(10), after_base, after_next, doubled, worded])
+    assert values(done, "base", "next", "last") == [(i, i * 30, i * 30 + 1, (i * 30 + 1) * 1000 + i * 6) for i in range(200)]
+    new = {p for p in data_files(table.folder.root) if p not in before}
+    assert new and all("/features/next-" in str(p) or "/features/last-" in str(p) for p in new)
+    assert done.stale == [] and values(table.as_of(first.version), "next") == [(i, i * 3 + 1) for i in range(200)]
+    graph = {(r.feature, r.input): r for r in done.versions().collect()}
+    assert graph["next", "base"].input_version == done.features["base"]["stamp"] and graph["base", "n"].input_version is None
+    assert graph["next", "base"].version != {(r.feature, r.input): r for r in first.versions().collect()}["next", "base"].version
+
+
+def test_the_order_of_a_change_does_not_matter(table):
+    """The dependant listed first, one backfill after the other, or the input registered only: never old values."""
+    table.backfill_all([times(1), after_base])
+    table.latest().add_columns([times(5)])
+    # The new input is not filled, so the dependant waits.
+    waiting = table.latest().backfill(after_base)
+    assert not waiting.is_complete("next") and {v for _, v in values(waiting, "next")} == {None}
+    done = waiting.backfill_all([after_base, times(5)])
+    assert values(done, "next") == [(i, i * 15 + 1) for i in range(200)]
+
+
+def test_only_parts_with_filled_inputs_are_computed(spark, table):
+    done = table.backfill_all([times(2), after_base])
+    grown = done.append(numbers(spark, 200, 260))
+    half = grown.backfill(after_base)
+    assert sum(v is None for _, v in values(half, "next")) == 60 and half.stale == []
+    before = data_files(table.folder.root)
+    full = half.backfill_all([times(2), after_base])
+    assert {p: s for p, s in data_files(table.folder.root).items() if p in before} == before
+    assert values(full, "next") == [(i, i * 6 + 1) for i in range(260)]
+
+
+def test_a_time_boxed_change_upstream_is_followed_later(table):
+    table.backfill_all([times(1), after_base])
+    table.latest().backfill(times(7), checkpoint_size=50, max_chunks=1)
+    part = table.latest().backfill(after_base)
+    assert {v for _, v in values(part, "next")} == {None}
+    assert values(part.backfill_all([times(7), after_base]), "next") == [(i, i * 21 + 1) for i in range(200)]
+
+
+def test_dropped_inputs_and_loops(table):
+    done = table.backfill_all([times(1), after_base])
+    left = done.drop_columns(["base"]).add_columns([doubled])
+    assert values(left, "next") == [(i, i * 3 + 1) for i in range(200)]
+    # The same input again: the values are still those made of it.
+    assert left.add_columns([times(1)]).stale == [] and left.latest().add_columns([times(2)]).stale == ["next"]
+    with pytest.raises(KeyError, match="nothing"):
+        table.add_columns([feature("int", ["nothing"], name="x")(len)])
+    with pytest.raises(ValueError, match="read each other"):
+        table.add_columns([feature("bigint", ["next"], kind="column", name="base")(lambda n: n)])
+
+
 def test_model_feature_and_lengths(table):
     made = feature("array<float>", ["n"], kind="model", name="vec", length=3, half=True, batch_size=7)(counting_model())
     got = dict(values(table.backfill(made, task_size=50), "vec"))
