@@ -6,14 +6,18 @@ Order is decided on keys alone; wide columns are joined once, after every row kn
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrete.functions.hashing import order_key
 from accrete.functions.vectors import check_bytes, check_length, reshape, widen
 from accrete.operators.rank import hash_rank, sorted_rank
+from accrete.session import checkpointed
 
 # Names of the stored training columns.
 TOKEN_FIELDS = ["input_ids", "attention_mask", "labels"]
@@ -132,3 +136,91 @@ def cached_batches(
     packed = isinstance(rows.schema[VISION_COLUMN].dataType, T.BinaryType)
     fields = cached_fields(table.columns, tokens, width, text_tokens, packed)
     return collate(micro_batches(ordered, batch_size), rows, table.key, fields)
+
+
+# ---- orders in two levels ----------------------------------------------------------------------
+
+
+def windowed_order(keys: DataFrame, key: str, batch_size: int, epochs: int = 1, seed: int | str = 0) -> DataFrame:
+    """(epoch, bucket, key, batch, rank) of rows (key, bucket): in each epoch the buckets are put in a new
+    seeded order, and the rows of each bucket, too. Batches do not cross buckets: the last one of a bucket may
+    be short. Nearly as well mixed as an exact permutation where buckets hold many rows, and no row has to
+    leave its bucket."""
+    drawn = keys.select(key, "bucket", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+    digest = order_key(seed, F.col("epoch"), F.col(key))
+    inside = F.row_number().over(Window.partitionBy("epoch", "bucket").orderBy(digest, key)) - 1
+    sizes = drawn.groupBy("epoch", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # One row per bucket and epoch, whatever the rows.
+    earlier = Window.partitionBy("epoch").orderBy(order_key(seed, F.col("epoch"), F.concat(F.lit("bucket "), F.col("bucket"))), "bucket")
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select(
+        "epoch", "bucket", F.coalesce(F.sum(F.ceil(F.col("n") / batch_size)).over(before), F.lit(0)).alias("first_batch"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_rank"))
+    return drawn.withColumn("_inside", inside).join(firsts, ["epoch", "bucket"]).select(
+        "epoch", "bucket", key, (F.col("first_batch") + F.floor(F.col("_inside") / batch_size)).alias("batch"),
+        (F.col("first_rank") + F.col("_inside") + 1).alias("rank"))
+
+
+def _in_runs(rows: DataFrame, name: str) -> DataFrame:
+    """(epoch, batch, samples): the rows of each batch as one list. The rows of a batch follow each other in
+    one partition, so a batch is a slice of what Arrow brings."""
+    sample = T.StructType([f for f in rows.schema.fields if f.name not in ("epoch", "batch")])
+    schema = T.StructType([rows.schema["epoch"], rows.schema["batch"], T.StructField(name, T.ArrayType(sample))])
+
+    def pack(piece: pa.RecordBatch) -> pa.RecordBatch:
+        epochs, numbers = (piece.column(c).to_numpy() for c in ("epoch", "batch"))
+        starts = np.concatenate([[0], np.flatnonzero((np.diff(epochs) != 0) | (np.diff(numbers) != 0)) + 1])
+        items = pa.StructArray.from_arrays([piece.column(f.name) for f in sample], names=sample.names)
+        lists = pa.ListArray.from_arrays(pa.array([*starts, piece.num_rows], pa.int32()), items)
+        return pa.RecordBatch.from_arrays([*(piece.column(c).take(pa.array(starts)) for c in ("epoch", "batch")), lists], ["epoch", "batch", name])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []  # the rows of the batch that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            epochs, numbers = (batch.column(c).to_numpy() for c in ("epoch", "batch"))
+            others = np.flatnonzero((epochs != epochs[-1]) | (numbers != numbers[-1]))
+            last = int(others[-1]) + 1 if len(others) else 0
+            goes_on = held and last == 0 and (held[-1].column("epoch")[-1], held[-1].column("batch")[-1]) == (
+                batch.column("epoch")[0], batch.column("batch")[0])
+            if goes_on:
+                held.append(batch)
+                continue
+            done = [*held, *([batch.slice(0, last)] if last else [])]
+            if done:
+                yield pack(_joined(done))
+            held = [batch.slice(last)]
+        if held:
+            yield pack(_joined(held))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _joined(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pieces[0] if len(pieces) == 1 else pa.Table.from_batches(pieces).combine_chunks().to_batches()[0]
+
+
+def windowed_batches(
+    table, batch_size: int = 2, seed: int | str = 42, epochs: int = 1, tokens: int = 400, width: int = 2048,
+    text_tokens: int = 512,
+) -> DataFrame:
+    """Training batches of a FeatureTable in the order of `windowed_order`, without moving the wide columns:
+    each task reads one bucket, puts its rows in order and cuts them into batches. Keys alone are shuffled
+    to decide on the order; loose increments are shuffled whole."""
+    needed = token_columns(table.columns)
+    buckets = table.manifest["buckets"]
+    pieces = table.bucket_pieces(needed)
+    bucket = lambda first: (F.pmod(F.hash(table.key), F.lit(buckets)) + first).alias("bucket")
+    keys = reduce(DataFrame.unionByName, [rows.select(table.key, bucket(first)) for first, rows in table.bucket_pieces([])])
+    order = checkpointed(windowed_order(keys, table.key, batch_size, epochs, seed))
+    found = []
+    for first, rows in pieces:
+        packed = isinstance(rows.schema[VISION_COLUMN].dataType, T.BinaryType)
+        fields = cached_fields(table.columns, tokens, width, text_tokens, packed)
+        own = order.where(F.col("bucket").between(first, first + buckets - 1)).select("epoch", "batch", "rank", table.key)
+        wide = rows.select(table.key, *[c.alias(n) for n, c in fields.items()])
+        # The hint keeps the wide side where it is, bucket by bucket.
+        met = wide.join(own.hint("shuffle_hash"), table.key).select("epoch", "batch", "rank", table.key, *fields)
+        found.append(_in_runs(met.sortWithinPartitions("epoch", "rank"), "samples"))
+    return reduce(DataFrame.unionByName, found)

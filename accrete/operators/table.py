@@ -48,12 +48,14 @@ class FeatureTable:
     def create(
         cls, spark: SparkSession, path: str, df: DataFrame, key: str = "id", buckets: int | None = None,
         mode: str = "errorifexists", file_rows: int | None = None,
+        group_rows: int | None = None,
     ) -> FeatureTable:
         """Write `df` as the raw rows of a new table (or, with mode "overwrite", of a new version).
 
         `key` must be unique and not null. Choose `buckets` for some hundred MB of raw data in
         each; a bucket is one task of every later column-side-by-side read. With `file_rows`, a bucket
-        is cut into files of so many rows, in key order, so that `take` opens less.
+        is cut into files of so many rows, in key order, so that `take` opens less; `group_rows` bounds the
+        rows of a row group, which is the least that a task of a costly feature can be given.
         """
         folder = _folder(spark, path)
         last = _latest(folder)
@@ -67,6 +69,7 @@ class FeatureTable:
             "schema": df.schema.jsonValue(),
             "base": f"base-{version:06d}",
             "file_rows": file_rows,
+            "group_rows": group_rows,
             "parts": [],
             "features": {},
         }
@@ -164,7 +167,7 @@ class FeatureTable:
         indexed = {p["name"]: p for p in parts if p.get("indexed")}
         if indexed and len(ids):
             place = f"{self.manifest['base']}/bits"
-            bits = self._small_files(place, list(indexed), "shards int, shard int, bits binary, part string")
+            bits = self.small_files(place, list(indexed), "shards int, shard int, bits binary, part string")
             hits = keys.suspects(bits, asked).toArrow()  # FEW_KEYS and those that pass by chance, part by part
             names, at = hits["part"].to_numpy(zero_copy_only=False), hits["at"].to_numpy()
             found += [(indexed[n], asked.take(pa.array(at[names == n]))) for n in sorted(set(names))]
@@ -198,24 +201,31 @@ class FeatureTable:
         added = self._scan(base, self.raw_schema, layout, [part])
         self._refuse_repeats(added.select(self.key), on_repeat == "error")
         count = self._index(base, layout, part)
-        self._put(keys.key_bits(added, self.key, count), base, "bits", part)
+        self.put_small(keys.key_bits(added, self.key, count), f"{base}/bits", part)
         entry = {"name": part, "layout": layout, "rows": count, "indexed": True}
         return self._commit(parts=[*self.manifest["parts"], entry])
 
     # ---- key ranges ------------------------------------------------------------------------
 
-    def _put(self, df: DataFrame, folder: str, kind: str, part: str) -> None:
-        df.coalesce(1).write.mode("overwrite").parquet(self.folder.path(*folder.split("/"), kind, f"part={part}"))
+    def put_small(self, df: DataFrame, place: str, part: str) -> None:
+        """Write a few rows about a part; writing them again changes nothing."""
+        df.coalesce(1).write.mode("overwrite").parquet(self.folder.path(*place.split("/"), f"part={part}"))
+
+    def part_rows(self, part: str, columns: list[str]) -> DataFrame:
+        """Raw columns of one part."""
+        layout = next(p["layout"] for p in self.manifest["parts"] if p["name"] == part)
+        return self._scan(self.manifest["base"], self.raw_schema, layout, [part]).select(*dict.fromkeys(columns))
 
     def _index(self, folder: str, layout: str, part: str) -> int:
         """Write down the key range of each file of a part, and give the number of its rows."""
         place = self.folder.path(*_place(folder, layout, part).split("/"))
         kind = self.raw_schema[self.key].dataType.simpleString()
         rows = self.spark.read.schema(T.StructType([self.raw_schema[self.key]])).parquet(place)
-        self._put(keys.file_ranges(rows, self.key), folder, "ranges", part)
-        return sum(self._small_files(f"{folder}/ranges", [part], RANGES.format(kind)).toArrow()["rows"].to_pylist())
+        self.put_small(keys.file_ranges(rows, self.key), f"{folder}/ranges", part)
+        return sum(self.small_files(f"{folder}/ranges", [part], RANGES.format(kind)).toArrow()["rows"].to_pylist())
 
-    def _small_files(self, place: str, parts: list[str], schema: str) -> DataFrame:
+    def small_files(self, place: str, parts: list[str], schema: str) -> DataFrame:
+        """What `put_small` wrote about these parts, with the column `part`."""
         root = self.folder.path(*place.split("/"))
         return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/part={p}" for p in parts])
 
@@ -224,7 +234,7 @@ class FeatureTable:
         absent = [p for p in parts if (root, p) not in _ranges]
         if absent:
             kind = self.raw_schema[self.key].dataType.simpleString()
-            found = self._small_files(f"{folder}/ranges", absent, RANGES.format(kind)).toArrow()
+            found = self.small_files(f"{folder}/ranges", absent, RANGES.format(kind)).toArrow()
             names = found["part"].to_numpy(zero_copy_only=False)
             if len(_ranges) > 10_000:
                 _ranges.clear()
@@ -363,26 +373,57 @@ class FeatureTable:
         return chunks
 
     def _fill(self, feature: FeatureDef, entry: dict, chunk: dict, task_size: int | None) -> None:
+        rows = self._rows_to_fill(feature, chunk, task_size)
+        self._write(feature.apply(rows, self.key), entry["folder"], chunk["layout"], chunk["name"])
+        self._index(entry["folder"], chunk["layout"], chunk["name"])
+        record = {**{k: chunk[k] for k in ("name", "part", "layout", "files")}, "indexed": True}
+        self.folder.publish(json.dumps(record), *entry["folder"].split("/"), "done", f"{chunk['name']}.json")
+
+    def _rows_to_fill(self, feature: FeatureDef, chunk: dict, task_size: int | None) -> DataFrame:
+        """Key and inputs of the rows of a chunk, in tasks of about `task_size` rows: raw files are cut where
+        the scan reads them, so nothing is shuffled. Inputs that are joined are dealt out by key."""
         columns = list(dict.fromkeys([self.key, *feature.inputs]))
+        made = [c for c in columns if c in self.features]
         if chunk["stitched"] and chunk["whole"]:
             rows = self._stitch(columns, [p for p in self.manifest["parts"] if p["name"] == chunk["part"]])
         else:
             wanted = T.StructType([f for f in self.raw_schema.fields if f.name in columns])
-            paths = [self.folder.path(*chunk["folder"].split("/"), f) for f in chunk["files"]]
-            rows = self.spark.read.schema(wanted).parquet(*paths)
-            for name in (c for c in columns if c in self.features):
+            folder = chunk["folder"].split("/")
+            paths = [self.folder.path(*folder, f) for f in chunk["files"]]
+            spark = self._with_splits(chunk, task_size) if task_size and not made else self.spark
+            rows = spark.read.schema(wanted).parquet(*paths)
+            for name in made:
                 rows = rows.join(self._feature_beside(name, chunk), self.key, "left")
             rows = rows.select(*columns)
-        if task_size:
-            tasks = math.ceil(max(rows.count(), 1) / task_size)
+        if task_size and made:
+            tasks = math.ceil(max(self._rows_of(chunk), 1) / task_size)
             if chunk["layout"] == BUCKETED:
                 # A multiple of the buckets, so that each task still belongs to one bucket.
                 tasks = math.ceil(tasks / self.manifest["buckets"]) * self.manifest["buckets"]
             rows = rows.repartition(tasks, self.key)
-        self._write(feature.apply(rows, self.key), entry["folder"], chunk["layout"], chunk["name"])
-        self._index(entry["folder"], chunk["layout"], chunk["name"])
-        record = {**{k: chunk[k] for k in ("name", "part", "layout", "files")}, "indexed": True}
-        self.folder.publish(json.dumps(record), *entry["folder"].split("/"), "done", f"{chunk['name']}.json")
+        return rows
+
+    def _rows_of(self, chunk: dict) -> int:
+        """Rows in the raw files of a chunk, from their key ranges; of the whole part if it has none."""
+        part = next(p for p in self.manifest["parts"] if p["name"] == chunk["part"])
+        if not part.get("indexed"):
+            return part["rows"]
+        known, files = self._file_ranges(self.manifest["base"], [chunk["part"]]), set(chunk["files"])
+        return sum(n for f, n in zip(known["file"].to_pylist(), known["rows"].to_pylist()) if f in files)
+
+    def _with_splits(self, chunk: dict, task_size: int) -> SparkSession:
+        """A session like this one whose scans give a task the bytes that about `task_size` of the chunk's rows
+        take. A row group is the least a task can read; `group_rows` of the table bounds it."""
+        sizes = self.folder.sizes(*chunk["folder"].split("/"))
+        taken = sum(sizes[f] for f in chunk["files"])
+        session = self.spark.newSession()
+        for name, value in self.spark.conf.getAll.items():
+            if self.spark.conf.isModifiable(name):
+                session.conf.set(name, value)
+        session.conf.set("spark.sql.files.maxPartitionBytes", max(1, taken * task_size // max(self._rows_of(chunk), 1)))
+        session.conf.set("spark.sql.files.openCostInBytes", 0)
+        session.conf.set("spark.sql.files.minPartitionNum", 1)
+        return session
 
     def _feature_beside(self, name: str, chunk: dict) -> DataFrame:
         """A feature of the rows in a chunk's raw files: only its files of the same buckets are read."""
@@ -466,6 +507,19 @@ class FeatureTable:
         near = self._stitch(named, self.manifest["parts"], lambda *where: self._scan_near(*where, some))
         return in_list_order(near.join(F.broadcast(wanted), self.key), columns)
 
+    def bucket_pieces(self, columns: list[str]) -> list[tuple[int, DataFrame]]:
+        """(first, rows) by layout: the named columns with all rows of a bucket in one partition, and the
+        number that the layout's buckets count from. Only loose increments are shuffled for that."""
+        pieces = []
+        for i, layout in enumerate((BUCKETED, LOOSE)):
+            held = [p for p in self.manifest["parts"] if p["layout"] == layout and p["rows"]]
+            if held:
+                rows = self._side_by_side(list(dict.fromkeys([self.key, *columns])), layout, held, self._scan)
+                if layout == LOOSE:
+                    rows = rows.repartition(self.manifest["buckets"], self.key)
+                pieces.append((i * self.manifest["buckets"], rows))
+        return pieces
+
     def missing_rows(self, name: str) -> DataFrame:
         """Keys of rows a feature does not cover yet, whatever the manifest says."""
         parts = self.manifest["parts"]
@@ -542,6 +596,8 @@ class FeatureTable:
         writer = df.write.mode("overwrite").format("parquet").option("path", place)
         if self.manifest.get("file_rows"):
             writer = writer.option("maxRecordsPerFile", self.manifest["file_rows"])
+        if self.manifest.get("group_rows"):
+            writer = writer.option("parquet.block.row.count.limit", self.manifest["group_rows"])
         if layout == LOOSE:
             writer.save()
             return

@@ -10,7 +10,7 @@ WORDS = r"list_filter(string_split_regex({0}, '\s+'), lambda t: t <> '')"
 
 def _with(names: str, body: str, **extra: str) -> str:
     parts = [f"{n} AS ({INPUT[n]})" for n in names.split()] + [f"{n} AS ({q})" for n, q in extra.items()]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    return f"WITH RECURSIVE {', '.join(parts)} {body}" if parts else body
 
 
 def _first_match(column: str, patterns) -> str:
@@ -140,6 +140,36 @@ def _batches(size: int, epochs: int, order: str) -> str:
         placed=f"SELECT *, (rank - 1) // {size} AS batch FROM ranked")
 
 
+def _murmur(value: str) -> dict[str, str]:
+    """`hashed` (id, h): the hash by which Spark deals a 64-bit key to buckets, as a signed 32-bit number."""
+    word, most = 4294967296, 4294967295
+    turn = lambda x, n: f"((({x}) << {n}) | (({x}) >> {32 - n})) & {most}"
+    steps = {"h0": f"SELECT id, 42::UBIGINT AS h, (({value}) & {most})::UBIGINT AS low, ((({value}) >> 32) & {most})::UBIGINT AS high FROM training_rows"}
+    for i, half in enumerate(("low", "high")):
+        k = f"(({turn(f'({half} * 3432918353) % {word}', 15)}) * 461845907) % {word}"
+        steps[f"k{i}"] = f"SELECT *, ({k})::UBIGINT AS k FROM h{i}"
+        h = f"(({turn('xor(h, k)', 13)}) * 5 + 3864292196) % {word}"
+        steps[f"h{i + 1}"] = f"SELECT id, ({h})::UBIGINT AS h, low, high FROM k{i}"
+    steps["f1"] = "SELECT id, xor(h, 8::UBIGINT) AS h FROM h2"
+    steps["f2"] = f"SELECT id, (xor(h, h >> 16) * 2246822507) % {word} AS h FROM f1"
+    steps["f3"] = f"SELECT id, (xor(h, h >> 13) * 3266489909) % {word} AS h FROM f2"
+    steps["hashed"] = f"SELECT id, CASE WHEN g >= 2147483648 THEN g::BIGINT - {word} ELSE g::BIGINT END AS h FROM (SELECT id, xor(h, h >> 16) AS g FROM f3)"
+    return steps
+
+
+WINDOWED = {
+    **_murmur("id"),
+    "placed_keys": """
+        SELECT id, epoch, ((h % 6) + 6) % 6 + CASE WHEN id % 5 = 0 THEN 6 ELSE 0 END AS bucket FROM hashed, range(2) e(epoch)""",
+    "sizes": "SELECT epoch, bucket, ceil(count(*) / 4.0)::BIGINT AS batches FROM placed_keys GROUP BY ALL",
+    "firsts": """
+        SELECT epoch, bucket, coalesce(sum(batches) OVER (PARTITION BY epoch ORDER BY md5('7|' || epoch || '|bucket ' || bucket), bucket
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM sizes""",
+    "ranked": """
+        SELECT *, row_number() OVER (PARTITION BY epoch, bucket ORDER BY md5('7|' || epoch || '|' || id), id) - 1 AS rank FROM placed_keys""",
+    "placed": "SELECT t.*, r.epoch, r.rank, f.first + r.rank // 4 AS batch FROM training_rows t JOIN ranked r USING (id) JOIN firsts f USING (epoch, bucket)",
+}
+
 SCHEDULE = {
     "size": "SELECT count(*) AS n, ceil(count(*) / 2.0)::BIGINT AS per_epoch FROM documents",
     "run": "SELECT *, least(10, ceil(1200.0 / per_epoch))::BIGINT AS epochs FROM size",
@@ -194,10 +224,10 @@ ORACLE = {
         SELECT {COARSE} AS before, {TYPE} AS after, count(*) AS count, false AS still_there FROM questions GROUP BY 1, 2"""),
     "repeated_keys": _with("questions", f"SELECT id, question, {TYPE} AS question_type FROM questions"),
     "changed_code_versions": _with("questions", "SELECT left(question, 3) AS start, count(*) AS count FROM questions GROUP BY 1"),
-    "changed_upstream": _with("questions", f"""
-        SELECT id, left(question, 3) AS start, left(question, 3) || '|' || {TYPE} AS marked,
-          (length(left(question, 3) || '|' || {TYPE}) + 1)::INT AS longer,
-          len({WORDS.format('question')})::INT AS question_words, true AS branch_kept FROM questions"""),
+    "changed_upstream": """
+        SELECT doc_id, left(coalesce(text, ''), 3) AS start, concat_ws('|', left(coalesce(text, ''), 3), lang) AS marked,
+          (length(concat_ws('|', left(coalesce(text, ''), 3), lang)) + len(string_split(coalesce(text, ''), chr(10))))::INT AS longer,
+          len(string_split(coalesce(text, ''), chr(10)))::INT AS lines, true AS branch_kept FROM documents""",
     "appended_rows": _with("questions", f"SELECT id, {TYPE} AS question_type FROM questions"),
     "provenance": """
         SELECT c.column, c.type, c.source, c.is_new, CASE WHEN c.column = 'question_words' THEN 0 ELSE n END AS filled,
@@ -213,6 +243,12 @@ ORACLE = {
     "incremental_features": _with("questions", f"SELECT {TYPE} AS question_type, count(*) AS count FROM questions GROUP BY 1"),
     "stream_dedup": _with("rasters", "SELECT DISTINCT dhash FROM hashed", **_hashed("rasters")),
     # sources and small reads
+    "stream_near_dedup": _with("bumped_rasters", """
+        SELECT vec_id, dhash FROM arrived a WHERE dhash IS NULL OR NOT EXISTS (
+          SELECT 1 FROM arrived b WHERE b.dhash IS NOT NULL AND bit_count(xor(a.number, b.number)) <= 3
+            AND (b.vec_id % 3 < a.vec_id % 3 OR b.vec_id % 3 = a.vec_id % 3 AND b.vec_id < a.vec_id))""",
+        **_hashed("bumped_rasters"),
+        arrived="SELECT vec_id, number, CASE WHEN vec_id % 29 <> 0 THEN dhash END AS dhash FROM hashed"),
     "stream_dedup_watermark": "SELECT DISTINCT user_id, event_type FROM events",
     "dataset_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS dataset, count(*) AS rows FROM {t}"
@@ -259,6 +295,12 @@ ORACLE = {
     "median_profile": _with("tokens qa", f"""
         SELECT 'ocr_n' AS column, trunc(median(coalesce(len(ocr_tokens), 0)))::BIGINT AS median FROM tokens UNION ALL
         SELECT 'answer_words', trunc(median(len({WORDS.format("coalesce(answer, '')")})))::BIGINT FROM qa"""),
+    "profile_of_growing_table": """
+        SELECT *, 1 AS parts_added FROM (
+          SELECT 'lang' AS statistic, lang AS item, count(*) AS n FROM documents GROUP BY lang UNION ALL
+          SELECT 'bin', least(n_chars // 500, 12)::VARCHAR, count(*) FROM documents WHERE n_chars IS NOT NULL GROUP BY ALL UNION ALL
+          SELECT 'median', 'n_chars', trunc(median(n_chars))::BIGINT FROM documents UNION ALL
+          SELECT 'distinct', 'n_chars', count(DISTINCT n_chars) FROM documents)""",
     "top_classes": _with("classes", """
         SELECT item, count(*) AS count, item || ' (' || count(*) || ')' AS label
         FROM (SELECT unnest(image_classes) AS item FROM classes) GROUP BY item ORDER BY count DESC, item LIMIT 8"""),
@@ -334,6 +376,23 @@ ORACLE = {
     "holdout_split": """
         SELECT doc_id, CASE WHEN ('0x' || substr(md5('split|' || doc_id), 1, 6))::BIGINT % 1000 < 400
           THEN 'val' ELSE 'train' END AS split FROM documents""",
+    "holdout_by_group": _with("bumped_rasters", """
+        SELECT vec_id, CASE WHEN ('0x' || substr(md5('split|' || coalesce('group ' || grp, vec_id::VARCHAR)), 1, 6))::BIGINT % 1000 < 400
+          THEN 'val' ELSE 'train' END AS split
+        FROM hashed LEFT JOIN (SELECT number, min(reached) AS grp FROM linked GROUP BY number) USING (number)""".replace(
+            "FROM hashed LEFT", "FROM (SELECT vec_id, CASE WHEN vec_id % 29 <> 0 THEN number END AS number FROM hashed) LEFT"),
+        **_hashed("bumped_rasters"),
+        distinct_hashes="""
+        SELECT DISTINCT number, CASE WHEN number >= 9223372036854775808 THEN (number::HUGEINT - 18446744073709551616)::BIGINT
+          ELSE number::BIGINT END AS signed FROM hashed WHERE vec_id % 29 <> 0""",
+        linked="""
+        SELECT number, signed AS reached FROM distinct_hashes UNION
+        SELECT h.number, l.reached FROM linked l JOIN distinct_hashes o ON o.number = l.number
+          JOIN distinct_hashes h ON bit_count(xor(h.number, o.number)) <= 3"""),
+    "windowed_epoch": _with("training_rows", """
+        SELECT epoch::INT AS epoch, batch, count(*)::INT AS n, string_agg(id::VARCHAR, ' ' ORDER BY rank) AS ids,
+          string_agg(array_to_string(labels, ' '), ' ' ORDER BY rank) AS labels,
+          round(sum(vision_tower_hiddens[11]::DOUBLE), 6) AS corner_sum FROM placed GROUP BY epoch, batch""", **WINDOWED),
     "epoch_permutation": f"""
         SELECT epoch::INT AS epoch, doc_id, {RANKED.format(seed=0, key='doc_id')} AS rank FROM documents, range(3) e(epoch)""",
     "micro_batches": f"""

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from accrete.functions import hashing, scoring, text, vectors
 from accrete.operators import batches, curate, evaluate, lookup, neardup, profile, readrate, search, tokens
 from accrete.operators.feature import BATCH, COLUMN, MODEL, feature
+from accrete.operators.summaries import Profile
 from accrete.operators.table import FeatureTable
 from accrete.plans import inputs
 from accrete.plans.stand_in import OUTPUTS, ProjectionEmbedder
 from accrete.session import new_dir
 from accrete.sources import files, images
-from accrete.streaming.upkeep import first_of_each_hash, keep_features
+from accrete.streaming.upkeep import first_of_each_hash, first_of_near_hashes, keep_features
 
 QUERIES = {}
 
@@ -166,17 +167,18 @@ def changed_code_versions(spark, folder):
 def changed_upstream(spark, folder):
     """A feature at the root of a chain gets new code: what reads it follows, another branch is left alone."""
     def first_letters(count):
-        return feature("string", ["question"], name="start")(lambda question: question[:count])
-
-    marked = feature("string", ["start", "question_type"], kind=COLUMN, name="marked")(lambda a, b: F.concat_ws("|", a, b))
-    longer = feature("int", ["marked"], kind=COLUMN, name="longer")(lambda m: F.char_length(m) + 1)
-    table = _question_table(spark, folder, "upstream")
-    table = table.backfill_all([first_letters(1), question_type, marked, longer, question_words])
+        return feature("string", ["text"], name="start")(lambda body: (body or "")[:count])
+
+    marked = feature("string", ["start", "lang"], kind=COLUMN, name="marked")(lambda a, b: F.concat_ws("|", a, b))
+    longer = feature("int", ["marked", "lines"], kind=COLUMN, name="longer")(lambda m, n: F.char_length(m) + n)
+    lines = feature("int", ["text"], kind=COLUMN, name="lines")(lambda body: F.size(F.split(F.coalesce(body, F.lit("")), "\n")))
+    rows = inputs.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    table = FeatureTable.create(spark, new_dir(spark, "upstream"), rows, key="doc_id")
+    table = table.backfill_all([first_letters(1), marked, longer, lines])
     before = table.features
     table = table.backfill_all([first_letters(3), marked, longer])
-    kept = all(before[n] == table.features[n] for n in ("question_words", "question_type"))
-    found = table.select("id", "start", "marked", "longer", "question_words")
-    return found.withColumn("branch_kept", F.lit(kept and not table.stale))
+    kept = before["lines"] == table.features["lines"] and not table.stale
+    return table.select("doc_id", "start", "marked", "longer", "lines").withColumn("branch_kept", F.lit(kept))
 
 
 @query
@@ -265,6 +267,19 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(kept).select(hashing.hash_hex(F.col("dhash")).alias("dhash"))
 
 
+@query
+def stream_near_dedup(spark, folder):
+    """Three landings; what is kept equals the batch answer for the order of arrival."""
+    hashed = inputs.bumped_rasters(spark, folder).select(
+        "vec_id", F.when(F.col("vec_id") % 29 != 0, hashing.difference_hash(F.col("px"))).alias("dhash"))
+    landing, place, progress = (new_dir(spark, n) for n in ("landing", "near", "progress"))
+    for part in range(3):
+        hashed.where(F.col("vec_id") % 3 == part).write.mode("append").parquet(landing)
+        first_of_near_hashes(spark, landing, hashed.schema, "vec_id", place, progress).awaitTermination()
+    kept = spark.read.schema(hashed.schema).parquet(f"{place}/kept")
+    return kept.select("vec_id", hashing.hash_hex(F.col("dhash")).alias("dhash"))
+
+
 @query
 def stream_dedup_watermark(spark, folder):
     """Repeats of a user's event type within the delay; the events come in one batch, so that what is
@@ -414,6 +429,26 @@ def median_profile(spark, folder):
     return profile.int_medians(sized, ["ocr_n"]).unionByName(profile.int_medians(worded, ["answer_words"]))
 
 
+@query
+def profile_of_growing_table(spark, folder):
+    """Counts, a median and a histogram from summaries of parts; an append adds the summary of one part."""
+    rows = inputs.table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    table = FeatureTable.create(spark, new_dir(spark, "profiled"), rows.where("doc_id % 3 <> 0"), key="doc_id")
+    Profile(table, ["lang", "n_chars"]).refresh()
+    known = Profile(table.append(rows.where("doc_id % 3 = 0")), ["lang", "n_chars"])
+    added = len(known.refresh())
+    told = [
+        known.value_counts("lang").select(F.lit("lang").alias("statistic"), F.col("value").alias("item"), F.col("count").alias("n")),
+        known.clipped_histogram("n_chars", 500, 12).select(F.lit("bin"), F.col("bin").cast("string"), "count"),
+        known.int_median("n_chars").select(F.lit("median"), "column", "median"),
+        known.distinct_values("n_chars").select(F.lit("distinct"), F.lit("n_chars"), "distinct_values"),
+    ]
+    found = told[0]
+    for more in told[1:]:
+        found = found.union(more)
+    return found.withColumn("parts_added", F.lit(added))
+
+
 @query
 def top_classes(spark, folder):
     return profile.top_items(inputs.classes(spark, folder), "image_classes", 8)
@@ -630,6 +665,14 @@ def holdout_split(spark, folder):
     return curate.holdout_split(inputs.table(spark, folder, "documents"), "doc_id", 400, "split").select("doc_id", "split")
 
 
+@query
+def holdout_by_group(spark, folder):
+    """No two pictures within 3 bits on different sides; the crossing pairs are counted to show it."""
+    hashed = inputs.bumped_rasters(spark, folder).select(
+        "vec_id", F.when(F.col("vec_id") % 29 != 0, hashing.difference_hash(F.col("px"))).alias("dhash"))
+    return curate.holdout_by_group(hashed, "vec_id", 400, seed="split").select("vec_id", "split")
+
+
 @query
 def epoch_permutation(spark, folder):
     return batches.epoch_order(inputs.table(spark, folder, "documents"), "doc_id", 3).select("epoch", "doc_id", "rank")
@@ -684,6 +727,15 @@ def unshuffled_batches(spark, folder):
     return _shown_batches(batches.cached_batches(table, 8, shuffle=False, tokens=8, width=8, text_tokens=16))
 
 
+@query
+def windowed_epoch(spark, folder):
+    """Two epochs, bucket by bucket; a loose increment has buckets of its own."""
+    rows = inputs.training_rows(spark, folder)
+    table = FeatureTable.create(spark, new_dir(spark, "train"), rows.where("id % 5 <> 0"), buckets=6)
+    table = table.append(rows.where("id % 5 = 0"))
+    return _shown_batches(batches.windowed_batches(table, 4, seed=7, epochs=2, tokens=8, width=8, text_tokens=16))
+
+
 def _shown_batches(made):
     listed = F.col("samples")
     corner = lambda s: F.get(F.get(s["vision"], 1), 2).cast("double")

@@ -43,6 +43,10 @@ class Folder:
         names = [status.getPath().getName() for status in self._fs.listStatus(self._path(*parts))]
         return sorted(n for n in names if n[0] not in "._")
 
+    def sizes(self, *parts: str) -> dict[str, int]:
+        """Bytes of each file in a folder."""
+        return {status.getPath().getName(): status.getLen() for status in self._fs.listStatus(self._path(*parts))}
+
     def read(self, *parts: str) -> str:
         stream = self._fs.open(self._path(*parts))
         try:
