@@ -20,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from accrete.llm.chunk_ids import column_encoder
 from accrete.llm.frames import slices
-from accrete.llm.tokenizing import REMEMBERED, chunk_encoder
+from accrete.llm.tokenizing import REMEMBERED
 from accrete.session import staged
 
 # Rows of the corpus behind each bucket that a length is spread over, and the fewest buckets.
@@ -152,11 +153,11 @@ def cut_documents(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(path, True, remembered)
+        encoder = column_encoder(path, True, remembered)
         for batch in slices(batches, "text"):
             columns: list[list] = [[], [], [], [], [], []]
-            ids_of = encoder.ids(batch.column("text").to_pylist())
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), ids_of):
+            whole, ends = encoder.encode(batch.column("text"))
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), np.split(whole, ends[:-1])):
                 ids = np.empty(len(found) + 1, "<u4")
                 ids[:-1], ids[-1] = found, end_id
                 low, piece = 0, 0

@@ -14,8 +14,8 @@ import pyarrow.compute
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 # Bytes digested at once; a term longer than that widens its window.
 WINDOW = 1 << 21
 
@@ -61,6 +61,22 @@ class _Powers:
 _powers = _Powers()
 
 
+def digests(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit digests of the runs raw[start : stop], which are ascending and not empty."""
+    found, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):
+        low = start[at]
+        upto = max(int(np.searchsorted(stop, low + WINDOW, "right")), at + 1)
+        up, down = _powers.upto(int(stop[upto - 1] - low))
+        piece = raw[low : stop[upto - 1]]
+        total = np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[: len(piece)])
+        starts, stops = start[at:upto] - low, stop[at:upto] - low
+        sums = total[stops - 1] - np.where(starts > 0, total[starts - 1], np.uint64(0))
+        found[at:upto] = mixed(sums * down[starts])
+        at = upto
+    return found
+
+
 class Terms:
     """`raw`: the lower-cased bytes of all texts; of the terms in order: `start` and `stop` in `raw`,
     `doc`, the place of the text in the column, and `digest`. A null text has no terms."""
@@ -72,7 +88,7 @@ class Terms:
         kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
         ends = np.frombuffer(places, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        self.raw = _LOWER[whole[ends[0] : ends[-1]]] if len(ends) else np.zeros(0, np.uint8)
+        self.raw = LOWER[whole[ends[0] : ends[-1]]] if len(ends) else np.zeros(0, np.uint8)
         self.docs, begins = len(texts), ends[:-1] - ends[0]
         held = inside[self.raw]
         fresh = np.zeros(len(held) + 1, bool)  # a text begins here
@@ -84,21 +100,7 @@ class Terms:
         self.stop = np.flatnonzero(held & (~after | fresh[1:])) + 1
         # Of texts that begin at one place only the last one has bytes.
         self.doc = np.searchsorted(begins, self.start, "right") - 1
-        self.digest = self._digests()
-
-    def _digests(self) -> np.ndarray:
-        found, at = np.empty(len(self.start), np.uint64), 0
-        while at < len(self.start):
-            low = self.start[at]
-            upto = max(int(np.searchsorted(self.stop, low + WINDOW, "right")), at + 1)
-            up, down = _powers.upto(int(self.stop[upto - 1] - low))
-            piece = self.raw[low : self.stop[upto - 1]]
-            total = np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[: len(piece)])
-            starts, stops = self.start[at:upto] - low, self.stop[at:upto] - low
-            sums = total[stops - 1] - np.where(starts > 0, total[starts - 1], np.uint64(0))
-            found[at:upto] = mixed(sums * down[starts])
-            at = upto
-        return found
+        self.digest = digests(self.raw, self.start, self.stop)
 
     def strings(self, which: np.ndarray) -> pa.Array:
         """The terms of these places as an Arrow column."""
@@ -115,6 +117,19 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def same_bytes(
+    a: np.ndarray, a_at: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_size: np.ndarray,
+) -> np.ndarray:
+    """Whether the runs a[a_at : a_at + a_size] and b[b_at : b_at + b_size] agree; none is empty."""
+    same = a_size == b_size
+    like = np.flatnonzero(same)
+    if len(like):
+        sizes = a_size[like]
+        differ = a[spread(a_at[like], sizes)] != b[spread(b_at[like], sizes)]
+        same[like] = ~np.logical_or.reduceat(differ, np.cumsum(sizes) - sizes)
+    return same
+
+
 def counted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Sums of `values` over equal `keys` (columns of one length), in key order."""
     if not len(keys[0]):

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from accrete.llm.chunk_ids import column_encoder
 from accrete.llm.frames import slices
 from accrete.llm.tokenizing import chunk_encoder, tokenizer
 from accrete.session import new_dir, staged
@@ -70,11 +71,14 @@ def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit) of each document, `end_id` last."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(path, False)
-        end = np.array([end_id], encoder.dtype).tobytes()
+        encoder = column_encoder(path, False)
         for batch in slices(batches, "text"):
-            found = [b"".join([*ids, end]) for _, _, ids in encoder.pieces(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"])
+            ids, ends = encoder.encode(batch.column("text"))
+            ids = np.insert(ids, ends, end_id)
+            edges = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * ids.itemsize
+            found = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(ends), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(ids.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found.cast(pa.binary())], ["doc_id", "ids"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(
         encode, "doc_id long, ids binary")
@@ -89,8 +93,10 @@ def id_ranks(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=vocabulary)
+            _, places, data = batch.column(0).buffers()
+            edges = np.frombuffer(places, np.int32)[batch.column(0).offset :][: batch.num_rows + 1]
+            ids = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]].view(dtype) if batch.num_rows else np.zeros(0, dtype)
+            counts += np.bincount(ids, minlength=vocabulary)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
 

@@ -27,7 +27,7 @@ GROUP_CHARS = 1_000_000
 _UNSURE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 # A plain text has no two white-space characters in a row.
 _NOT_PLAIN = re.compile(r"\s\s")
-_TAILS = frozenset(".,;:!?")
+TAILS = frozenset(".,;:!?")
 _BEFORE_SPACE = re.compile(r"\s*\S+|\s+")
 
 
@@ -61,9 +61,10 @@ class ChunkEncoder:
         mark = "\t" if spaced else "|"
         ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
         # A mark of several ids, or none, is found nowhere: all chunks are then encoded alone.
-        self._mark = (mark, ids[0] if len(ids) == 1 else -1)
+        self.mark = (mark, ids[0] if len(ids) == 1 else -1)
         self._tails: dict[str, bytes] = {}
-        self._learn_alone(self._tails, _TAILS)
+        self._learn_alone(self._tails, TAILS)
+        self._endings: dict[str, bool] = {}
         self._after_space: dict[str, bytes] = {}
         self._whole: dict[str, bytes] = {}
 
@@ -86,7 +87,7 @@ class ChunkEncoder:
     def _learn(self, known: dict[str, bytes], need: set[str], before: str) -> None:
         """Encode chunks many at a time, a mark between them that is one id of its own; those it would
         not keep apart are encoded alone."""
-        mark, mark_id = self._mark
+        mark, mark_id = self.mark
         alone = [n for n in need if not n or mark in n or n[-1].isspace()]
         together = list(need.difference(alone))
         groups = [together[i : i + JOINED] for i in range(0, len(together), JOINED)]
@@ -129,8 +130,8 @@ class ChunkEncoder:
         after = after.difference(self._after_space)
         whole = whole.difference(self._whole)
         if after:
-            # A mark after a letter is a token of its own: such a chunk is a known one and the mark.
-            tailed = [c for c in after if c[-1:] in _TAILS and c[-2:-1] < "\u0250" and c[-2:-1].isalpha()]
+            # A mark after most letters is a token of its own: such a chunk is a known one and the mark.
+            tailed = [c for c in after if c[-1:] in TAILS and c[-2:-1] < "\u0250" and c[-2:-1].isalpha() and self.apart(c[-2:])]
             after.difference_update(tailed)
             after.update(c[:-1] for c in tailed)
             after = after.difference(self._after_space)
@@ -140,6 +141,15 @@ class ChunkEncoder:
         if whole:
             self._learn_alone(self._whole, whole)
 
+    def apart(self, ending: str) -> bool:
+        """Whether the library keeps a mark apart from the letter before it; asked once per ending. Some
+        letters become a letter and a sign in lower case, and the mark joins the sign."""
+        if ending not in self._endings:
+            whole, word = (self.tokenizer.encode("a" + t, add_special_tokens=False).ids for t in (ending, ending[:-1]))
+            tail = np.frombuffer(self._tails[ending[-1]], self.dtype).tolist()
+            self._endings[ending] = whole == word + tail
+        return self._endings[ending]
+
     def pieces(self, texts: Iterable[str | None]) -> Iterator[tuple[bool, list[str], list[bytes]]]:
         """Per text whether it is plain, its chunks and their ids; a null text is empty."""
         group, size = [], 0
@@ -177,5 +187,8 @@ def chunk_encoder(path: str, spaced: bool, remembered: int = REMEMBERED) -> Chun
 def forget_chunks() -> None:
     """Drop what the worker process remembers. Spark reuses workers; operators that do not tokenise
     call this, so that their memory does not add to that of an earlier one."""
+    from accrete.llm.chunk_ids import column_encoder
+
+    column_encoder.cache_clear()
     chunk_encoder.cache_clear()
     tokenizer.cache_clear()
