@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from accrete.llm.frames import copy_number, identified, same_row, slices, unwrapped
+from accrete.llm.frames import copy_number, identified, slices, unwrapped
 from accrete.llm.tokenizing import forget_chunks
 from accrete.session import staged
 
@@ -114,7 +114,12 @@ def span_digests(parts: list[str], run: int, least_words: int) -> tuple[list[int
 
 def _identified(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.withColumn("content", F.xxhash64("text"))
+    return rows.withColumn("content", _content(F.xxhash64("text")))
+
+
+def _content(key: Column) -> Column:
+    """32 bits of the hash of a text: they tell rows of one doc_id apart, and spans stay narrow."""
+    return F.shiftright(key, 32).cast("int")
 
 
 def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> DataFrame:
@@ -132,7 +137,7 @@ def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> Data
             digests = np.frombuffer(b"".join(held[4]), ">u8").reshape(-1, 2).astype(np.uint64)
             null = np.array([d is None for d in held[0]])
             doc = np.array([d or 0 for d in held[0]], np.int64)
-            content, start, stop = np.array(held[1], np.int64), np.array(held[2], np.int32), np.array(held[3], np.int32)
+            content, start, stop = np.array(held[1], np.int32), np.array(held[2], np.int32), np.array(held[3], np.int32)
             order = np.lexsort((start, content, doc, ~null, digests[:, 1], digests[:, 0]))
             digests, null, doc, content, start, stop = (c[order] for c in (digests, null, doc, content, start, stop))
             new = np.ones(len(doc), bool)
@@ -142,7 +147,7 @@ def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> Data
             again = ~own
             keep = new | again
             return pa.RecordBatch.from_arrays(
-                [pa.array(digests[keep, 0].view(np.int64)), pa.array(digests[keep, 1].view(np.int64)),
+                [pa.array(digests[keep, 0].view(np.int64)), pa.array((digests[keep, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                  pa.array(doc[keep], mask=null[keep]), pa.array(content[keep]), pa.array(start[keep]), pa.array(stop[keep]), pa.array(again[keep])],
                 ["a", "b", "doc_id", "content", "start", "stop", "again"])
 
@@ -160,7 +165,8 @@ def repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12) -> Data
         if held[0]:
             yield settled()
 
-    schema = "a long, b long, doc_id long, content long, start int, stop int, again boolean"
+    # 96 bits of a digest: among 10^13 spans two different ones share them with a chance below one in a thousand.
+    schema = "a long, b int, doc_id long, content int, start int, stop int, again boolean"
     rows = staged(_identified(docs).where("text is not null").select("doc_id", "content", "text").mapInArrow(spans, schema), "spans")
     mine = F.struct("doc_id", "content", "start")
     leads = rows.where("not again").withColumn("_first", F.min(mine).over(Window.partitionBy("a", "b")))
@@ -180,7 +186,8 @@ def without_repeated_spans(docs: DataFrame, run: int = 2, least_words: int = 12)
     repeated = staged(repeated_spans(kept, run, least_words), "repeated")
     rows = identified(kept)
     copy = copy_number(rows)
-    joined = rows.join(repeated.hint("shuffle_hash"), same_row(repeated), "left").select("row", "id", "key", "spans")
+    mine = F.col("id").eqNullSafe(repeated["doc_id"]) & (_content(F.col("key")) == repeated["content"])
+    joined = rows.join(repeated.hint("shuffle_hash"), mine, "left").select("row", "id", "key", "spans")
     joined = joined.withColumn("copy", copy).select("row", F.col("row.text").cast("string").alias("text"), "spans", "copy")
     schema = StructType([*joined.select("row").schema.fields, *StructType.fromDDL("text string, n_sentences long, n_removed long").fields])
 
