@@ -25,8 +25,10 @@ from accrete.session import BROADCAST_BYTES, staged
 
 # Shorter lines are repeats only if equal: one edit may turn a short line into any other.
 LEAST_CHARACTERS = 20
-# Characters of a block, and the most blocks of a line.
+# Characters of a block, and blocks a line or a long block is cut into at once.
 BLOCK_CHARACTERS = 16
+# Characters of the stretches in which long lines are compared.
+STRETCH = 1024
 MOST_BLOCKS = 64
 
 
@@ -63,20 +65,41 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
 
 
+def _cut(rows: DataFrame, whole: str, context: Column | None) -> DataFrame:
+    """One row per block of `whole`, whose length is `base`, or one more if it is the `longer` one of a pair:
+    `context` hashes all but the block, and what it was before; `middle` is the block, one character longer
+    if `whole` is."""
+    blocks = F.least(F.greatest(F.floor(F.col("base") / BLOCK_CHARACTERS), F.lit(1)), F.lit(MOST_BLOCKS)).cast("int")
+    spread = rows.withColumn("_blocks", blocks).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    spread = spread.withColumn("_low", F.floor(F.col("block") * F.col("base") / F.col("_blocks")).cast("int"))
+    spread = spread.withColumn("_high", F.floor((F.col("block") + 1) * F.col("base") / F.col("_blocks")).cast("int"))
+    around = ["base", "block", F.left(whole, F.col("_low")), F.right(whole, F.col("base") - F.col("_high"))]
+    return spread.select(
+        "key", "first", "longer", F.xxhash64(*([] if context is None else [context]), *around).alias("context"),
+        F.substring(F.col(whole), F.col("_low") + 1, F.col("_high") - F.col("_low") + F.col("longer")).alias("middle"))
+
+
 def _contexts(lines: DataFrame) -> DataFrame:
-    """One row per line, block and base length n (the shorter line's): `context` hashes all but the
-    block, `middle` is the block, one character longer if the line is the longer one."""
+    """One row per line, length of the shorter line of a pair and block, see `_cut`."""
     size = F.length("line")
     spread = lines.withColumn("base", F.explode(F.array(size, size - 1)))
-    blocks = F.least(F.greatest(F.floor(F.col("base") / BLOCK_CHARACTERS), F.lit(1)), F.lit(MOST_BLOCKS)).cast("int")
-    spread = spread.withColumn("_blocks", blocks).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    low = F.floor(F.col("block") * F.col("base") / F.col("_blocks")).cast("int")
-    high = F.floor((F.col("block") + 1) * F.col("base") / F.col("_blocks")).cast("int")
-    longer = F.length("line") - F.col("base")
-    return spread.withColumn("_low", low).withColumn("_high", high).select(
-        "key", "first", "line", longer.alias("longer"),
-        F.xxhash64("base", "block", F.left("line", F.col("_low")), F.right("line", F.col("base") - F.col("_high"))).alias("context"),
-        F.substring(F.col("line"), F.col("_low") + 1, F.col("_high") - F.col("_low") + longer).alias("middle"))
+    return _cut(spread.withColumn("longer", F.length("line") - F.col("base")), "line", None)
+
+
+def _agreeing(contexts: DataFrame) -> DataFrame:
+    """The contexts that at least two rows share, in blocks of few characters. The blocks of a long line are
+    long themselves: those with a shared context are cut again, and only they, until all are short. So what a
+    line costs follows its length, and an edit is found however long the line is."""
+    found, short = [], F.length("middle") <= 2 * BLOCK_CHARACTERS
+    while True:
+        agreeing = staged(_shared(contexts.select("context"), "context"), "contexts")
+        met = contexts.join(agreeing.select("context"), "context")
+        found.append(met.where(short))
+        longer = staged(met.where(~short), "long-blocks")
+        if longer.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        base = F.length("middle") - F.col("longer")
+        contexts = _cut(longer.withColumn("base", base).withColumn("_before", F.col("context")), "middle", F.col("_before"))
 
 
 def _variants(contexts: DataFrame) -> DataFrame:
@@ -153,12 +176,36 @@ def _near(docs: DataFrame, different: DataFrame, least_characters: int) -> DataF
     lines = staged(text.groupBy("key").agg(
         F.min(F.struct("doc_id", "content", "no")).alias("first"), F.min("line").alias("line")), "texts")
     contexts = _contexts(lines)
-    agreeing = staged(_shared(contexts.select("context"), "context"), "contexts")
-    met = contexts.join(agreeing.select("context"), "context")
-    found = staged(_witnesses(_variants(met)), "witnesses")
+    found = staged(_witnesses(_variants(_agreeing(contexts))), "witnesses")
     other = lines.select(F.col("key").alias("_other"), F.col("line").alias("_line"))
     verified = lines.select("key", "line").join(found, "key").join(other, F.col("witness.key") == F.col("_other"))
-    return verified.where(F.levenshtein("line", "_line", 1) >= 0).select("key").distinct()
+    return _one_edit(verified, "line", "_line").select("key").distinct()
+
+
+def _without_start(pairs: DataFrame, a: str, b: str, turned: bool) -> DataFrame:
+    """Pairs less the stretches of STRETCH characters that both begin with, read from the end if `turned`."""
+    if turned:
+        pairs = pairs.withColumns({a: F.reverse(a), b: F.reverse(b)})
+    cut = [F.regexp_extract_all(F.col(c), F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0)) for c in (a, b)]
+    differ = F.array_position(F.zip_with(*cut, lambda x, y: ~x.eqNullSafe(y)), True)
+    pairs = pairs.withColumn("_same", ((differ - 1) * STRETCH).cast("int"))
+    return pairs.withColumns({c: F.substring(F.col(c), F.col("_same") + 1, F.length(c)) for c in (a, b)})
+
+
+def _one_edit(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs of different lines within one edit. What long lines begin and end with alike is taken off
+    first: what an edit leaves of them is a few stretches, and the edit distance of long lines takes time by
+    the square of their length."""
+    size = F.greatest(F.length(a), F.length(b))
+    near, short = F.levenshtein(a, b, 1) >= 0, 4 * STRETCH
+    # An or of both would let the distance of long lines be taken.
+    found = pairs.where(F.when(size <= short, near).otherwise(F.lit(False)))
+    long = staged(pairs.where(size > short), "long-pairs")
+    if long.isEmpty():
+        return found
+    left = _without_start(_without_start(long, a, b, False), a, b, True)
+    return found.select("key").unionByName(
+        staged(left, "left").where(F.when(size <= short, near).otherwise(F.lit(False))).select("key"))
 
 
 def without_repeated_lines(docs: DataFrame, max_edits: int = 1, least_characters: int = LEAST_CHARACTERS) -> DataFrame:
