@@ -10,9 +10,10 @@ P_shared the continuation counts of both classes pooled. Every counted word has
 rare: log P_c is interpolated with log P_shared, which cancels between the classes, by the weight
 G / (G + EVIDENCE), where G is the statistic of the word's class counts, so that what chance makes
 of common words does not add up. A word that was not counted says nothing. The words of most documents are looked up where the
-text is read; those that do not fit there are joined with their odds. A text's score is
-the difference of its log-likelihoods per word, put on a 0 to 1 scale by a logistic curve fitted
-on labelled rows the counts have not seen.
+text is read; those that do not fit there are joined with their odds. A text is as toxic as its most
+toxic expression: the difference of the log-likelihoods per word, taken over each run of EXPRESSION
+neighbouring counted words, the greatest of them put on a 0 to 1 scale by a logistic curve fitted on
+labelled rows the counts have not seen. So a long ordinary text around it does not hide an expression.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accrete.llm.frames import slices
+from accrete.llm.terms import counted, found_in
 from accrete.llm.tokenizing import forget_chunks
 from accrete.session import BROADCAST_BYTES, staged
 
 DISCOUNT = 0.75
+# Neighbouring counted words that are compared together: toxic words thin out in a longer stretch.
+EXPRESSION = 2
 # G statistic at which a word's own odds weigh half.
 EVIDENCE = 8.0
 # Words looked up where the text is read, at most, of 16 bytes each.
@@ -86,10 +90,12 @@ class ToxicityModel:
     rest: DataFrame | None = None  # (word, odds) of the words that are not held
 
     def measured(self, docs: DataFrame) -> DataFrame:
-        """(row, x): each row of `docs` as a struct, and the log-likelihood difference per word of its
-        `text`; a text without words has 0."""
-        keys, odds, joined = self.keys, self.odds, self.rest is not None
+        """(row, x): each row of `docs` as a struct, and the greatest log-likelihood difference per word that
+        an expression of its `text` has (see `greatest`)."""
+        keys, odds = self.keys, self.odds
         rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+        if self.rest is not None:
+            rows = self._with_rest(rows)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forget_chunks()
@@ -97,27 +103,62 @@ class ToxicityModel:
             for batch in slices(batches, "text", HASHED_BYTES):
                 words, counts = hasher.words(batch.column("text").to_pylist())
                 text_of = np.repeat(np.arange(len(counts)), counts)
-                distinct, inverse = np.unique(words, return_inverse=True)
-                at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
-                known = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
-                value = np.where(known, odds[at], 0.0) if len(keys) else np.zeros(len(distinct))
-                per = np.maximum(counts, 1)
-                columns = [batch.column("row"), pa.array(np.bincount(text_of, value[inverse], minlength=len(counts)) / per)]
-                if joined:
-                    other = np.flatnonzero(~known[inverse])
-                    ends = np.searchsorted(text_of[other], np.arange(len(counts) + 1))
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[other].view(np.int64))))
-                    columns.append(pa.array(1 / per))
-                yield pa.RecordBatch.from_arrays(columns, ["row", "x", "other", "share"][: len(columns)])
-
-        extra = "x double, other array<long>, share double" if joined else "x double"
-        found = rows.mapInArrow(run, StructType([*rows.select("row").schema.fields, *StructType.fromDDL(extra).fields]))
-        if not joined:
-            return found
-        found = staged(found.withColumn("at", F.monotonically_increasing_id()), "measured")
-        words = found.select("at", "share", F.explode("other").alias("word"))
-        more = words.join(self.rest, "word").groupBy("at").agg(F.sum(F.col("odds") * F.col("share")).alias("more"))
-        return found.join(more, "at", "left").select("row", (F.col("x") + F.coalesce("more", F.lit(0.0))).alias("x"))
+                known, at = found_in(keys, words)
+                value = np.where(known, odds[at], 0.0) if len(keys) else np.zeros(len(words))
+                if "more" in batch.schema.names:
+                    # Each text has its own list of further words: they are told apart by text and word.
+                    more = batch.column("more")
+                    own = np.repeat(np.arange(len(counts)), np.nan_to_num(np.asarray(more.value_lengths().fill_null(0))))
+                    found = more.drop_null().flatten()
+                    order = np.lexsort((found.field("word").to_numpy().view(np.uint64), own))
+                    pairs = np.rec.fromarrays([own[order], found.field("word").to_numpy().view(np.uint64)[order]])
+                    asked = np.rec.fromarrays([text_of, words], dtype=pairs.dtype)
+                    place = np.minimum(np.searchsorted(pairs, asked), max(len(pairs) - 1, 0))
+                    if len(pairs):
+                        also = pairs[place] == asked
+                        value[also] = found.field("odds").to_numpy()[order][place[also]]
+                        known = known | also
+                x = greatest(value[known], text_of[known], len(counts))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(x)], ["row", "x"])
+
+        return rows.mapInArrow(run, StructType([*rows.select("row").schema.fields, *StructType.fromDDL("x double").fields]))
+
+    def _with_rest(self, rows: DataFrame) -> DataFrame:
+        """Rows with the odds of the words of each that are not held; a list has a text's own words at most."""
+        keys = self.keys
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget_chunks()
+            hasher = WordHasher()
+            for batch in slices(batches, "text", HASHED_BYTES):
+                words, counts = hasher.words(batch.column("text").to_pylist())
+                (text, word), _ = counted([np.repeat(np.arange(len(counts)), counts), words], [])
+                out = ~found_in(keys, word)[0]
+                text, word = text[out], word[out]
+                ends = pa.array(np.searchsorted(text, np.arange(len(counts) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row"), batch.column("text"), pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64)))], ["row", "text", "other"])
+
+        schema = StructType([*rows.schema.fields, *StructType.fromDDL("other array<long>").fields])
+        found = staged(rows.mapInArrow(ask, schema).withColumn("at", F.monotonically_increasing_id()), "asked")
+        more = found.select("at", F.explode("other").alias("word")).join(self.rest, "word").groupBy("at").agg(
+            F.collect_list(F.struct("word", "odds")).alias("more"))
+        return found.drop("other").join(more, "at", "left").drop("at")
+
+
+def greatest(values: np.ndarray, text_of: np.ndarray, texts: int) -> np.ndarray:
+    """The greatest mean of EXPRESSION neighbouring values of each text; the mean of all where there are
+    fewer, 0 where there is none. `text_of` ascends."""
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    sizes = np.bincount(text_of, minlength=texts)
+    ends = np.cumsum(sizes)
+    found = np.where(sizes, (total[ends] - total[ends - sizes]) / np.maximum(sizes, 1), 0.0)
+    last = len(values) - EXPRESSION + 1
+    if last > 0:
+        start = np.flatnonzero(text_of[:last] == text_of[EXPRESSION - 1 :])
+        found[sizes >= EXPRESSION] = -np.inf
+        np.maximum.at(found, text_of[start], (total[start + EXPRESSION] - total[start]) / EXPRESSION)
+    return found
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
@@ -217,8 +258,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def learn_toxicity(counted: DataFrame, calibration: DataFrame) -> ToxicityModel:
-    """Learn counts from all rows of `counted` and the curve from at most CALIBRATION_ROWS rows of
-    `calibration` (both doc_id, text, label). The model has the odds of every word
+    """Learn counts from all rows of `counted` and the curve from those of `calibration` (both doc_id,
+    text, label), which `split_calibration` keeps to CALIBRATION_ROWS. The model has the odds of every word
     counted. With one class only, or no rows, every score is the share of toxic rows."""
     sizes = counted.groupBy("label").count().collect()
     n = {r["label"]: r["count"] for r in sizes}
@@ -230,8 +271,8 @@ def learn_toxicity(counted: DataFrame, calibration: DataFrame) -> ToxicityModel:
     order = np.argsort(keys)
     model = ToxicityModel(keys[order], found["odds"].to_numpy().astype(float)[order], 1.0, 0.0, rest)
     del found
-    sample = calibration.orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
-    seen = model.measured(sample.select("text", "label")).select("x", "row.label").toPandas()
+    # CALIBRATION_ROWS at most, by `split_calibration`.
+    seen = model.measured(calibration.select("text", "label")).select("x", "row.label").toPandas()
     x, y = seen["x"].to_numpy(float), seen["label"].to_numpy(float)
     if len(set(y)) < 2 or not len(keys) and rest is None:
         rate = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
@@ -242,7 +283,7 @@ def learn_toxicity(counted: DataFrame, calibration: DataFrame) -> ToxicityModel:
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """All columns of `docs` and score double (0 to 1) and predicted int (1 if score >= 0.5).
 
-    A null text, or one without words, has a log-likelihood difference of 0 and the score that goes
+    A null text, or one without counted words, has a log-likelihood difference of 0 and the score that goes
     with it. Texts are scored whole, row by row, whatever their ids; columns of `docs` named score
     or predicted are replaced.
     """
