@@ -250,3 +250,128 @@ def test_shares_are_exact():
 @pytest.mark.parametrize("name", ["op12_ranked_search", "op13_source_audit"])
 def test_new_query_equals_sql(spark, name):
     assert check.compare(spark, check.engine(FOLDER), FOLDER, name) is None
+
+
+# ---- token ids of whole columns --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_column_ids_are_the_librarys(name, spaced):
+    """Random texts of letters that change under lower case, marks, all kinds of white space and special
+    strings; both ways to the ids give what the library gives."""
+    import pyarrow as pa
+
+    from accrete.llm.chunk_ids import ColumnEncoder
+    from accrete.llm.queries import vocabulary
+    from accrete.llm.tokenizing import chunk_encoder, tokenizer
+
+    letters = [*"aAbBeinI Iiz.,;:!?'  \n\n\t|<>0159-", "<|endoftext|>", "İ", "ﬁ", "ẞ", "\xdf", "\xe9", "\xc9", "̇",
+               "\xa0", " ", "﻿", "​", "\x85", "\x1c", "日", "本", "Σ", "ς", "—", "’", "…",
+               "\U0001f600", "́", "ǰ", "ŉ", "ΐ"]
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(6000)]
+    texts += ["BİRİNCİ.", "", None, "x" * 5000, "a. b, c! d.", "﻿" + "ab. " * 2000, *ODD]
+    encoder = chunk_encoder(vocabulary(name), spaced)
+    column, found = ColumnEncoder(encoder), []
+    column.encoder.remembered, kept = 3000, column.encoder.remembered  # the memory is emptied now and then
+    for i in range(0, len(texts), 500):
+        ids, ends = column.encode(pa.array(texts[i : i + 500], pa.string()))
+        found += np.split(ids, ends[:-1])
+    encoder.remembered = kept
+    want = [e.ids for e in tokenizer(vocabulary(name)).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [f.tolist() for f in found] == want
+    assert [f.tolist() for f in encoder.ids(texts)] == want
+    assert [len(x) for x in column.encode(pa.array([], pa.string()))] == [0, 0]
+    sliced = pa.array(texts[:40], pa.large_string()).slice(7, 20)
+    ids, ends = column.encode(sliced)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == want[7:27]
+
+
+# ---- toxicity --------------------------------------------------------------------------------------
+
+
+def test_toxic_rows_of_the_fold_held_out_are_found(spark):
+    from accrete.llm.queries import op10_toxicity
+
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = op10_toxicity(spark, folder).where("held_out").join(labels, "doc_id")
+    hits, toxic, said = rows.agg(F.count_if(F.expr("predicted = 1 and toxic = 1")), F.sum("toxic"), F.sum("predicted")).first()
+    assert toxic > 50 and hits / toxic >= 0.85 and hits / said >= 0.9
+
+
+def test_greatest_expression():
+    from accrete.llm.toxicity import greatest
+
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(0, 6, 40)
+    values, of = rng.normal(size=sizes.sum()), np.repeat(np.arange(40), sizes)
+    want = []
+    for i in range(40):
+        own = values[of == i]
+        want.append(max((own[j : j + 2].mean() for j in range(len(own) - 1)), default=own.mean() if len(own) else 0.0))
+    assert np.allclose(greatest(values, of, 40), want)
+    assert greatest(values[:0], of[:0], 3).tolist() == [0.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("held", [1 << 20, 40])
+def test_toxicity_equals_brute_force(spark, monkeypatch, held):
+    """Odds and scores against plain dictionaries, words held or joined."""
+    from accrete.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "HELD_WORDS", held)
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join([*rng.choice([f"w{j}" for j in range(120)], rng.integers(0, 30)), *(["bad", "Worse!"] if i % 4 == 0 else [])]), int(i % 4 == 0))
+            for i in range(400)] + [(400, None, 0), (401, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.learn_toxicity(df.where("doc_id % 2 = 0"), df.where("doc_id % 2 = 1"))
+    words = lambda t: re.findall("[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+    n, docs = [Counter(), Counter()], [0, 0]
+    for i, t, y in rows:
+        if i % 2 == 0:
+            n[y].update(set(words(t)))
+            docs[y] += 1
+    total, kinds = [sum(c.values()) for c in n], [len(c) for c in n]
+    odds = {}
+    for w in n[0] | n[1]:
+        both = n[0][w] + n[1][w]
+        g = max(2 * sum(n[c][w] * math.log(n[c][w] / (both * docs[c] / sum(docs))) for c in (0, 1) if n[c][w]), 0.0)
+        p = [(max(n[c][w] - 0.75, 0) + 0.75 * kinds[c] * both / sum(total)) / total[c] for c in (0, 1)]
+        odds[w] = g / (g + 8) * math.log(p[1] / p[0])
+    for r in toxicity.score_toxicity(df, model).collect():
+        own = [odds[w] for w in words(r["text"]) if w in odds]
+        x = max(((a + b) / 2 for a, b in zip(own, own[1:])), default=own[0] if own else 0.0)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(min(model.slope * (x - model.middle), 30), -30))), rel=1e-6)
+
+
+# ---- long lines ------------------------------------------------------------------------------------
+
+
+def test_long_lines_are_compared_in_the_time_of_short_ones(spark, monkeypatch):
+    """Lines of a million characters, and of all lengths around where blocks are cut again."""
+    import time
+
+    from accrete.llm import line_dedup
+
+    rng = np.random.default_rng(17)
+    letters = np.array(list("abcdefghij klmnop"))
+
+    def edited(line, kind):
+        at = int(rng.integers(1, len(line) - 1))
+        return {"=": line, "-": line[:at] + line[at + 1 :], "+": line[:at] + "Z" + line[at:], "x": line[:at] + "Z" + line[at + 1 :],
+                "2": line[:at // 2] + "Z" + line[at // 2 + 1 : at] + "Y" + line[at + 1 :] if at > 4 else "Q" * 30}[kind]
+
+    lines, repeats = [], []
+    for size in (30, 1000, 1023, 1024, 1025, 1030, 2000, 5000, 66_000):
+        for kind in "=-+x2":
+            line = "A" + "".join(rng.choice(letters, size)) + "B"
+            lines += [line, edited(line, kind)]
+            repeats += [False, kind != "2"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert [found[i] == "" for i in range(len(lines))] == repeats
+    giant = "".join(rng.choice(letters, 1_000_000))
+    begun = time.time()
+    pair = spark.createDataFrame([(1, "A" + giant), (2, "A" + edited(giant, "-")), (3, "A" + edited(giant, "2"))], "doc_id long, text string")
+    got = {r["doc_id"]: len(r["text"]) for r in line_dedup.without_repeated_lines(pair).collect()}
+    assert got[1] == 1_000_001 and got[2] == 0 and got[3] == 1_000_001 and time.time() - begun < 120
