@@ -298,6 +298,7 @@ ORACLE = {
     "profile_of_growing_table": """
         SELECT *, 1 AS parts_added FROM (
           SELECT 'lang' AS statistic, lang AS item, count(*) AS n FROM documents GROUP BY lang UNION ALL
+          SELECT 'n_chars', n_chars::VARCHAR, count(*) FROM documents GROUP BY n_chars UNION ALL
           SELECT 'bin', least(n_chars // 500, 12)::VARCHAR, count(*) FROM documents WHERE n_chars IS NOT NULL GROUP BY ALL UNION ALL
           SELECT 'median', 'n_chars', trunc(median(n_chars))::BIGINT FROM documents UNION ALL
           SELECT 'distinct', 'n_chars', count(DISTINCT n_chars) FROM documents)""",

@@ -439,6 +439,7 @@ def profile_of_growing_table(spark, folder):
     added = len(known.refresh())
     told = [
         known.value_counts("lang").select(F.lit("lang").alias("statistic"), F.col("value").alias("item"), F.col("count").alias("n")),
+        known.value_counts("n_chars").select(F.lit("n_chars"), F.col("value").cast("string"), F.col("count")),
         known.clipped_histogram("n_chars", 500, 12).select(F.lit("bin"), F.col("bin").cast("string"), "count"),
         known.int_median("n_chars").select(F.lit("median"), "column", "median"),
         known.distinct_values("n_chars").select(F.lit("distinct"), F.lit("n_chars"), "distinct_values"),
