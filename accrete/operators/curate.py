@@ -46,10 +46,11 @@ def holdout_by_group(
     holds a third of all rows moves them together: what leaks is worse than a share that is off.
     """
     groups = checkpointed(close_groups(df, hash_column, distance))
-    found = balanced_lookup(df, groups.select(F.col("hash").alias(hash_column), "grp", "rows"), hash_column, "rows")
-    decided = F.coalesce(F.concat(F.lit("group "), F.col("grp").cast("string")), F.col(key).cast("string"))
+    groups = groups.select(F.col("hash").alias(hash_column), F.col("grp").alias("_close_group"), F.col("rows").alias("_close_rows"))
+    found = balanced_lookup(df, groups, hash_column, "_close_rows")
+    decided = F.coalesce(F.concat(F.lit("group "), F.col("_close_group").cast("string")), F.col(key).cast("string"))
     place = digest_fraction(order_key(seed, decided))
-    return found.withColumn(name, F.when(place < held_out, "val").otherwise("train")).drop("grp")
+    return found.withColumn(name, F.when(place < held_out, "val").otherwise("train")).drop("_close_group")
 
 
 def dense_share(
