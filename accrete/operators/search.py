@@ -31,9 +31,8 @@ VISITS = 256
 SLICES = 4
 # Rows that centres of stored cells are learned on.
 CELL_SAMPLE = 20_000
-# Partial results (k per query and task) a search may send to its merge.
-PARTIAL_ROWS = 1_000_000_000
-FEWEST_TASKS = 1000
+# Tasks whose partial results meet in the first round of a merge.
+MERGED = 64
 
 
 def pick_row(df: DataFrame, position: int, key: str, columns: list[str]):
@@ -116,6 +115,14 @@ def _named(df: DataFrame, key: str, vector: str, names: tuple[str, str]) -> Data
     )
 
 
+def _merged(partial: DataFrame, k: int) -> DataFrame:
+    """The k best per query of each MERGED tasks or so: a first round of merging, so that no task gets the
+    partial bests of all others for a query, however many tasks there are."""
+    tasks = F.floor(F.spark_partition_id() / MERGED)
+    best = F.row_number().over(Window.partitionBy("query_id", "_tasks").orderBy("gap", "neighbour_id"))
+    return partial.withColumn("_tasks", tasks).withColumn("_best", best).where(F.col("_best") <= k).drop("_tasks", "_best")
+
+
 def _final(partial: DataFrame, k: int, squared: bool) -> DataFrame:
     """Merge partial bests: k per task and query come in, k per query go out."""
     order = Window.partitionBy("query_id").orderBy("gap", "neighbour_id")
@@ -161,9 +168,7 @@ def nearest_each(
                 names=["query_id", "neighbour_id", "gap"],
             )
 
-    # Many queries: fewer, longer tasks, so that k rows per query and task stay a small merge.
-    tasks = max(FEWEST_TASKS, PARTIAL_ROWS // max(count * k, 1))
-    return _final(stored.coalesce(tasks).mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
+    return _final(_merged(stored.mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k), k, squared)
 
 
 def _bytes_type(df: DataFrame, vector: str) -> str:
@@ -510,7 +515,7 @@ def nearest_in_cells(
                     names=["query_id", "neighbour_id", "gap"])
 
     near = stored.where(F.col("cell").isin([int(c) for c in asking])) if len(asking) < len(centres) else stored
-    return _final(near.mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k, squared)
+    return _final(_merged(near.mapInArrow(run, "query_id bigint, neighbour_id bigint, gap double"), k), k, squared)
 
 
 def _cell_runs(asked: DataFrame, stored: DataFrame, centres: np.ndarray, k: int, probes: int) -> DataFrame:

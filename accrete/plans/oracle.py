@@ -368,7 +368,7 @@ ORACLE = {
         SELECT count(DISTINCT dhash) AS distinct_hashes, count(*) AS rows, count(*) - count(DISTINCT dhash) AS repeated_rows
         FROM hashed""", **_hashed("rasters")),
     "hamming_pairs": _with("rasters", _pairs(3), **_hashed("rasters"), groups=GROUPS),
-    "hamming_pairs_fine": _with("fine_rasters", _pairs(12), **_hashed("fine_rasters"), groups=GROUPS),
+    "hamming_pairs_fine": _with("fine_rasters", _pairs(18), **_hashed("fine_rasters"), groups=GROUPS),
     "hamming_pairs_crowded": _with("bumped_rasters", _pairs(3), **_hashed("bumped_rasters"), groups=GROUPS),
     # curation and training
     "text_dense_quarter": _with("tokens", """

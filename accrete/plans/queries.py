@@ -637,7 +637,7 @@ def hamming_pairs(spark, folder):
 @query
 def hamming_pairs_fine(spark, folder):
     hashed = inputs.fine_rasters(spark, folder).select("vec_id", hashing.difference_hash(F.col("px")).alias("dhash"))
-    return _shown_pairs(neardup.similar_hashes(hashed, distance=12, crowded=64))
+    return _shown_pairs(neardup.similar_hashes(hashed, distance=18, crowded=64))
 
 
 @query
