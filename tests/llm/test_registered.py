@@ -24,9 +24,9 @@ def test_query_equals_sql(spark, name):
     assert check.compare(spark, check.engine(FOLDER), FOLDER, name) is None
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = set(contract.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -109,3 +109,29 @@ def test_pipeline_stages_against_brute_force(spark):
         ends = [0, *(o + n for o, n in sorted(places))]
         assert [o for o, _ in sorted(places)] == ends[:-1] and ends[-1] <= 2048
     assert glob.glob(f"{FOLDER}/*.parquet")
+
+
+def test_stages_on_odd_and_empty_tables(spark):
+    """Nulls, empty and long texts, ties, repeated rows and ids, and columns with names used inside."""
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(30)
+    texts = [None, "", "  \n", "1234 5678", "a", "word " * 30_000, "x" * 30_000, "one line\none line\nanother line here"]
+    odd = [(9000 + i, t, "en", None, None) for i, t in enumerate(texts)]
+    odd += [(None, "no id at all", "en", "s", 3), (None, None, None, None, None), (9007, texts[7], "en", None, None), (9020, texts[7], None, None, None)]
+    docs = given.unionByName(spark.createDataFrame(odd, given.schema))
+    docs = docs.select("*", *(F.lit(5).alias(c) for c in ("row", "key", "id", "n", "length", "fp", "lines", "_row")))
+    columns, kept = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, FOLDER), name)
+        kept.append([(r["doc_id"], r["text"] if "text" in docs.columns else r["length"]) for r in docs.collect()])
+        if name != "best_fit_packing":
+            assert docs.columns == columns and docs.where("row <> 5 or length <> 5").count() == 0
+    ids = [[i for i, _ in rows] for rows in kept]
+    assert not {9000, 9001, 9002, 9003} & set(ids[0]) and {9004, 9005, 9006, None} <= set(ids[0]) and ids[0].count(9007) == 2
+    assert sorted(ids[1], key=repr) == sorted(ids[0], key=repr)
+    assert dict(kept[1])[9020] == "" and "one line\nanother line here" in [t for i, t in kept[1] if i == 9007]
+    assert set(ids[3]) <= set(ids[2]) <= set(ids[1]) and set(ids[4]) == set(ids[3])
+    assert all(0 < n <= 2048 for _, n in kept[4])
+    empty = given.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = staged(stage(spark, empty, FOLDER), name)
+        assert empty.count() == 0
