@@ -34,8 +34,8 @@ PART = "accrete_part"
 FEW_KEYS = 200_000
 RANGES = "file string, rows long, least {0}, greatest {0}, part string"
 
-# Key ranges of files by folder and part. The files never change, and Spark's own list of them is as long.
-_ranges: dict[tuple[str, str], pa.Table] = {}
+# Key ranges of files by folder, part and its own name. Files never change, and Spark's list of them is as long.
+_ranges: dict[tuple[str, str, str], pa.Table] = {}
 
 
 class FeatureTable:
@@ -202,7 +202,8 @@ class FeatureTable:
         self._refuse_repeats(added.select(self.key), on_repeat == "error")
         count = self._index(base, layout, part)
         self.put_small(keys.key_bits(added, self.key, count), f"{base}/bits", part)
-        entry = {"name": part, "layout": layout, "rows": count, "indexed": True}
+        # A name of its own for what is known of this part: another table may come to stand in its place.
+        entry = {"name": part, "layout": layout, "rows": count, "indexed": uuid.uuid4().hex}
         return self._commit(parts=[*self.manifest["parts"], entry])
 
     # ---- key ranges ------------------------------------------------------------------------
@@ -230,16 +231,17 @@ class FeatureTable:
         return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/part={p}" for p in parts])
 
     def _file_ranges(self, folder: str, parts: list[str]) -> pa.Table:
-        root = self.folder.path(*folder.split("/"))
-        absent = [p for p in parts if (root, p) not in _ranges]
+        root, told = self.folder.path(*folder.split("/")), {p["name"]: p.get("indexed") for p in self.manifest["parts"]}
+        keyed = {p: (root, p, str(told.get(p, ""))) for p in parts}
+        absent = [p for p in parts if keyed[p] not in _ranges]
         if absent:
             kind = self.raw_schema[self.key].dataType.simpleString()
             found = self.small_files(f"{folder}/ranges", absent, RANGES.format(kind)).toArrow()
             names = found["part"].to_numpy(zero_copy_only=False)
             if len(_ranges) > 10_000:
                 _ranges.clear()
-            _ranges.update({(root, p): found.filter(pa.array(names == p)) for p in absent})
-        return pa.concat_tables([_ranges[root, p] for p in parts])
+            _ranges.update({keyed[p]: found.filter(pa.array(names == p)) for p in absent})
+        return pa.concat_tables([_ranges[keyed[p]] for p in parts])
 
     def _scan_near(self, folder: str, schema: T.StructType, layout: str, parts: list[str], ids: pa.ChunkedArray) -> DataFrame:
         """The rows of `ids` in these parts; only files whose range holds one of them are opened."""
