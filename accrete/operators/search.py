@@ -282,9 +282,12 @@ class Pivots:
 
 
 def _pivots(stored: DataFrame, k: int) -> Pivots:
-    """About as many corpus rows as the square root of their number, below PIVOT_BYTES."""
+    """About as many corpus rows as the square root of their number, or as there are full blocks if that is
+    less, below PIVOT_BYTES."""
     rows, width = stored.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    wanted = min(max(int(rows**0.5), k, PIVOTS), max(PIVOTS, PIVOT_BYTES // (8 * max(width or 1, 1))))
+    # Not so many that blocks hold few rows: each query block is sent a copy of what it visits.
+    near = min(int(rows**0.5), rows // PACKED_ROWS)
+    wanted = min(max(near, k, PIVOTS), max(PIVOTS, PIVOT_BYTES // (8 * max(width or 1, 1))))
     drawn = stored.orderBy(F.xxhash64("neighbour_id"), "neighbour_id").limit(wanted).select("vector").distinct()
     return Pivots(list_matrix(drawn.toArrow().column("vector").combine_chunks()))
 
