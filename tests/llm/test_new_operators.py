@@ -116,6 +116,22 @@ def test_suffix_tree_probabilities_add_up(spark):
         assert r["score"] == pytest.approx(brute.score(["a b a z", "z", "", "b a b c c"][r["i"]]))
 
 
+def test_suffix_tree_has_one_rule_at_every_size(spark):
+    """A run is a candidate by its share of the training tokens, few or many of them."""
+    texts = ["a b a b a b c", "a b d", "b a c a b e f", "c", "g h"]
+
+    def learned(times, **more):
+        return suffix_tree.learn_suffix_tree(spark.createDataFrame([(t,) for t in texts * times], "text string"), **more)
+
+    for share in (suffix_tree.SHARE, 0.1):
+        one, many = (learned(times, share=share, gain=-1e18) for times in (1, 7))  # all candidates stay
+        assert len(one.grams) and one.grams.tolist() == many.grams.tolist() and one.nodes.tolist() == many.nodes.tolist()
+    brute = BruteTree(texts, 3, suffix_tree.SHARE, 1, suffix_tree.GAIN)
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in learned(1).score(asked).collect():
+        assert r["score"] == pytest.approx(brute.score(texts[r["i"]]))
+
+
 def test_suffix_tree_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     tree = suffix_tree.learn_suffix_tree(empty)
