@@ -27,8 +27,12 @@ MOST_BLOCKS = 200_000
 PIVOTS = 16
 PIVOT_BYTES = 16 * 1024 * 1024
 # Corpus blocks from which the visits of a query block are dealt to several runs, and runs at most.
-VISITS = 256
+VISITS = 64
 SLICES = 4
+# Groups that the query blocks are put into, to be sent a corpus block once for all of them, and vector bytes
+# of the queries of a group at most.
+CROWDS = 16
+CROWD_BYTES = 64 * 1024 * 1024
 # Rows that centres of stored cells are learned on.
 CELL_SAMPLE = 20_000
 # Tasks whose partial results meet in the first round of a merge.
@@ -63,7 +67,7 @@ class BestK:
         self.rows = np.empty(0, np.int64)
         self.ids = np.empty(0, np.int64)
         self.gaps = np.empty(0)
-        self.before: set[tuple[int, int]] = set()
+        self.fresh = np.empty(0, bool)
 
     def add(self, vectors: np.ndarray, ids: np.ndarray) -> None:
         rough = self.norms[:, None] - 2.0 * (self.queries @ vectors.T)
@@ -79,7 +83,8 @@ class BestK:
         gap = self.queries[rows] - vectors[cols]
         self._merge(rows, ids[cols], np.einsum("ij,ij->i", gap, gap))
 
-    def _merge(self, rows: np.ndarray, ids: np.ndarray, gaps: np.ndarray) -> None:
+    def _merge(self, rows: np.ndarray, ids: np.ndarray, gaps: np.ndarray, fresh: bool = True) -> None:
+        fresh = np.concatenate([self.fresh, np.full(len(rows), fresh)])
         rows = np.concatenate([self.rows, rows])
         ids = np.concatenate([self.ids, ids])
         gaps = np.concatenate([self.gaps, gaps])
@@ -87,18 +92,17 @@ class BestK:
         rows, ids, gaps = rows[order], ids[order], gaps[order]
         place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
         kept = place < self.k
-        self.rows, self.ids, self.gaps = rows[kept], ids[kept], gaps[kept]
+        self.rows, self.ids, self.gaps, self.fresh = rows[kept], ids[kept], gaps[kept], fresh[order][kept]
         full = place[kept] == self.k - 1
         self.limit[self.rows[full]] = self.gaps[full]
 
     def resume(self, rows: np.ndarray, ids: np.ndarray, gaps: np.ndarray) -> None:
         """Go on from what an earlier run found."""
-        self._merge(rows, ids, gaps)
-        self.before = set(zip(rows.tolist(), ids.tolist()))
+        self._merge(rows, ids, gaps, fresh=False)
 
     def changed(self) -> np.ndarray:
         """Which of the rows were not there when the run was resumed."""
-        return np.array([pair not in self.before for pair in zip(self.rows.tolist(), self.ids.tolist())], bool)
+        return self.fresh
 
     def last(self) -> np.ndarray:
         """The id of the k-th row of each query; the greatest there is where there are fewer than k."""
@@ -212,31 +216,40 @@ def _best_of(row: dict, k: int, kind: str) -> BestK:
 
 
 def _runs(laid: DataFrame, k: int, asks_type: str, vectors_type: str) -> DataFrame:
-    """(query_id, neighbour_id, gap) of rows laid out in runs: a query block in front, the corpus blocks that
-    it meets after it by rising `floor`, the least distance they can be at. Each run carries its k best on;
-    what an earlier run had found already is let out by slice 0 alone."""
+    """(query_id, neighbour_id, gap) of rows laid out in runs: the query blocks of a crowd in front, the corpus
+    blocks that some of them meet after them by rising `floor`; `wants` has those members and the least distance
+    each can be at. Each member carries its k best on; what an earlier run had found already is let out by
+    slice 0 alone."""
 
     def take_in(batches):
-        best, names, first = None, None, False
+        now, members = None, {}
 
         def out():
-            kept = best.changed() if not first else np.ones(len(best.rows), bool)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names[best.rows[kept]]), pa.array(best.ids[kept]), pa.array(best.gaps[kept])],
-                names=["query_id", "neighbour_id", "gap"])
+            for best, names, first in members.values():
+                kept = np.ones(len(best.rows), bool) if first else best.changed()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[best.rows[kept]]), pa.array(best.ids[kept]), pa.array(best.gaps[kept])],
+                    names=["query_id", "neighbour_id", "gap"])
 
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 if row["asked"].is_valid:
-                    if best is not None:
-                        yield out()
-                    best, names, first = _best_of(row, k, asks_type), row["asked"].values.to_numpy(), row["slice"].as_py() == 0
-                elif row["floor"].as_py() <= float(np.sqrt(best.limit.max())) * (1 + 1e-9) + 1e-12:
-                    ids = row["ids"].values.to_numpy()
-                    best.add(_unpacked(row["vectors"], len(ids), vectors_type), ids)
-        if best is not None:
-            yield out()
+                    run = row["crowd"].as_py(), row["slice"].as_py()
+                    if run != now:
+                        yield from out()
+                        now, members = run, {}
+                    members[row["member"].as_py()] = _best_of(row, k, asks_type), row["asked"].values.to_numpy(), run[1] == 0
+                    continue
+                wants = row["wants"].values
+                ids = row["ids"].values.to_numpy()
+                vectors = None
+                for member, floor in zip(wants.field("member").to_pylist(), wants.field("floor").to_pylist()):
+                    best = members[member][0]
+                    if floor <= float(np.sqrt(best.limit.max())) * (1 + 1e-9) + 1e-12:
+                        vectors = _unpacked(row["vectors"], len(ids), vectors_type) if vectors is None else vectors
+                        best.add(vectors, ids)
+        yield from out()
 
     return laid.mapInArrow(take_in, "query_id bigint, neighbour_id bigint, gap double")
 
@@ -329,6 +342,25 @@ def _in_blocks(placed: DataFrame, row_id: str) -> DataFrame:
     return cut.withColumn("block", F.when(F.col("cuts").isNull(), 0).otherwise(part + spread)).drop("cuts")
 
 
+def _crowds(begun: DataFrame, pivots: Pivots, width: int) -> DataFrame:
+    """`begun` with the crowd of each query block and its number there: about CROWDS groups of blocks around
+    neighbouring pivots, so that the copies sent of a corpus block do not grow with the number of queries;
+    more groups only where one would hold over CROWD_BYTES of vectors."""
+    spark = begun.sparkSession
+    place = np.empty(len(pivots.points), np.int64)
+    place[np.concatenate(pivots.members)] = np.arange(len(place))
+    # One row per query block.
+    blocks = begun.select("asking.cell", "asking.block", F.octet_length("asks").alias("size")).toPandas()
+    blocks = blocks.iloc[np.lexsort((blocks["block"], place[blocks["cell"]]))]
+    most = min(-(-len(blocks) // CROWDS), max(1, CROWD_BYTES // int(blocks["size"].max() * 8 // width or 1)))
+    at = np.arange(len(blocks))
+    known = spark.createDataFrame(pa.table({
+        "cell": pa.array(blocks["cell"].to_numpy(np.int32)), "block": pa.array(blocks["block"].to_numpy(np.int32)),
+        "crowd": pa.array((at // most).astype(np.int32)), "member": pa.array((at % most).astype(np.int32))}))
+    known = known.select(F.struct("cell", "block").alias("asking"), "crowd", "member")
+    return begun.join(F.broadcast(known) if 64 * len(blocks) < BROADCAST_BYTES else known, "asking")
+
+
 def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool = False) -> DataFrame:
     """k nearest neighbours when neither side fits a task; exact, after the pivot-based kNN join
     of Lu et al. (VLDB 2012).
@@ -336,8 +368,9 @@ def nearest_blocks(asked: DataFrame, stored: DataFrame, k: int, squared: bool =
     Both sides are gathered around about sqrt(n) pivots and packed into blocks. A block of queries first
     meets the first corpus block of its own cell. The k-th gap it has then tells, by the triangle inequality,
     which other blocks can hold anything nearer; only their numbers are listed, and their vectors joined to
-    the list. One task takes in the blocks of a query block, nearest first, carrying the gap on and leaving
-    out what it rules out by then. So k rows per query come out of each of at most SLICES runs.
+    the list, once for each crowd of neighbouring query blocks. One task takes in the blocks that a crowd
+    needs, nearest first, carrying the gaps on and leaving out what they rule out by then. So k rows per query
+    come out of each of at most SLICES runs, and a corpus block is sent about CROWDS times at most.
     """
     if asked.isEmpty() or stored.isEmpty():
         nothing = asked.sparkSession.createDataFrame([], "query_id bigint, neighbour_id bigint, gap double")
@@ -382,6 +415,8 @@ def nearest_partials(asked: DataFrame, stored: DataFrame, k: int) -> DataFrame:
         queries.join(own, "cell", "left").mapInArrow(
             seed, f"{head}, asked array<bigint>, asks binary, rows array<bigint>, found array<bigint>, gaps array<double>"), "begun")
 
+    crowds = _crowds(begun, pivots, np.dtype(asks_type).itemsize)
+
     def visit(batches):
         pivots, blocks = shipped.value, table.value
         for batch in batches:
@@ -408,24 +443,28 @@ def nearest_partials(asked: DataFrame, stored: DataFrame, k: int) -> DataFrame:
                 order = np.argsort(floor, kind="stable")[: int(np.isfinite(floor).sum())]
                 if not len(order):
                     continue
-                slices = min(SLICES, -(-len(order) // VISITS))
+                whose = [pa.array(np.full(len(order), row[c].as_py(), np.int32)) for c in ("crowd", "member")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([asking] * len(order), pa.struct([("cell", pa.int32()), ("block", pa.int32())])),
-                     pa.array((np.arange(len(order)) % slices).astype(np.int32)), pa.array(floor[order]),
+                    [*whose, pa.array(floor[order]),
                      pa.array(blocks["cell"][order].astype(np.int32)), pa.array(blocks["block"][order].astype(np.int32))],
-                    names=["asking", "slice", "floor", "cell", "block"])
-
-    visits = staged(begun.mapInArrow(visit, f"{head}, slice int, floor double, cell int, block int"), "visits")
+                    names=["crowd", "member", "floor", "cell", "block"])
+
+    whole = Window.partitionBy("crowd")
+    slices = F.least(F.lit(SLICES), F.ceil(F.count(F.lit(1)).over(whole) / VISITS))
+    visits = staged(
+        crowds.mapInArrow(visit, "crowd int, member int, floor double, cell int, block int").groupBy("crowd", "cell", "block")
+        .agg(F.min("floor").alias("floor"), F.collect_list(F.struct("member", "floor")).alias("wants"))
+        .withColumn("slice", F.pmod(F.row_number().over(whole.orderBy("floor", "cell", "block")) - 1, slices).cast("int")), "visits")
     brought = visits.join(corpus.select("cell", "block", "ids", "vectors"), ["cell", "block"]).select(
-        "asking", "slice", "floor", "ids", "vectors")
-    # Every run has its query block in front; a query block that visits nothing has one run.
-    runs = visits.groupBy("asking").agg(F.max("slice").alias("slice"))
-    fronts = begun.join(runs, "asking", "left").select(
-        "asking", F.explode(F.sequence(F.lit(0), F.coalesce("slice", F.lit(0)))).alias("slice"), F.lit(-1.0).alias("floor"),
-        "asked", "asks", "rows", "found", "gaps")
+        "crowd", "slice", "floor", "wants", "ids", "vectors")
+    # Every run has its query blocks in front; a crowd that visits nothing has one run.
+    runs = visits.groupBy("crowd").agg(F.max("slice").alias("slice"))
+    fronts = crowds.join(runs, "crowd", "left").select(
+        "crowd", F.explode(F.sequence(F.lit(0), F.coalesce("slice", F.lit(0)))).alias("slice"), F.lit(-1.0).alias("floor"),
+        "member", "asked", "asks", "rows", "found", "gaps")
     laid = (
-        fronts.unionByName(brought, allowMissingColumns=True).repartition("asking", "slice")
-        .sortWithinPartitions("asking", "slice", "floor")
+        fronts.unionByName(brought, allowMissingColumns=True).repartition("crowd", "slice")
+        .sortWithinPartitions("crowd", "slice", "floor")
     )
 
     return _runs(laid, k, asks_type, vectors_type)
@@ -541,10 +580,11 @@ def _cell_runs(asked: DataFrame, stored: DataFrame, centres: np.ndarray, k: int,
     fronts = staged(fronts, "fronts")
     corpus = _pack(_in_blocks(staged(stored, "stored"), "neighbour_id"), ["cell", "block"], "neighbour_id", "vector")
     brought = fronts.select("asking", "cell").join(corpus.select("cell", "ids", "vectors"), "cell")
+    every = F.array(F.struct(F.lit(0).alias("member"), F.lit(0.0).alias("floor")))
     laid = (
-        fronts.drop("cell").withColumn("floor", F.lit(-1.0))
-        .unionByName(brought.drop("cell").withColumn("floor", F.lit(0.0)), allowMissingColumns=True)
-        .withColumn("slice", F.lit(0)).repartition("asking").sortWithinPartitions("asking", "floor")
+        fronts.drop("cell").withColumn("floor", F.lit(-1.0)).withColumn("member", F.lit(0))
+        .unionByName(brought.drop("cell").withColumn("floor", F.lit(0.0)).withColumn("wants", every), allowMissingColumns=True)
+        .withColumn("slice", F.lit(0)).withColumnRenamed("asking", "crowd").repartition("crowd").sortWithinPartitions("crowd", "floor")
     )
     return _runs(laid, k, _bytes_type(asked, "query_vec"), _bytes_type(stored, "vector"))
 

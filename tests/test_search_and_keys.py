@@ -56,6 +56,23 @@ def test_search_of_blocks_is_exact_with_few_partial_rows(spark, monkeypatch, spr
     partial.unpersist()
 
 
+def test_copies_of_corpus_blocks_do_not_grow_with_the_queries(spark, monkeypatch):
+    monkeypatch.setattr(search, "PACKED_ROWS", 16)
+    monkeypatch.setattr(search, "CROWDS", 3, raising=False)
+    laid, runs = [], search._runs
+    monkeypatch.setattr(search, "_runs", lambda rows, *more: laid.append(rows) or runs(rows, *more))
+    points = SPREADS["scattered"](np.random.default_rng(9))
+    df = vectors(spark, points)
+    found = search.nearest_each(df, df, "id", "v", "id", "v", 5, squared=True, limit_bytes=0)
+    assert answers(found) == brute(points, range(len(points)), 5)
+    sent = [len(r["ids"]) for r in laid[0].where("ids is not null").collect()]
+    assert sum(sent) <= 3 * len(points) and len(sent) > len(points) // 16
+    # Crowds are as many as their vectors ask for, if that is more; the answers stay.
+    monkeypatch.setattr(search, "CROWD_BYTES", 4096, raising=False)
+    found = search.nearest_each(df, df, "id", "v", "id", "v", 5, squared=True, limit_bytes=0)
+    assert answers(found) == brute(points, range(len(points)), 5)
+
+
 def test_pivots_find_near_points():
     rng = np.random.default_rng(1)
     points = search.Pivots(rng.normal(size=(400, 6)))
