@@ -5,6 +5,7 @@ import re
 import statistics
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -365,6 +366,23 @@ def test_token_ids(spark, limit_bytes):
     assert (one.input_ids, one.attention_mask, one.labels) == ([1, 2, 1, 0], [1, 1, 1, 0], [-100, 2, 1, -100])
 
 
+def test_vocabulary_in_workers_is_flat(spark, monkeypatch):
+    """No object per word travels; words that share a digest, and unknown tokens that share one, stay apart."""
+    df = spark.createDataFrame([(1, ["ab", "b", None, "ax", "c" * 9]), (2, ["zz", "b", "ä"])], "id bigint, t array<string>")
+    known = tokens.vocabulary(df, "t").where("token is null or token not in ('ax', 'zz')")
+    numbers = {r["token"]: r["token_id"] for r in known.collect()}
+    shipped, context = [], type(spark.sparkContext)
+    broadcast = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: shipped.append(value) or broadcast(self, value))
+    first = lambda token, salt: F.ascii(F.coalesce(F.col(token) if isinstance(token, str) else token, F.lit("0"))).cast("long") * salt
+    for digest in (None, first):  # the second one: all words share a digest at first, then "ab" and "ax" do
+        if digest is not None:
+            monkeypatch.setattr(tokens, "_digest", digest, raising=False)
+        got = dict(table(tokens.token_ids(df, "id", "t", known, 9), "id"))
+        assert got == {1: [numbers["ab"], numbers["b"], numbers[None], numbers["c" * 9]], 2: [numbers["b"], numbers["ä"]]}
+        assert all(isinstance(part, np.ndarray | pa.Array) for part in shipped[-1])
+
+
 def test_placeholders(spark):
     schema = "id bigint, ids array<int>, e array<array<float>>, v array<array<float>>"
     data = [
