@@ -1,5 +1,5 @@
 """Connected components, as the library has them."""
 
-from accrete.operators.components import components, contract
+from accrete.operators.components import components, contract, joined_to_trees
 
-__all__ = ["components", "contract"]
+__all__ = ["components", "contract", "joined_to_trees"]

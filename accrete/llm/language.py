@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from accrete.llm.frames import slices
+from accrete.llm.frames import FEW_CHARACTERS, slices
 from accrete.llm.tokenizing import forget_chunks
 
 # Buckets of the trigram hash.
@@ -120,7 +120,7 @@ def learn_languages(docs: DataFrame) -> LanguageModel:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_chunks()
         sums: dict[str, np.ndarray] = {}
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEW_CHARACTERS):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 found = trigram_counts(text)
                 sums[lang] = sums[lang] + found if lang in sums else found
@@ -153,7 +153,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_chunks()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEW_CHARACTERS):
             texts = batch.column("text").to_pylist()
             names, scores, unsure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)] if model.languages else []

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accrete.llm.chunk_ids import column_encoder
-from accrete.llm.frames import slices
+from accrete.llm.frames import FEW_CHARACTERS, slices
 from accrete.llm.tokenizing import REMEMBERED
 from accrete.session import staged
 
@@ -154,7 +154,7 @@ def cut_documents(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = column_encoder(path, True, remembered)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEW_CHARACTERS):
             columns: list[list] = [[], [], [], [], [], []]
             whole, ends = encoder.encode(batch.column("text"))
             for doc_id, found in zip(batch.column("doc_id").to_pylist(), np.split(whole, ends[:-1])):

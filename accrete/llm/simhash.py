@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accrete.llm.components import components
-from accrete.llm.frames import identified, same_row, slices, unwrapped
+from accrete.llm.components import components, joined_to_trees
+from accrete.llm.frames import FEW_CHARACTERS, identified, release, same_row, slices, unwrapped
 from accrete.llm.tokenizing import forget_chunks
 from accrete.operators.lookup import balanced_lookup
 from accrete.session import BROADCAST_BYTES, staged
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_chunks()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEW_CHARACTERS):
             found = [fingerprint(t or "", words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("content"), pa.array(found, pa.int64())], ["doc_id", "content", "fp"])
@@ -107,8 +107,9 @@ def _whole_places(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Ite
         yield joined()
 
 
-def close_pairs(classes: DataFrame, distance: int = 3) -> DataFrame:
-    """All pairs (a < b) of distinct fingerprints `fp` within `distance` bits, each once."""
+def close_pairs(classes: DataFrame, distance: int = 3, trees: bool = False) -> DataFrame:
+    """All pairs (a < b) of distinct fingerprints `fp` within `distance` bits, each once; with `trees` the
+    task that finds them joins them to trees, so what comes out has the same components only."""
     blocks = _cuts(distance + 3)
     chosen = list(itertools.combinations(range(len(blocks)), 3))
     places = _places(classes, blocks, chosen)
@@ -138,7 +139,9 @@ def close_pairs(classes: DataFrame, distance: int = 3) -> DataFrame:
         for choice, bits, low, high, own, fp in _whole_places(batches):
             fp = fp.view(np.uint64)
             place = np.concatenate([[0], np.cumsum(np.any([np.diff(c) != 0 for c in (choice, bits, low, high)], axis=0))])
-            table = np.bitwise_count(fp[:, None] ^ references[None, :]).astype(np.int8)
+            table = np.empty((len(fp), PIVOTS), np.int8)
+            for pivot, reference in enumerate(references):
+                table[:, pivot] = np.bitwise_count(fp ^ reference)
             order = np.lexsort((table[:, 0], place))
             choice, low, high, own, fp, place, table = (c[order] for c in (choice, low, high, own, fp, place, table))
             at, step = np.arange(len(fp)), 1
@@ -158,8 +161,14 @@ def close_pairs(classes: DataFrame, distance: int = 3) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], ["a", "b"])
                 step += 1
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from joined_to_trees(compare(batches)) if trees else compare(batches)
+        finally:
+            release()
+
     keys = ["choice", "bits", "low", "high"]
-    return split.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
+    return split.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def simhash_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
@@ -174,7 +183,7 @@ def simhash_groups(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFr
     """
     marked = staged(fingerprints(docs, words), "fingerprints")
     classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
-    linked = staged(components(close_pairs(classes, distance)), "linked")
+    linked = staged(components(close_pairs(classes, distance, trees=True), contracted=True), "linked")
     rooted = classes.join(linked, classes["fp"] == linked["node"], "left").select(
         "fp", "least", "n", F.coalesce("component", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
