@@ -8,7 +8,7 @@ import pyarrow as pa
 from accrete.llm import packing, simhash, terms
 from accrete.llm.queries import vocabulary
 from accrete.llm.simhash import simhash_groups
-from accrete.llm.terms import BETWEEN_BLANKS, Terms
+from accrete.llm.terms import BETWEEN_BLANKS, Summed, Terms, counted
 from accrete.operators import components
 
 
@@ -56,6 +56,37 @@ def test_digests_take_a_few_times_the_window(monkeypatch):
     assert found[0] == found[4] and found[1] == found[3] == found[-1] and len(np.unique(found)) == 3
 
 
+def test_sums_take_little_besides_what_is_held():
+    random = np.random.default_rng(3)
+    columns = [random.integers(0, 1 << 62, 100_000).astype(np.uint64) for _ in range(3)] + [np.ones(100_000, np.int64)]
+
+    def work():
+        summed = Summed(["a", "b", "c", "n"], 3, most=1_000_000)
+        for _ in range(10):
+            last = None
+            for last in summed.add(*(c.copy() for c in columns[:3]), columns[3] + 0):
+                pass
+        for last in summed.rest():
+            pass
+
+    assert _peak(work) < 75  # 32 of them held
+
+
+def test_sums_are_those_of_counted():
+    random = np.random.default_rng(5)
+    keys = [random.integers(0, 9, 250_000).astype(np.uint64), random.integers(0, 40_000, 250_000)]
+    n = random.integers(1, 5, 250_000)
+    summed, out = Summed(["a", "b", "n"], 2, most=60_000), []
+    for at in range(0, 250_000, 25_000):
+        out += summed.add(*(k[at : at + 25_000] for k in keys), n[at : at + 25_000])
+    out += summed.rest()
+    assert max(b.num_rows for b in out) <= 100_000 and not list(summed.rest())
+    found = [np.concatenate([b.column(i).to_numpy() for b in out]) for i in range(3)]
+    (a, b), (total,) = counted(found[:2], found[2:])
+    (c, d), (expected,) = counted(keys, [n])
+    assert (a == c.astype(np.int64)).all() and (b == d).all() and (total == expected).all()
+
+
 def test_texts_reach_the_encoder_in_small_slices(monkeypatch):
     sizes = []
 
