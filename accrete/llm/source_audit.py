@@ -153,18 +153,21 @@ def _text_counts(read: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def kept_terms(docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """(language, digest, split, held, total) of the terms in at least `least` documents of a language:
     `held` lists its groups with their counts, `split` is the term where its digest is another's too and
-    else empty; and (digest, term) of the digests that are one term's alone."""
+    else empty; and (digest, term) of the digests that are one term's alone.
+
+    Much is shuffled and little is left, so what is written is dealt anew first: the number of files follows
+    what is left. Where Hadoop has no native library, each file costs a process started by the executor."""
     reader = _Reader(docs, bits)
     common = staged(
         reader.rows("language long, digest long, docs long", _document_counts)
         .groupBy("language", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
-        .select("language", "digest"), "common")
+        .select("language", "digest").repartition("digest"), "common")
     wanted = _small(common)
 
     texts = reader.rows("digest long, term string", _texts, wanted)
     if wanted is None:
         texts = texts.join(common.select("digest").distinct(), "digest", "left_semi")
-    names = staged(texts.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("most")), "names")
+    names = staged(texts.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("most")).repartition("term"), "names")
     collided = names.where(F.col("term") != F.col("most")).select("digest")
 
     # Rows of a term meet once: sums, the test of being kept and the list of groups need no further shuffle.
@@ -183,7 +186,7 @@ def kept_terms(docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataF
             odd.select("language", "grp", "digest", "n", F.col("term").alias("split")))
     held = counts.groupBy("language", "digest", "split").agg(
         F.collect_list(F.struct("grp", "n")).alias("held"), F.sum("n").alias("total"))
-    return staged(held, "terms"), names.where(F.col("term") == F.col("most")).select("digest", "term")
+    return staged(held.repartition("digest"), "terms"), names.where(F.col("term") == F.col("most")).select("digest", "term")
 
 
 def _shared(n: Column, mass: Column, terms: Column) -> Column:

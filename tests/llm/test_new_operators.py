@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -254,6 +255,22 @@ def test_audit_equals_brute_force(spark, monkeypatch, bits):
     assert sorted(tuple(r) for r in got.collect()) == brute_audit(rows, 6, 3)
 
 
+def test_what_an_audit_keeps_is_written_in_few_files(spark):
+    """Of the terms counted here five are kept; as many files as the sums had tasks were written of them."""
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    rare = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) + "q" for i in range(40_000)]
+    rows = [("en", f"s{i % 3}", "kept often a b c " + " ".join(rare[i::40])) for i in range(40)]
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    spark.conf.set(smallest, "16k")
+    try:
+        source_audit.audit_sources(spark.createDataFrame(rows, "lang string, source string, text string"), 30).collect()
+    finally:
+        spark.conf.unset(smallest)
+    written = {p.name.rsplit("-", 1)[0]: len(list(p.glob("part-*.parquet"))) for p in set(shared.iterdir()) - before}
+    assert written["common"] == written["names"] == written["terms"] == 1
+
+
 def test_audit_of_nothing(spark):
     assert source_audit.audit_sources(spark.createDataFrame([], "lang string, source string, text string")).count() == 0
 
