@@ -320,6 +320,45 @@ def test_column_ids_are_the_librarys(name, spaced):
     assert [x.tolist() for x in np.split(ids, ends[:-1])] == want[7:27]
 
 
+def test_one_word_in_capitals_or_before_marks_is_learned_once():
+    import pyarrow as pa
+
+    from accrete.llm.chunk_ids import ColumnEncoder
+    from accrete.llm.queries import vocabulary
+    from accrete.llm.tokenizing import ChunkEncoder, tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    column = ColumnEncoder(ChunkEncoder(path, False))
+    column.encode(pa.array(["\xe9 Word word WORD word!! wOrd$$$ \xe9 Word%%% word.%%% word", "word"]))
+    assert len(column.key) == 6  # the accent, the word and four runs of marks
+    # Letters that a mark after them joins, marks of all kinds, and runs beyond those that are cut off.
+    letters = [*"aAhHIKsStT''.,;:!?$%&*#()[]{}-_=+/^~`@\"\\   \n", "!!!", "\u0331", "\u030a", "\u0307", "\xc9", "\xe9", "\u0130", "\u1e9e", "<", "|", ">"]
+    rng = np.random.default_rng(12)
+    texts = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(4000)]
+    texts += ["A" + "!" * 16, "A" + "!" * 17 + " b", "A" + "!" * 3000 + ".", "!" * 40, "H\u0331 \xe9", "\xe9 <|ENDOFTEXT|> A.", "\xe9 <|endoftext|>A!! IT'S!", "a b'", "'S!"]
+    ids, ends = column.encode(pa.array(texts))
+    want = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+
+
+def test_runs_of_bytes_are_compared_whole():
+    """Runs of 1 to 40 bytes that differ in one byte or none, also at the ends of short arrays."""
+    from accrete.llm.terms import same_bytes
+
+    for size in range(1, 41):
+        for pad in (0, 1, 9):
+            a = np.arange(size + 2 * pad, dtype=np.uint8)
+            one = [np.array([pad]), np.array([size])]
+            assert same_bytes(a, *one, a.copy(), *one).tolist() == [True]
+            for i in range(size):
+                b = a.copy()
+                b[pad + i] += 1
+                assert same_bytes(a, *one, b, *one).tolist() == [False]
+    a = np.frombuffer(b"abcabcd", np.uint8)
+    found = same_bytes(a, np.array([0, 0, 3]), np.array([3, 3, 4]), a, np.array([3, 3, 3]), np.array([3, 4, 4]))
+    assert found.tolist() == [True, False, True]
+
+
 # ---- toxicity --------------------------------------------------------------------------------------
 
 
