@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accrete.llm.chunk_ids import column_encoder
-from accrete.llm.frames import slices
+from accrete.llm.frames import FEW_CHARACTERS, slices
 from accrete.llm.tokenizing import chunk_encoder, tokenizer
 from accrete.session import new_dir, staged
 
 # Ids after which a block is closed; blocks hold whole documents.
 BLOCK_IDS = 1 << 16
+# Files that one task reads back: they are a few MB each, and its rows narrow.
+FILES_A_TASK = 4
 
 _BLOCKS = ("part int, block int, first long, n_docs int, n_ids long, doc_ids binary, lengths binary, "
            "control binary, data binary")
@@ -72,7 +74,7 @@ def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = column_encoder(path, False)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", FEW_CHARACTERS):
             ids, ends = encoder.encode(batch.column("text"))
             ids = np.insert(ids, ends, end_id)
             edges = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * ids.itemsize
@@ -121,7 +123,8 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2)
     dtype = chunk_encoder(path, False).dtype
     tokens = staged(token_table(docs, path, end_id), "tokens")
     ranks = id_ranks(tokens, vocabulary, dtype)
-    spark.createDataFrame(pa.table({"rank": pa.array(ranks.astype(np.int64)), "id": pa.array(np.arange(vocabulary))})).write.parquet(f"{folder}/ranks")
+    by_id = spark.createDataFrame(pa.table({"rank": pa.array(ranks.astype(np.int64)), "id": pa.array(np.arange(vocabulary))}))
+    by_id.coalesce(1).write.parquet(f"{folder}/ranks")  # one row per vocabulary entry
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -175,7 +178,7 @@ def read_token_files(spark: SparkSession, folder: str, keep_ids: bool = True) ->
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "data", FEW_CHARACTERS):
             for row in batch.to_pylist():
                 lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
                 ids = ids_of_rank[decode_ranks(row["control"], row["data"], row["n_ids"])]
@@ -190,7 +193,8 @@ def read_token_files(spark: SparkSession, folder: str, keep_ids: bool = True) ->
                     columns.append(pa.array(found, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + keep_ids])
 
-    return blocks.join(F.broadcast(offsets), "part").mapInArrow(read, schema)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-blocks.rdd.getNumPartitions() // FILES_A_TASK))
+    return blocks.coalesce(tasks).join(F.broadcast(offsets), "part").mapInArrow(read, schema)
 
 
 def through_files(docs: DataFrame, path: str, end_id: int = 2, keep_ids: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from accrete.llm import packing, simhash, terms
+from accrete.llm import packing, simhash, terms, token_files
 from accrete.llm.queries import vocabulary
 from accrete.llm.simhash import simhash_groups
 from accrete.llm.terms import BETWEEN_BLANKS, Summed, Terms, counted
@@ -109,3 +109,45 @@ def test_texts_reach_the_encoder_in_small_slices(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(["x" * 1000] * 2000)], ["doc_id", "text"])
     assert sum(b.num_rows for b in caught["run"](iter([batch]))) == 2000
     assert max(sizes) <= 501_000 and sum(sizes) == 2_000_000
+
+
+def test_texts_of_token_files_reach_the_encoder_in_small_slices(monkeypatch):
+    sizes, caught = [], {}
+
+    class Encoder:
+        def encode(self, texts):
+            sizes.append(sum(len(t) for t in texts.to_pylist()))
+            return np.zeros(len(texts), "<u2"), np.arange(1, len(texts) + 1)
+
+    class Rows:
+        def selectExpr(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            caught["run"] = run
+
+    monkeypatch.setattr(token_files, "column_encoder", lambda *a: Encoder())
+    token_files.token_table(Rows(), vocabulary("word_bpe_49k.json"), 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(["x" * 1000] * 2000)], ["doc_id", "text"])
+    assert sum(b.num_rows for b in caught["run"](iter([batch]))) == 2000
+    assert max(sizes) <= 501_000 and sum(sizes) == 2_000_000
+
+
+def test_token_files_are_read_by_few_tasks(spark, tmp_path):
+    few = {"spark.sql.shuffle.partitions": "48", "spark.sql.files.maxPartitionBytes": "1m", "spark.sql.files.openCostInBytes": "1m"}
+    kept = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame([(i, f"some words {i}") for i in range(480)], "doc_id long, text string")
+        token_files.write_token_files(docs, vocabulary("word_bpe_49k.json"), str(tmp_path / "files"))
+        written = len(list((tmp_path / "files/blocks").glob("part-*")))
+        found = token_files.read_token_files(spark, str(tmp_path / "files"))
+        tasks, rows = found.rdd.getNumPartitions(), found.orderBy("doc_id").collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "files/ranks").glob("part-*"))) == 1
+    assert written > 40 and tasks <= max(spark.sparkContext.defaultParallelism, -(-written // 4)) < written
+    assert [r["doc_id"] for r in rows] == list(range(480))
+    assert [r["start"] for r in rows] == [0, *np.cumsum([r["n_tokens"] for r in rows])[:-1]]
